@@ -162,3 +162,104 @@ def with_fixtures(body: str, *names: str, extra: list[tuple[str, str]] | None =
     ctes = [f"{n} as ({FIXTURES[n]})" for n in names]
     ctes += [f"{n} as ({q})" for n, q in (extra or [])]
     return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body
+
+
+# ----------------------------------------------------------------- metric twins
+def lit(x: float) -> str:
+    """A double literal that parses to exactly the Python double."""
+    return f"cast('{float(x)!r}' as double)"
+
+
+def bin_index(p: str, edges: list[float]) -> str:
+    if not edges:
+        return "0"
+    return "(" + " + ".join(f"(case when {p} >= {lit(e)} then 1 else 0 end)" for e in edges) + ")"
+
+
+def linspace_inner(n: int) -> list[float]:
+    step = 1.0 / n
+    return [i * step for i in range(1, n)]
+
+
+def _by(by: list[str]) -> tuple[str, str]:
+    """(select prefix, group by clause)."""
+    if not by:
+        return "", ""
+    return ", ".join(by) + ", ", " group by " + ", ".join(by)
+
+
+def conf(src: str, by: list[str], tau: float = 0.5, w: str = "1.0", y: str = "y_true", p: str = "y_prob") -> str:
+    s, g = _by(by)
+    t = lit(tau)
+    return (
+        f"select {s}sum(case when {p} >= {t} and {y} = 1 then {w} else 0.0 end) as tp, "
+        f"sum(case when {p} >= {t} and {y} <> 1 then {w} else 0.0 end) as fp, "
+        f"sum(case when {p} < {t} and {y} <> 1 then {w} else 0.0 end) as tn, "
+        f"sum(case when {p} < {t} and {y} = 1 then {w} else 0.0 end) as fn from {src}{g}"
+    )
+
+
+def rates(c: str) -> str:
+    """Adds accuracy ... kappa to a confusion subquery."""
+    n = "(tp + fp + tn + fn)"
+    acc = f"case when {n} > 0 then (tp + tn) / {n} end"
+    pe = f"((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / ({n} * {n})"
+    return (
+        f"select *, {n} as n, {acc} as accuracy, case when tp + fp > 0 then tp / (tp + fp) else 0.0 end as precision, "
+        f"case when tp + fn > 0 then tp / (tp + fn) else 0.0 end as recall, "
+        f"case when 2.0 * tp + fp + fn > 0 then 2.0 * tp / (2.0 * tp + fp + fn) else 0.0 end as f1, "
+        f"case when tn + fp > 0 then tn / (tn + fp) else 0.0 end as specificity, "
+        f"case when 1.0 - {pe} <> 0 then ({acc} - {pe}) / (1.0 - {pe}) else 0.0 end as kappa from ({c}) c0"
+    )
+
+
+def ranked(src: str, by: list[str], w: str = "1.0", y: str = "y_true", p: str = "y_prob") -> str:
+    s, g = _by(by)
+    part = f"partition by {', '.join(by)} " if by else ""
+    comp = (
+        f"select {s}cast({p} as double) as s, sum(case when {y} = 1 then {w} else 0.0 end) as pos, "
+        f"sum(case when {y} = 1 then 0.0 else {w} end) as neg from {src} group by {s}cast({p} as double)"
+    )
+    return (
+        f"select *, sum(pos) over ({part}order by s rows between unbounded preceding and current row) as cum_pos, "
+        f"sum(neg) over ({part}order by s rows between unbounded preceding and current row) as cum_neg, "
+        f"sum(pos) over ({part.strip()}) as tot_pos, sum(neg) over ({part.strip()}) as tot_neg from ({comp}) c1"
+    )
+
+
+def rank_metrics(src: str, by: list[str], w: str = "1.0", y: str = "y_true", p: str = "y_prob") -> str:
+    s, g = _by(by)
+    tp_ge = "(tot_pos - (cum_pos - pos))"
+    fp_ge = "(tot_neg - (cum_neg - neg))"
+    inner = (
+        f"select {s}sum(pos * ((cum_neg - neg) + neg / 2.0)) as u, sum(case when pos > 0 then pos * {tp_ge} / ({tp_ge} + {fp_ge}) else 0.0 end) as ap, "
+        f"max(tot_pos) as tp_, max(tot_neg) as tn_ from ({ranked(src, by, w, y, p)}) r{g}"
+    )
+    return (
+        f"select {s}case when tp_ > 0 and tn_ > 0 then u / (tp_ * tn_) end as auc_roc, "
+        f"case when tp_ > 0 then ap / tp_ end as auc_pr from ({inner}) r2"
+    )
+
+
+def brier(src: str, by: list[str], w: str = "1.0", y: str = "y_true", p: str = "y_prob") -> str:
+    s, g = _by(by)
+    return f"select {s}sum({w} * ({p} - {y}) * ({p} - {y})) / sum({w}) as brier from {src}{g}"
+
+
+def ece(src: str, by: list[str], n_bins: int, w: str = "1.0", y: str = "y_true", p: str = "y_prob", name: str = "ece") -> str:
+    s, g = _by(by)
+    b = bin_index(p, linspace_inner(n_bins))
+    inner = f"select {s}{b} as b_, sum({w}) as n_, sum({w} * {y}) as sy, sum({w} * {p}) as sp from {src} group by {s}{b}"
+    return f"select {s}sum(abs(sy - sp)) / sum(n_) as {name} from ({inner}) e{g}"
+
+
+def bundle(src: str, by: list[str], tau: float = 0.5, n_bins: int = 15, w: str = "1.0") -> str:
+    on = " and ".join(f"a.{c} = {x}.{c}" for c in by for x in ["b"]) if by else "true"
+    on_c = " and ".join(f"a.{c} = c.{c}" for c in by) if by else "true"
+    on_d = " and ".join(f"a.{c} = d.{c}" for c in by) if by else "true"
+    cols = ", ".join(f"a.{c}" for c in by) + (", " if by else "")
+    return (
+        f"select {cols}a.auc_roc, a.auc_pr, b.f1, b.accuracy, b.precision, b.recall, c.brier, d.ece "
+        f"from ({rank_metrics(src, by, w)}) a join ({rates(conf(src, by, tau, w))}) b on {on} "
+        f"join ({brier(src, by, w)}) c on {on_c} join ({ece(src, by, n_bins, w)}) d on {on_d}"
+    )
