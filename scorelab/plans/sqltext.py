@@ -263,3 +263,70 @@ def bundle(src: str, by: list[str], tau: float = 0.5, n_bins: int = 15, w: str =
         f"from ({rank_metrics(src, by, w)}) a join ({rates(conf(src, by, tau, w))}) b on {on} "
         f"join ({brier(src, by, w)}) c on {on_c} join ({ece(src, by, n_bins, w)}) d on {on_d}"
     )
+
+
+def binned(src: str, by: list[str], n_bins: int, strategy: str = "equal_width", y: str = "y_true", p: str = "y_prob") -> str:
+    """(by..., bin, n, sy, sp) like operators.calibrate.binned."""
+    s, g = _by(by)
+    if strategy == "equal_width":
+        b = bin_index(p, linspace_inner(n_bins))
+        return f"select {s}{b} as bin, sum(1.0) as n, sum(1.0 * {y}) as sy, sum({p}) as sp from {src} group by {s}{b}"
+    qs = "[" + ", ".join(lit(i * (1.0 / n_bins)) for i in range(n_bins + 1)) + "]"
+    edges = (
+        f"select {s}list_sort(list_distinct([0.0::double] || list_slice(quantile_cont({p}, {qs}), 2, {n_bins}) || [1.0::double])) as edges "
+        f"from {src}{g}"
+    )
+    on = " and ".join(f"x.{c} = e.{c}" for c in by)
+    sx = "".join(f"x.{c}, " for c in by)
+    bexpr = f"cast(least(len(list_filter(list_slice(e.edges, 2, len(e.edges) - 1), lambda v: v <= x.{p})), len(e.edges) - 2) as int)"
+    return (
+        f"select {sx}{bexpr} as bin, sum(1.0) as n, sum(1.0 * x.{y}) as sy, sum(x.{p}) as sp from {src} x join ({edges}) e on {on} "
+        f"group by {sx}{bexpr}"
+    )
+
+
+def calib_error(src: str, by: list[str], n_bins: int, strategy: str, name: str = "ece") -> str:
+    s, g = _by(by)
+    return f"select {s}sum(abs(sy - sp)) / sum(n) as {name} from ({binned(src, by, n_bins, strategy)}) b{g}"
+
+
+def mce(src: str, by: list[str], n_bins: int) -> str:
+    s, g = _by(by)
+    return f"select {s}max(abs(sy / n - sp / n)) as mce from ({binned(src, by, n_bins)}) b{g}"
+
+
+def brier_decomp(src: str, by: list[str], n_bins: int) -> str:
+    s, g = _by(by)
+    part = f"partition by {', '.join(by)}"
+    b = f"select *, sum(n) over ({part}) as N_, sum(sy) over ({part}) as Y_ from ({binned(src, by, n_bins)}) b0"
+    d = (
+        f"select {s}sum(n / N_ * (sp / n - sy / n) * (sp / n - sy / n)) as reliability, "
+        f"sum(n / N_ * (sy / n - Y_ / N_) * (sy / n - Y_ / N_)) as resolution, max(Y_ / N_ * (1.0 - Y_ / N_)) as uncertainty from ({b}) b1{g}"
+    )
+    on = " and ".join(f"d.{c} = r.{c}" for c in by)
+    return f"select d.*, r.brier from ({d}) d join ({brier(src, by)}) r on {on}"
+
+
+def calib_bundle(src: str, by: list[str], n_bins: int = 10) -> str:
+    cols = ", ".join(f"a.{c}" for c in by)
+    on = lambda x: " and ".join(f"a.{c} = {x}.{c}" for c in by)
+    return (
+        f"select {cols}, a.auc_roc, b.ece as ece_equal_width, c.ece as ece_equal_mass, d.mce, e.brier, e.reliability, e.resolution, e.uncertainty, "
+        f"case when e.uncertainty > 0 then (e.resolution - e.reliability) / e.uncertainty else cast('nan' as double) end as brier_skill_score "
+        f"from ({rank_metrics(src, by)}) a join ({calib_error(src, by, n_bins, 'equal_width')}) b on {on('b')} "
+        f"join ({calib_error(src, by, n_bins, 'equal_mass')}) c on {on('c')} join ({mce(src, by, n_bins)}) d on {on('d')} "
+        f"join ({brier_decomp(src, by, n_bins)}) e on {on('e')}"
+    )
+
+
+def clip_sql(p: str, eps: float = 1e-7) -> str:
+    return f"least(greatest({p}, {lit(eps)}), {lit(1.0 - eps)})"
+
+
+def logit_sql(p: str, eps: float = 1e-7) -> str:
+    c = clip_sql(p, eps)
+    return f"ln({c} / (1.0 - {c}))"
+
+
+def sigmoid_sql(x: str) -> str:
+    return f"(case when ({x}) >= 0 then 1.0 / (1.0 + exp(-({x}))) else exp({x}) / (1.0 + exp({x})) end)"
