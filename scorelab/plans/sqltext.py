@@ -115,14 +115,14 @@ _ROW_ID = (
 def _scores(attributes: bool) -> str:
     base = (
         f"select {_ROW_ID} as row_id, cast(case when l_returnflag='R' then 1 else 0 end as int) as y_true, "
-        "l_linestatus, l_linenumber" + (", o_orderpriority" if attributes else "")
+        "l_linestatus, l_linenumber" + (", o_orderpriority, o_custkey" if attributes else "")
         + " from lineitem" + (" join orders on l_orderkey = o_orderkey" if attributes else "")
     )
     runs = "(values ('a', 0.30), ('b', 0.25), ('c', 0.10)) r(run, k)"
     prob = f"least(0.99, greatest(0.01, round(0.25 + k*y_true + 0.5*({U(chr(39).join(['concat(row_id,', '|', ',run)']))} - 0.5), 6)))"
     split = f"case when {U(chr(39).join(['concat(row_id,', '|split', ')']))} < 0.5 then 'val' else 'test' end"
     rare = f"cast(case when {U(chr(39).join(['concat(row_id,', '|rare', ')']))} < 0.0005 then 1 else 0 end as int)"
-    attr = ", l_linestatus, l_linenumber, o_orderpriority, " + rare + " as rare" if attributes else ""
+    attr = ", l_linestatus, l_linenumber, o_orderpriority, o_custkey, " + rare + " as rare" if attributes else ""
     inner = f"select run, {split} as split, row_id, y_true, {prob} as y_prob{attr} from ({base}) b, {runs}"
     return f"select *, cast(case when y_prob >= 0.5 then 1 else 0 end as int) as y_pred from ({inner}) s"
 

@@ -82,7 +82,7 @@ def scores(spark: SparkSession, sf_dir: str, attributes: bool = True) -> DataFra
         "l_linestatus", "l_linenumber", "l_orderkey",
     )
     if attributes:
-        o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+        o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
         base = base.join(o, base.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
     runs = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(k).alias("k")) for r, k in RUN_SIGNAL])
     x = base.withColumn("_r", F.explode(runs))
@@ -97,7 +97,7 @@ def scores(spark: SparkSession, sf_dir: str, attributes: bool = True) -> DataFra
         F.col("_r.run").alias("run"),
         F.when(uniform(F.col("row_id"), "|split") < 0.5, "val").otherwise("test").alias("split"),
         "row_id", "y_true", prob.alias("y_prob"),
-        *(["l_linestatus", "l_linenumber", "o_orderpriority",
+        *(["l_linestatus", "l_linenumber", "o_orderpriority", "o_custkey",
            F.when(uniform(F.col("row_id"), "|rare") < 0.0005, 1).otherwise(0).cast("int").alias("rare")] if attributes else []),
     )
     return out.withColumn("y_pred", (F.col("y_prob") >= 0.5).cast("int"))
