@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     if n_buckets:
@@ -34,23 +36,39 @@ def prefix_sums(
     n_buckets: int | None = None,
     accuracy: int = 10000,
     tiebreak: list[str] | None = None,
+    value_range: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of c in ascending ``order``
     within ``by``) and ``tot_<c>`` (group total) for each c in ``cols``.
 
     ``order`` values must be distinct within a group (compress first) and
     numeric. Ties on ``order`` would be summed in arbitrary order.
+
+    ``value_range=(lo, hi)`` declares the domain of ``order`` (probabilities,
+    uniform hashes): buckets are then equal-width slices of it, computed
+    per row with no extra job. Otherwise bucket edges are approximate
+    per-group quantiles, materialised once.
     """
     nb = _n_buckets(df, n_buckets)
     by = list(by)
     if not by:
-        out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order, cols, n_buckets, accuracy, tiebreak)
+        out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order, cols, n_buckets, accuracy, tiebreak, value_range)
         return out.drop("_g")
-    if nb > 1:
+    if nb > 1 and value_range is not None:
+        lo, hi = float(value_range[0]), float(value_range[1])
+        x = (F.col(order).cast("double") - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(nb))
+        bucketed = df.withColumn("_bk", F.least(F.lit(nb - 1), F.greatest(F.lit(0), F.floor(x).cast("int"))))
+    elif nb > 1:
         probs = [i / nb for i in range(1, nb)]
         edges = df.groupBy(*by).agg(
             F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("_edges")
         )
+        # Approximate quantiles depend on merge order, so a recomputation
+        # (a second branch of this plan, or a retry after an executor loss)
+        # could move the edges. Materialise them once in the shared
+        # checkpoint folder; both branches then bucket identically.
+        checkpoint_dir(df.sparkSession)
+        edges = edges.checkpoint(eager=True)
         x = F.col(order).cast("double")
         bucketed = df.join(edges, by, "inner").withColumn(
             "_bk", F.size(F.filter(F.col("_edges"), lambda e: e < x))
@@ -73,10 +91,11 @@ def prefix_sums(
     return out.drop("_bk", *[f"_off_{c}" for c in cols])
 
 
-def midranks(df: DataFrame, by: list[str], value: str, count: str = "n", n_buckets: int | None = None) -> DataFrame:
+def midranks(df: DataFrame, by: list[str], value: str, count: str = "n", n_buckets: int | None = None,
+             value_range: tuple[float, float] | None = None) -> DataFrame:
     """Compressed ``(by, value, count)`` -> adds ``midrank`` (1-based, ties averaged)
     and ``n_total`` per group."""
-    out = prefix_sums(df, by, value, [count], n_buckets)
+    out = prefix_sums(df, by, value, [count], n_buckets, value_range=value_range)
     return out.withColumn(
         "midrank", F.col(f"cum_{count}") - F.col(count) + (F.col(count) + F.lit(1.0)) / F.lit(2.0)
     ).withColumnRenamed(f"tot_{count}", "n_total").drop(f"cum_{count}")

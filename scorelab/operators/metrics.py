@@ -73,18 +73,30 @@ def compressed(scores: DataFrame, by: list[str], label: str = Y, score: str = P,
     )
 
 
-def _ranked(scores: DataFrame, by: list[str], label: str, score: str, weight: str | None) -> DataFrame:
-    return prefix_sums(compressed(scores, by, label, score, weight), by, "s", ["pos", "neg"])
+PROB_RANGE = (0.0, 1.0)
 
 
-def rank_metrics(scores: DataFrame, by: list[str] = (), label: str = Y, score: str = P, weight: str | None = None) -> DataFrame:
+def _ranked(scores: DataFrame, by: list[str], label: str, score: str, weight: str | None,
+            score_range: tuple[float, float] | None = PROB_RANGE) -> DataFrame:
+    """Scores are probabilities by contract, so buckets are fixed slices of
+    [0, 1]; pass ``score_range=None`` for unbounded scores (quantile buckets)."""
+    return prefix_sums(compressed(scores, by, label, score, weight), by, "s", ["pos", "neg"], value_range=score_range)
+
+
+def rank_metrics(scores: DataFrame, by: list[str] = (), label: str = Y, score: str = P, weight: str | None = None,
+                 score_range: tuple[float, float] | None = PROB_RANGE) -> DataFrame:
     """G3 + G4 in one pass over the compressed table.
 
     AUC = sum_s pos_s (neg_below_s + neg_s / 2) / (P N)   (ties count one half)
     AP  = sum_s pos_s / P * tp(>=s) / (tp(>=s) + fp(>=s))  (step interpolation)
     Both NULL when a group has a single class."""
     by = list(by)
-    r = _ranked(scores, by, label, score, weight)
+    return rank_from_compressed(compressed(scores, by, label, score, weight), by, score_range)
+
+
+def rank_from_compressed(comp: DataFrame, by: list[str], score_range: tuple[float, float] | None = PROB_RANGE) -> DataFrame:
+    """AUC and AP from a compressed (by..., s, pos, neg) table."""
+    r = prefix_sums(comp, by, "s", ["pos", "neg"], value_range=score_range)
     neg_below = F.col("cum_neg") - F.col("neg")
     tp_ge = F.col("tot_pos") - (F.col("cum_pos") - F.col("pos"))
     fp_ge = F.col("tot_neg") - (F.col("cum_neg") - F.col("neg"))
@@ -339,3 +351,23 @@ def reconstruction_score(preds: DataFrame, weights: dict[str, float] | None = No
     wcol = F.create_map(*[x for k, v in wts.items() for x in (F.lit(k), F.lit(float(v)))])
     tot = fam.agg((F.sum(F.col("family_loss") * wcol[F.col("family")]) / F.sum(wcol[F.col("family")])).alias("total"))
     return fam.withColumn("__k", F.lit(1)).join(tot.withColumn("__k", F.lit(1)), "__k").drop("__k")
+
+
+def bundle_from_compressed(comp: DataFrame, by: list[str], tau: float = 0.5, n_bins: int = 10) -> DataFrame:
+    """auc_roc, auc_pr, brier, ece, f1, accuracy from one compressed
+    (by..., s, pos, neg) table (weighted counts per distinct score), so a
+    large weighted input is aggregated once."""
+    by = list(by)
+    s, pos, neg = F.col("s"), F.col("pos"), F.col("neg")
+    n = pos + neg
+    rk = rank_from_compressed(comp, by)
+    ge = s >= F.lit(tau)
+    simple = comp.groupBy(*by).agg(
+        (F.sum(pos * (s - 1.0) * (s - 1.0) + neg * s * s) / F.sum(n)).alias("brier"),
+        F.sum(F.when(ge, pos).otherwise(0.0)).alias("tp"), F.sum(F.when(ge, neg).otherwise(0.0)).alias("fp"),
+        F.sum(F.when(ge, 0.0).otherwise(neg)).alias("tn"), F.sum(F.when(ge, 0.0).otherwise(pos)).alias("fn"),
+    ).withColumn("n", F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"))
+    simple = rates(simple).select(*by, "brier", "f1", "accuracy")
+    bins = comp.groupBy(*by, bin_index("s", linspace_inner(n_bins)).alias("_b")).agg(F.sum(pos).alias("_sy"), F.sum(s * n).alias("_sp"), F.sum(n).alias("_n"))
+    ec = bins.groupBy(*by).agg((F.sum(F.abs(F.col("_sy") - F.col("_sp"))) / F.sum("_n")).alias("ece"))
+    return rk.join(simple, by).join(ec, by)

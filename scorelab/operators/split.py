@@ -18,7 +18,7 @@ from ..functions.ranks import prefix_sums
 def _class_rank(df: DataFrame, target: str, key: str, seed: int, tag: str = "") -> DataFrame:
     """Adds ``_rank`` (1-based position within the class in hash order) and ``_n_class``."""
     x = df.withColumns({"_h": hash_order(F.col(key).cast("string"), f"|{seed}{tag}"), "_one": F.lit(1)})
-    r = prefix_sums(x, [target], "_h", ["_one"], tiebreak=[key])
+    r = prefix_sums(x, [target], "_h", ["_one"], tiebreak=[key], value_range=(0.0, float(2 ** 60)))
     return r.withColumnRenamed("cum__one", "_rank").withColumnRenamed("tot__one", "_n_class").drop("_h", "_one")
 
 
