@@ -66,27 +66,21 @@ def load_first_available(spark: SparkSession, candidates: list[tuple[str, str, d
     return result, prov
 
 
-def read_with_banner(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A2: CSV whose first line is a banner above the header row.
-
-    The CSV reader's ``comment`` option cannot drop an arbitrary first line,
-    so the banner is skipped by parsing the file without a header and
-    dropping the banner line and the header line (both appear once per file,
-    before any data). The header names are taken from the second line."""
-    if not path.lower().endswith((".csv", ".txt")):
+def read_with_banner(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A2: CSV with a banner line above the header row.
+
+    Lines carry no order in a distributed read, so both extra lines are
+    recognised by content: the header repeats the first column name and the
+    banner has fewer fields than the schema. Both are dropped and the rest is
+    cast to the schema (the leading columns of the file)."""
+    last = path.rstrip("/").rsplit("/", 1)[-1]
+    if "." in last and not last.lower().endswith((".csv", ".txt")):
         raise ValueError(f"unsupported extension: {path}")
-    head = spark.read.text(path).limit(2).collect()  # two lines, fixed size
-    if len(head) < 2:
-        raise ValueError("file has no header below the banner")
-    banner, header = head[0][0], head[1][0]
-    names = [h.strip() for h in header.split(",")]
+    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     raw = spark.read.option("header", False).csv(path)
-    raw = raw.where(~((F.col("_c0") == F.lit(names[0])) | (F.concat_ws(",", *raw.columns) == F.lit(banner))))
-    out = raw.toDF(*names)
-    if schema is not None:
-        st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-        out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
-    return out
+    n = len(raw.columns)
+    body = raw.where((F.col("_c0") != F.lit(st.fields[0].name)) & F.col(f"_c{n - 1}").isNotNull())
+    return body.select(*[F.col(f"_c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(st.fields)])
 
 
 def rename_anonymous(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
