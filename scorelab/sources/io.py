@@ -71,16 +71,17 @@ def read_with_banner(spark: SparkSession, path: str, schema: T.StructType | str)
 
     Lines carry no order in a distributed read, so both extra lines are
     recognised by content: the header repeats the first column name and the
-    banner has fewer fields than the schema. Both are dropped and the rest is
-    cast to the schema (the leading columns of the file)."""
+    banner has fewer fields than the schema. Both are dropped and the leading
+    fields of each line are parsed with ``from_csv`` and cast to the schema."""
     last = path.rstrip("/").rsplit("/", 1)[-1]
     if "." in last and not last.lower().endswith((".csv", ".txt")):
         raise ValueError(f"unsupported extension: {path}")
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    raw = spark.read.option("header", False).csv(path)
-    n = len(raw.columns)
-    body = raw.where((F.col("_c0") != F.lit(st.fields[0].name)) & F.col(f"_c{n - 1}").isNotNull())
-    return body.select(*[F.col(f"_c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(st.fields)])
+    as_text = ", ".join(f"`{f.name}` string" for f in st.fields)
+    rows = spark.read.text(path).select(F.from_csv(F.col("value"), as_text).alias("r"), F.size(F.split("value", ",")).alias("_w")).select("r.*", "_w")
+    first = st.fields[0].name
+    body = rows.where((F.col(f"`{first}`") != F.lit(first)) & (F.col("_w") >= len(st.fields)))
+    return body.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
 
 
 def rename_anonymous(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
