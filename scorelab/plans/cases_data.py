@@ -18,7 +18,7 @@ ENG_DOUBLES = [f"UTIL_RATIO_{i}" for i in range(1, 7)] + [f"REPAY_RATIO_{i}" for
 
 
 def eng_sql_cols(ddof: int = 0) -> list[str]:
-    """DuckDB text of the 22 engineered columns."""
+    """DuckDB text of the 24 engineered columns."""
     c = []
     for i in range(1, 7):
         c.append(f"coalesce(BILL_AMT{i} / nullif(LIMIT_BAL, 0), 0.0) as UTIL_RATIO_{i}")
