@@ -146,11 +146,16 @@ def metric_bundle(scores: DataFrame, tau: float = 0.5, by: list[str] = (), n_bin
                   label: str = Y, score: str = P, weight: str | None = None) -> DataFrame:
     """The eight-metric bundle per group (undefined -> NULL)."""
     by = list(by)
-    c = rates(confusion(scores, tau, by, label, score, weight)).select(*by, "f1", "accuracy", "precision", "recall")
-    rk = rank_metrics(scores, by, label, score, weight)
-    br = brier(scores, by, label, score, weight)
-    ec = ece(scores, n_bins, by, label, score, weight)
-    out = _join_all([rk, c, br, ec], by).select(*by, *METRICS8)
+    if by:
+        # one compressed (group, score) table feeds all eight metrics; its
+        # shuffle is shared by every branch, so rows are scanned once
+        out = bundle_from_compressed(compressed(scores, by, label, score, weight), by, tau, n_bins).select(*by, *METRICS8)
+    else:
+        c = rates(confusion(scores, tau, by, label, score, weight)).select(*by, "f1", "accuracy", "precision", "recall")
+        rk = rank_metrics(scores, by, label, score, weight)
+        br = brier(scores, by, label, score, weight)
+        ec = ece(scores, n_bins, by, label, score, weight)
+        out = _join_all([rk, c, br, ec], by).select(*by, *METRICS8)
     if prefix:
         out = out.withColumnsRenamed({m: f"{prefix}{m}" for m in METRICS8})
     return out
@@ -367,7 +372,7 @@ def bundle_from_compressed(comp: DataFrame, by: list[str], tau: float = 0.5, n_b
         F.sum(F.when(ge, pos).otherwise(0.0)).alias("tp"), F.sum(F.when(ge, neg).otherwise(0.0)).alias("fp"),
         F.sum(F.when(ge, 0.0).otherwise(neg)).alias("tn"), F.sum(F.when(ge, 0.0).otherwise(pos)).alias("fn"),
     ).withColumn("n", F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"))
-    simple = rates(simple).select(*by, "brier", "f1", "accuracy")
+    simple = rates(simple).select(*by, "brier", "f1", "accuracy", "precision", "recall")
     bins = comp.groupBy(*by, bin_index("s", linspace_inner(n_bins)).alias("_b")).agg(F.sum(pos).alias("_sy"), F.sum(s * n).alias("_sp"), F.sum(n).alias("_n"))
     ec = bins.groupBy(*by).agg((F.sum(F.abs(F.col("_sy") - F.col("_sp"))) / F.sum("_n")).alias("ece"))
     return rk.join(simple, by).join(ec, by)

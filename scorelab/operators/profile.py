@@ -225,11 +225,26 @@ def corr_matrix(df: DataFrame, cols: list[str], by: list[str] = ()) -> DataFrame
     """Lower-triangle Pearson correlations (a before b in column order) in one pass."""
     by = list(by)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not by and len(cols) > 8:
+        return _corr_mllib(df, cols, pairs)
     g = df.groupBy(*by).agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
     st = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{k}").alias("r")) for k, (a, b) in enumerate(pairs)]))
     return g.select(*by, st.alias("_p")).select(*by, "_p.*")
 
 
+def _corr_mllib(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
+    """Wide Pearson matrix with MLlib's distributed Correlation (tree
+    aggregate of the column moments); only the p x p result reaches the driver."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    v = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*[F.col(c).cast("double") for c in cols]))
+    m = Correlation.corr(v, "_v").first()[0].toArray()
+    idx = {c: i for i, c in enumerate(cols)}
+    rows = [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
 def lag_autocorr(df: DataFrame, cols: list[str] = S.BILL_AMT, target: str = S.TARGET, max_lag: int = 5, z: float = 1.96) -> DataFrame:
     """Per class and lag, mean Pearson r over all column pairs at that lag
     and a CI from the population std of those r over sqrt(pairs)."""
