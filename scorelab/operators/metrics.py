@@ -376,3 +376,14 @@ def bundle_from_compressed(comp: DataFrame, by: list[str], tau: float = 0.5, n_b
     bins = comp.groupBy(*by, bin_index("s", linspace_inner(n_bins)).alias("_b")).agg(F.sum(pos).alias("_sy"), F.sum(s * n).alias("_sp"), F.sum(n).alias("_n"))
     ec = bins.groupBy(*by).agg((F.sum(F.abs(F.col("_sy") - F.col("_sp"))) / F.sum("_n")).alias("ece"))
     return rk.join(simple, by).join(ec, by)
+
+
+def sweep_summary(results: DataFrame, config: str = "run", metric: str = "auc_roc", metrics: list[str] = ("auc_roc", "auc_pr", "f1", "brier")) -> DataFrame:
+    """One row per configuration with its test metrics, ranked by
+    ``metric`` (best first), plus the mean and sample std over configurations."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy().orderBy(F.desc(F.round(metric, 9)), config)  # one row per configuration
+    ranked = results.select(config, *metrics).withColumn("rank", F.row_number().over(w).cast("int"))
+    agg = results.agg(*[F.avg(m).alias(f"mean_{m}") for m in metrics], *[F.stddev_samp(m).alias(f"std_{m}") for m in metrics])
+    return ranked.withColumn("__k", F.lit(1)).join(F.broadcast(agg.withColumn("__k", F.lit(1))), "__k").drop("__k")

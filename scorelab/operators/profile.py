@@ -434,3 +434,30 @@ def capped_summary(df: DataFrame, target: str = S.TARGET, q: float = 0.99) -> Da
     m = c.groupBy("cls", "month").agg(F.avg("capped").alias("mean_capped"))
     med = exact_quantiles(c, ["cls", "month"], "capped", [0.5]).select("cls", "month", F.col("capped").alias("median_capped"))
     return m.join(med, ["cls", "month"])
+
+
+def vif(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Variance inflation factors = diagonal of the inverse correlation
+    matrix (with intercept); a singular matrix gives +inf. The p x p
+    correlation comes from MLlib's distributed aggregate; only the small
+    matrix is inverted on the driver."""
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    v = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*[F.col(c).cast("double") for c in cols]))
+    m = Correlation.corr(v, "_v").first()[0].toArray()
+    try:
+        d = np.diag(np.linalg.inv(m)).tolist()
+    except np.linalg.LinAlgError:
+        d = [float("inf")] * len(cols)
+    return df.sparkSession.createDataFrame([(c, float(x)) for c, x in zip(cols, d)], "feature string, vif double")
+
+
+def qq_points(df: DataFrame, cols: list[str], grid: list[float]) -> DataFrame:
+    """Sample quantiles on a probability grid next to standard-normal quantiles."""
+    from ..functions.dist import norm_ppf_lit
+
+    q = exact_quantiles(melt(df, cols), ["feature"], "value", grid)
+    theo = df.sparkSession.createDataFrame([(float(p), norm_ppf_lit(p)) for p in grid], "q double, normal_quantile double")
+    return q.join(F.broadcast(theo), "q")  # one row per grid point

@@ -292,3 +292,16 @@ def q_f5(spark, sf):
     s = S(spark, sf).where(F.col("run") == "a").withColumn("fold", F.floor(uniform(F.col("row_id"), "|fold") * 5).cast("int"))
     long = M.metrics_long(M.metric_bundle(s, 0.5, ["fold"], 15), ["fold"], ["auc_roc", "auc_pr", "f1", "brier"])
     return cv_summary(long)
+
+
+@case(
+    "g19_sweep_summary",
+    W("select b.run, b.auc_roc, b.auc_pr, b.f1, b.brier, cast(row_number() over (order by round(b.auc_roc, 9) desc, b.run) as int) as rank, "
+      "avg(b.auc_roc) over () as mean_auc_roc, avg(b.auc_pr) over () as mean_auc_pr, avg(b.f1) over () as mean_f1, avg(b.brier) over () as mean_brier, "
+      "stddev_samp(b.auc_roc) over () as std_auc_roc, stddev_samp(b.auc_pr) over () as std_auc_pr, stddev_samp(b.f1) over () as std_f1, "
+      "stddev_samp(b.brier) over () as std_brier from (" + Q.bundle("(select * from scores where split = 'test')", ["run"], 0.5, 15) + ") b"),
+    doubles=["auc_roc", "auc_pr", "f1", "brier"] + [f"{k}_{m}" for k in ("mean", "std") for m in ("auc_roc", "auc_pr", "f1", "brier")],
+)
+def q_g19(spark, sf):
+    b = M.metric_bundle(S(spark, sf).where(F.col("split") == "test"), 0.5, ["run"], 15)
+    return M.sweep_summary(b)

@@ -400,3 +400,26 @@ def q_e35(spark, sf):
     from ..operators.split import sample_n
 
     return sample_n(A(spark, sf).select("row_id", "LIMIT_BAL", "AGE", "BILL_AMT1", "DEFAULT"), 200, seed=7)
+
+
+@case("e21_vif", None)
+def q_e21(spark, sf):
+    """VIF of the numeric columns (driver inverts only the p x p matrix)."""
+    return PR.vif(A(spark, sf), NUM)
+
+
+QQ_GRID = [0.01 + 0.98 * k / 49 for k in range(50)]
+
+
+def _qq_sql() -> str:
+    from ..functions.dist import norm_ppf_lit
+
+    qs = "[" + ", ".join(Q.lit(p) for p in QQ_GRID) + "]"
+    nq = "[" + ", ".join(Q.lit(norm_ppf_lit(p)) for p in QQ_GRID) + "]"
+    return W(f"select feature, unnest({qs}) as q, unnest(vals) as value, unnest({nq}) as normal_quantile from ("
+             f"select feature, quantile_cont(value, {qs}) as vals from (" + melt_sql(["AGE", "LIMIT_BAL"]) + ") m group by feature) z")
+
+
+@case("e23_qq_points", _qq_sql(), doubles=["q", "value", "normal_quantile"])
+def q_e23(spark, sf):
+    return PR.qq_points(A(spark, sf), ["AGE", "LIMIT_BAL"], QQ_GRID)
