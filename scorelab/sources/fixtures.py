@@ -81,7 +81,11 @@ def scores(spark: SparkSession, sf_dir: str, attributes: bool = True) -> DataFra
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("int").alias("y_true"),
         "l_linestatus", "l_linenumber", "l_orderkey",
     )
+    # split and rare flag depend on the line only: hash them once per line,
+    # before the per-run explode
+    base = base.withColumn("split", F.when(uniform(F.col("row_id"), "|split") < 0.5, "val").otherwise("test"))
     if attributes:
+        base = base.withColumn("rare", F.when(uniform(F.col("row_id"), "|rare") < 0.0005, 1).otherwise(0).cast("int"))
         o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
         base = base.join(o, base.l_orderkey == o.o_orderkey, "inner").drop("o_orderkey")
     runs = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(k).alias("k")) for r, k in RUN_SIGNAL])
@@ -94,11 +98,8 @@ def scores(spark: SparkSession, sf_dir: str, attributes: bool = True) -> DataFra
         ),
     )
     out = x.select(
-        F.col("_r.run").alias("run"),
-        F.when(uniform(F.col("row_id"), "|split") < 0.5, "val").otherwise("test").alias("split"),
-        "row_id", "y_true", prob.alias("y_prob"),
-        *(["l_linestatus", "l_linenumber", "o_orderpriority", "o_custkey",
-           F.when(uniform(F.col("row_id"), "|rare") < 0.0005, 1).otherwise(0).cast("int").alias("rare")] if attributes else []),
+        F.col("_r.run").alias("run"), "split", "row_id", "y_true", prob.alias("y_prob"),
+        *(["l_linestatus", "l_linenumber", "o_orderpriority", "o_custkey", "rare"] if attributes else []),
     )
     return out.withColumn("y_pred", (F.col("y_prob") >= 0.5).cast("int"))
 
