@@ -40,3 +40,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe_codec
 
     return bpe_codec.digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), {az}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(az=_ASCII)
+
+
+@query("op6_decontaminate", rf"""
+with d as (select doc_id, {_WORDS} w from documents),
+b as (select cast(item_id as varchar) item, {_WORDS} w from benchmark),
+win as (select item, least(13, len(w)) n, unnest(list_transform(range(1, len(w) - least(13, len(w)) + 2), lambda i: array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) g from b where len(w) > 0),
+sizes as (select distinct n from win),
+grams as (select doc_id, n, unnest(range(1, len(w) - n + 2)) i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) g from d, sizes where len(w) >= n),
+hits as (select grams.doc_id, grams.i, grams.n, win.item from grams join win on grams.n = win.n and grams.g = win.g),
+words as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + n)) p from hits) group by doc_id),
+found as (select doc_id, count(*) n_items, string_agg(item, ',' order by item collate "binary") s from (select distinct doc_id, item from hits) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(s, '')) items_sha256,
+  (coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w)) contaminated
+from d left join words using (doc_id) left join found using (doc_id)
+""".replace(' collate "binary"', ""))
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontam
+
+    return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
