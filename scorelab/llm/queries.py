@@ -63,3 +63,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import decontam
 
     return decontam.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard_join
+
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
