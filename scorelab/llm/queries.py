@@ -70,3 +70,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jaccard_join
 
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op3_mil_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import mil_quality
+
+    return mil_quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
