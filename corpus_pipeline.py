@@ -24,11 +24,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the least doc_id (of rows that share it, the one with the least text)."""
-    kept = jaccard_join.jaccard_components(docs).where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("kept")).distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept"))).drop("kept")
-    return left.groupBy("doc_id").agg(F.min(F.struct("text", *(c for c in rest if c != "text"))).alias("r")).select("doc_id", *(F.col(f"r.{c}").alias(c) for c in rest)).select(*docs.columns)
+    """Of each component of linked documents the one with the least doc_id (of rows that share it, one of each text)."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(jaccard_join.LAST_ID))
+    kept = jaccard_join.jaccard_components(docs).where("doc_id <=> component_id").select(key.alias("kept__key")).distinct()
+    keyed = docs.withColumns({"kept__key": key, "kept__text": F.md5("text")})
+    return keyed.join(kept, "kept__key", "left_semi").dropDuplicates(["kept__key", "kept__text"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,3 +77,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mil_quality
 
     return mil_quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_impact_topk", """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256.0 * cast(x as double)) as double)) v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) score from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as "rank" from s)
+select query_id, "rank", vec_id, score from r where "rank" <= 5
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import impact_topk
+
+    return impact_topk.top_k(table(spark, sf_dir, "embeddings"))
