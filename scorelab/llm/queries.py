@@ -90,3 +90,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import impact_topk
 
     return impact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import license_scan
+
+    return license_scan.digests(table(spark, sf_dir, "documents"))
