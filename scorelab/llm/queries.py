@@ -97,3 +97,32 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import license_scan
 
     return license_scan.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op1_url_filter")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import url_filter
+
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "log_odds")
+
+
+@query("op2_length_histogram")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import length_histogram
+
+    return length_histogram.histogram(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+@query("op5_merkle_audit", r"""
+with p as (select page_id, coalesce(url, '') url, coalesce(html, '') html from pages),
+n as (select page_id, html, strlen('WARC/1.1rnWARC-Type: responsernWARC-Record-ID: <urn:page:') + strlen(coalesce(cast(page_id as varchar), '')) + strlen('>rnWARC-Target-URI: ') + strlen(url)
+  + strlen('rnContent-Length: ') + strlen(cast(strlen(html) as varchar)) + 4 + strlen(html) + 4 as n from p),
+o as (select page_id, html, n, sum(n) over (order by page_id nulls first, n rows between unbounded preceding and current row) - n as o from n)
+select cast(o as bigint) "offset", page_id, cast(n as bigint) "length", 'changed' status from o
+where starts_with(md5(cast(page_id as varchar)), '00') and strlen(substring(html, 1, 1)) = 1
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import merkle_audit
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return merkle_audit.audit(merkle_audit.archive(pages), merkle_audit.archive(merkle_audit.damaged_copy(pages), "replica"))
