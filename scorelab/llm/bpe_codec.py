@@ -7,8 +7,7 @@ token keeps its byte offset; decoding scatters token bytes to the offsets.
 
 Defined results: a null text counts as empty; an empty text has no tokens;
 repeated rows are encoded each for itself; other columns pass through
-unchanged, also those named like the helper's own (``ids_col`` and
-``offsets_col`` must not name a column of the input).
+unchanged, but a column with the name of an added one is replaced.
 """
 
 from __future__ import annotations
@@ -239,7 +238,7 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 def encode(df: DataFrame, path: str, text: str = "text", ids_col: str = "ids", offsets_col: str = "offsets") -> DataFrame:
     """Adds the ids of ``text`` and the byte offset of each id's token, as arrays of int."""
-    classes = classes_of_ranks()
+    df, classes = df.drop(ids_col, offsets_col), classes_of_ranks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder_for(path, classes)
@@ -259,7 +258,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids_col: str = "ids", o
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", offsets_col: str = "offsets", out_col: str = "decoded") -> DataFrame:
     """Replaces ids and offsets by the bytes that they stand for."""
-    rest = [f for f in df.schema.fields if f.name not in (ids_col, offsets_col)]
+    rest = [f for f in df.schema.fields if f.name not in (ids_col, offsets_col, out_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blob, where, size = _lengths(path)

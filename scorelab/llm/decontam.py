@@ -15,8 +15,8 @@ holds has a bound (one longer item is a block of its own).
 Defined results: null and empty texts have no words and no hits; items without
 words have no windows; equal items each count under their own id, equal
 (item_id, text) rows once; an empty benchmark hits nothing; repeated documents
-are judged each for itself; other columns pass through (the added ones must
-not be among them).
+are judged each for itself; other columns pass through, but ``find`` replaces
+columns with the names of the added ones.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from .bytewords import Hasher, alnum_table, cut, lower_table, mix, pieces, powers, text_buffers
 from .common import kept_by_worker
 
-WINDOW, BLOCK_WORDS = 13, 100_000
+WINDOW, BLOCK_WORDS, PREFIX = 13, 100_000, "decontam__"
 _BASE = 0xC2B2AE3D27D4EB4F | 1
 _RUNS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("first_word", "end_word", "first_byte", "end_byte")]))
 
@@ -192,10 +192,11 @@ def _runs(hit: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: int, b: int,
     return [{"first_word": int(i), "end_word": int(j) + 1, "first_byte": int(starts[a + i]) - byte, "end_byte": int(ends[a + j]) - byte} for i, j in zip(begins, stops)]
 
 
-def _pass(df: DataFrame, items: list[tuple[str, str]], text: str, window: int) -> DataFrame:
+def _pass(df: DataFrame, items: list[tuple[str, str]], text: str, window: int, made: list[str], later: bool) -> DataFrame:
+    """One block's pass; ``made`` names the added columns, which a later pass adds to."""
+    n_words, n_hit, spans_name, items_name = made
     held = df.sparkSession.sparkContext.broadcast(items)
     key = ("decontam", held._jbroadcast.id() if held._jbroadcast else id(held), df.sparkSession.sparkContext.applicationId)
-    later = "spans" in df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = kept_by_worker(key, lambda: Scanner(held.value, window))
@@ -206,35 +207,35 @@ def _pass(df: DataFrame, items: list[tuple[str, str]], text: str, window: int) -
                 starts, ends, first, hit, found = scanner.scan(part, at)
                 rest = batch.slice(i, j - i)
                 if later:
-                    for k, (spans, have) in enumerate(zip(rest.column(names.index("spans")).to_pylist(), rest.column(names.index("items")).to_pylist())):
+                    for k, (spans, have) in enumerate(zip(rest.column(names.index(spans_name)).to_pylist(), rest.column(names.index(items_name)).to_pylist())):
                         for s in spans:
                             hit[first[k] + s["first_word"] : first[k] + s["end_word"]] = True
                         if have:
                             found.setdefault(k, set()).update(have)
                 sums = np.concatenate([[0], np.cumsum(hit)])
                 spans = [_runs(hit, starts, ends, first[k], first[k + 1], int(at[k])) if sums[first[k + 1]] > sums[first[k]] else [] for k in range(j - i)]
-                made = [
+                added = [
                     pa.array(np.diff(first)), pa.array(np.diff(sums[first])),
                     pa.array(spans, pa.list_(pa.struct([(f.name, pa.int64()) for f in _RUNS.elementType.fields]))),
                     pa.array([sorted(found.get(k, ())) for k in range(j - i)], pa.list_(pa.string())),
                 ]
-                keep = [k for k, n in enumerate(names) if n not in ("n_words", "n_hit", "spans", "items") or not later]
-                yield pa.RecordBatch.from_arrays([*(rest.column(k) for k in keep), *made], names=[*(names[k] for k in keep), "n_words", "n_hit", "spans", "items"])
+                keep = [k for k, n in enumerate(names) if n not in made]
+                yield pa.RecordBatch.from_arrays([*(rest.column(k) for k in keep), *added], names=[*(names[k] for k in keep), *made])
 
-    fields = [f for f in df.schema.fields if not later or f.name not in ("n_words", "n_hit", "spans", "items")]
-    added = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("spans", _RUNS), T.StructField("items", T.ArrayType(T.StringType()))]
-    return df.mapInArrow(run, T.StructType([*fields, *added]))
+    kinds = [T.LongType(), T.LongType(), _RUNS, T.ArrayType(T.StringType())]
+    return df.mapInArrow(run, T.StructType([*(f for f in df.schema.fields if f.name not in made), *(T.StructField(n, k) for n, k in zip(made, kinds))]))
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """Adds n_words, n_hit, spans (runs of hit words, with byte places) and items (ids of items with occurring windows)."""
+def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, prefix: str = "", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Adds n_words, n_hit, spans (runs of hit words, with byte places) and items (ids of items with occurring windows), named with ``prefix``."""
     tests = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body")).where("item is not null and body is not null").distinct()
     size = tests.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-size // (6 * BLOCK_WORDS)))
-    out = docs
+    blocks = max(1, -(-size // (6 * block_words)))
+    made = [prefix + n for n in ("n_words", "n_hit", "spans", "items")]
+    out = docs.drop(*made)
     for k in range(blocks):
         own = tests if blocks == 1 else tests.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
-        out = _pass(out, sorted((r["item"], r["body"]) for r in own.collect()), text, window)
+        out = _pass(out, sorted((r["item"], r["body"]) for r in own.collect()), text, window, made, k > 0)
     return out
 
 
@@ -245,15 +246,15 @@ def contaminated(n_hit, n_words):
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """Drops documents over the coverage limit; cuts the hit spans out of the others' texts."""
-    found = find(docs, benchmark, text, window).where(~contaminated(F.col("n_hit"), F.col("n_words")))
+    found = find(docs, benchmark, text, window, PREFIX).where(~contaminated(F.col(f"{PREFIX}n_hit"), F.col(f"{PREFIX}n_words")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
             k = names.index(text)
-            if sum(batch.column(names.index("n_hit")).to_pylist()):
+            if sum(batch.column(names.index(f"{PREFIX}n_hit")).to_pylist()):
                 texts = batch.column(k).to_pylist()
-                for i, spans in enumerate(batch.column(names.index("spans")).to_pylist()):
+                for i, spans in enumerate(batch.column(names.index(f"{PREFIX}spans")).to_pylist()):
                     raw = texts[i].encode() if spans else b""
                     if spans:
                         edges = [0, *(x for s in spans for x in (s["first_byte"], s["end_byte"])), len(raw)]

@@ -192,7 +192,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out_col: str = "score") -> DataFrame:
-    """Adds the score of every row's whole text; ``out_col`` must be new."""
+    """Adds the score of every row's whole text; a column of that name is replaced."""
+    docs = docs.drop(out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
