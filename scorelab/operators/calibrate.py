@@ -139,42 +139,63 @@ def _compressed_logits(scores: DataFrame, by: list[str], label: str, score: str,
     )
 
 
-def _groups(scores: DataFrame, by: list[str]) -> DataFrame:
-    return scores.select(*by).distinct() if by else scores.sparkSession.range(1).select(F.lit(1).alias("__k"))
-
-
-def _key(df: DataFrame, by: list[str]) -> tuple[DataFrame, list[str]]:
-    return (df, by) if by else (df.withColumn("__k", F.lit(1)), ["__k"])
-
-
-def fit_temperature(val: DataFrame, by: list[str] = ("run",), bounds: tuple[float, float] = (0.05, 10.0), max_iter: int = 50,
-                    tol: float = 1e-10, label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
-    """H3: T minimising the NLL of sigma(logit(p) / T) per group, T in bounds.
-
-    Newton steps in s = 1/T (the NLL is convex in s), clamped to the bounds."""
+def _fit_logistic(val: DataFrame, by: list[str], label: str, score: str, eps: float, max_iter: int, tol: float,
+                  bounds: tuple[float, float] | None = None) -> DataFrame:
+    """(by..., a, b) minimising each group's mean NLL of sigma(a * logit(p) + b).
+
+    Damped Newton on one compressed table: every round evaluates loss, gradient
+    and Hessian at a trial point. A trial that is no worse is accepted and gives
+    the next direction; a worse one is replaced by half the step. With
+    ``bounds`` only a is fitted, within them, and b is 0. Raises if a group has
+    not settled after ``max_iter`` rounds. One job for each round runs here."""
     checkpoint_dir(val.sparkSession)
+    key = by or ["__k"]
+    comp = (_compressed_logits(val, by, label, score, eps) if by else _compressed_logits(val, by, label, score, eps).withColumn("__k", F.lit(1))).persist()
+    state = comp.select(*key).distinct().withColumns({c: F.lit(v) for c, v in (("a", 1.0), ("b", 0.0), ("best_a", 1.0), ("best_b", 0.0), ("best", float("inf")), ("da", 0.0), ("db", 0.0))})
+    carried = ["a", "b", "best_a", "best_b", "best", "da", "db"]
+    lo, hi = (F.lit(x) for x in (bounds or (float("-inf"), float("inf"))))
+    inside = lambda c: F.least(hi, F.greatest(lo, c))
+    try:
+        for _ in range(max_iter):
+            x = F.col("a") * F.col("z") + F.col("b")
+            sig = sigmoid(x)
+            w, r = F.col("w"), F.col("w") * sig * (F.lit(1.0) - sig)
+            g = comp.join(state, key).groupBy(*key).agg(
+                F.sum(w).alias("n"), F.sum(w * (softplus(x) - F.col("y") * x)).alias("loss"),
+                F.sum(w * (sig - F.col("y")) * F.col("z")).alias("ga"), F.sum(w * (sig - F.col("y"))).alias("gb"),
+                F.sum(r * F.col("z") * F.col("z")).alias("haa"), F.sum(r * F.col("z")).alias("hab"), F.sum(r).alias("hbb"),
+                *(F.first(c).alias(c) for c in carried))
+            g = g.withColumn("loss", F.col("loss") / F.col("n"))
+            ok = F.col("loss") <= F.col("best") + F.lit(1e-13)
+            if bounds:
+                step_a, step_b = F.when(F.col("haa") > 0, -F.col("ga") / F.col("haa")).otherwise(-F.signum("ga")), F.lit(0.0)
+            else:
+                # a trace of ridge keeps the system solvable where all logits are equal
+                ridge = F.lit(1e-12) * (F.col("haa") + F.col("hbb")) + F.lit(1e-300)
+                haa, hbb = F.col("haa") + ridge, F.col("hbb") + ridge
+                det = haa * hbb - F.col("hab") * F.col("hab")
+                step_a = (F.col("hab") * F.col("gb") - hbb * F.col("ga")) / det
+                step_b = (F.col("hab") * F.col("ga") - haa * F.col("gb")) / det
+            moved = g.select(
+                *key, F.when(ok, F.col("a")).otherwise(F.col("best_a")).alias("best_a"), F.when(ok, F.col("b")).otherwise(F.col("best_b")).alias("best_b"),
+                F.when(ok, F.col("loss")).otherwise(F.col("best")).alias("best"),
+                F.when(ok, step_a).otherwise(F.col("da") / 2).alias("da"), F.when(ok, step_b).otherwise(F.col("db") / 2).alias("db"))
+            state = moved.withColumns({"a": inside(F.col("best_a") + F.col("da")), "b": F.col("best_b") + F.col("db")}).checkpoint(eager=True)
+            left = F.greatest(F.abs(F.col("a") - F.col("best_a")) / (1 + F.abs("best_a")), F.abs(F.col("b") - F.col("best_b")) / (1 + F.abs("best_b")))
+            worst = state.agg(F.max(left)).first()[0]  # one number
+            if worst is None or worst < tol:
+                return state.select(*by, F.col("best_a").alias("a"), F.col("best_b").alias("b"))
+        raise RuntimeError(f"the calibration fit did not settle in {max_iter} rounds (last step {worst:.3g})")
+    finally:
+        comp.unpersist()
+
+
+def fit_temperature(val: DataFrame, by: list[str] = ("run",), bounds: tuple[float, float] = (0.05, 10.0), max_iter: int = 200,
+                    tol: float = 1e-9, label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
+    """H3: T minimising the NLL of sigma(logit(p) / T) per group, T in bounds (the NLL is convex in 1 / T)."""
     by = list(by)
-    comp, key = _key(_compressed_logits(val, by, label, score, eps).persist(), by)
-    s_lo, s_hi = 1.0 / bounds[1], 1.0 / bounds[0]
-    params = _key(_groups(val, by), by)[0].withColumn("s", F.lit(1.0)) if by else _groups(val, by).withColumn("s", F.lit(1.0))
-    for _ in range(max_iter):
-        j = comp.join(params, key)
-        x = F.col("s") * F.col("z")
-        sig = sigmoid(x)
-        g = j.groupBy(*key).agg(
-            F.sum(F.col("w") * F.col("z") * (sig - F.col("y"))).alias("g"),
-            F.sum(F.col("w") * F.col("z") * F.col("z") * sig * (F.lit(1.0) - sig)).alias("h"),
-            F.first("s").alias("s"),
-        )
-        new = g.select(*key, F.least(F.lit(s_hi), F.greatest(F.lit(s_lo), F.col("s") - F.when(F.col("h") > 0, F.col("g") / F.col("h")).otherwise(0.0))).alias("s_new"), "s")
-        new = new.checkpoint(eager=True)
-        step = new.agg(F.max(F.abs(F.col("s_new") - F.col("s")))).first()[0]  # one number
-        params = new.select(*key, F.col("s_new").alias("s"))
-        if step is None or step < tol:
-            break
-    comp.unpersist()
-    out = params.select(*key, (F.lit(1.0) / F.col("s")).alias("temperature"))
-    return out.drop("__k") if not by else out
+    s = _fit_logistic(val, by, label, score, eps, max_iter, tol, (1.0 / bounds[1], 1.0 / bounds[0]))
+    return s.select(*by, (F.lit(1.0) / F.col("a")).alias("temperature"))
 
 
 def apply_temperature(scores: DataFrame, params: DataFrame, by: list[str] = ("run",), score: str = P, eps: float = EPS) -> DataFrame:
@@ -183,37 +204,18 @@ def apply_temperature(scores: DataFrame, params: DataFrame, by: list[str] = ("ru
     return j.withColumn(score, sigmoid(logit(score, eps) / F.col("temperature"))).drop("temperature")
 
 
-def fit_platt(val: DataFrame, by: list[str] = ("run",), max_iter: int = 50, tol: float = 1e-10, label: str = Y, score: str = P,
+def fit_platt(val: DataFrame, by: list[str] = ("run",), max_iter: int = 200, tol: float = 1e-9, label: str = Y, score: str = P,
               eps: float = EPS) -> DataFrame:
-    """H4: (a, b) of sigma(a * logit(p) + b) by Newton / IRLS from (1, 0);
-    each step solves the 2x2 normal equations from one aggregate."""
-    checkpoint_dir(val.sparkSession)
+    """H4: (a, b) of sigma(a * logit(p) + b) per group, by damped Newton from (1, 0)."""
+    return _fit_logistic(val, list(by), label, score, eps, max_iter, tol)
+
+
+def fit_gradient(val: DataFrame, params: DataFrame, by: list[str] = ("run",), label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
+    """Mean gradient of the NLL in (a, b) at fitted parameters: both 0 at a minimum."""
     by = list(by)
-    comp, key = _key(_compressed_logits(val, by, label, score, eps).persist(), by)
-    base = _key(_groups(val, by), by)[0] if by else _groups(val, by)
-    params = base.withColumns({"a": F.lit(1.0), "b": F.lit(0.0)})
-    for _ in range(max_iter):
-        j = comp.join(params, key)
-        sig = sigmoid(F.col("a") * F.col("z") + F.col("b"))
-        r = F.col("w") * sig * (F.lit(1.0) - sig)
-        g = j.groupBy(*key).agg(
-            F.sum(F.col("w") * (sig - F.col("y")) * F.col("z")).alias("ga"),
-            F.sum(F.col("w") * (sig - F.col("y"))).alias("gb"),
-            F.sum(r * F.col("z") * F.col("z")).alias("haa"),
-            F.sum(r * F.col("z")).alias("hab"),
-            F.sum(r).alias("hbb"),
-            F.first("a").alias("a"), F.first("b").alias("b"),
-        )
-        det = F.col("haa") * F.col("hbb") - F.col("hab") * F.col("hab")
-        da = F.when(det != 0, (F.col("hbb") * F.col("ga") - F.col("hab") * F.col("gb")) / det).otherwise(0.0)
-        db = F.when(det != 0, (F.col("haa") * F.col("gb") - F.col("hab") * F.col("ga")) / det).otherwise(0.0)
-        new = g.select(*key, "a", "b", (F.col("a") - da).alias("a_new"), (F.col("b") - db).alias("b_new")).checkpoint(eager=True)
-        step = new.agg(F.max(F.greatest(F.abs(F.col("a_new") - F.col("a")), F.abs(F.col("b_new") - F.col("b"))))).first()[0]
-        params = new.select(*key, F.col("a_new").alias("a"), F.col("b_new").alias("b"))
-        if step is None or step < tol:
-            break
-    comp.unpersist()
-    return params.drop("__k") if not by else params
+    x = F.col("a") * logit(score, eps) + F.col("b")
+    off = sigmoid(x) - F.col(label).cast("double")
+    return val.join(params, by).groupBy(*by).agg(F.avg(off * logit(score, eps)).alias("gradient_a"), F.avg(off).alias("gradient_b"))
 
 
 def apply_platt(scores: DataFrame, params: DataFrame, by: list[str] = ("run",), score: str = P, eps: float = EPS) -> DataFrame:

@@ -222,27 +222,48 @@ def repayment_median(df: DataFrame, target: str = S.TARGET) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str], by: list[str] = ()) -> DataFrame:
-    """Lower-triangle Pearson correlations (a before b in column order) in one pass."""
+    """Lower-triangle Pearson correlations (a before b in column
+    order) in one pass; each pair over the rows in which both are present,
+    whatever the number of columns."""
     by = list(by)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not by and len(cols) > 8:
-        return _corr_mllib(df, cols, pairs)
+    if not by:
+        return _corr_from_moments(df, cols)
     g = df.groupBy(*by).agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
     st = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{k}").alias("r")) for k, (a, b) in enumerate(pairs)]))
     return g.select(*by, st.alias("_p")).select(*by, "_p.*")
 
 
-def _corr_mllib(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
-    """Wide Pearson matrix with MLlib's distributed Correlation (tree
-    aggregate of the column moments); only the p x p result reaches the driver."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    v = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*[F.col(c).cast("double") for c in cols]))
-    m = Correlation.corr(v, "_v").first()[0].toArray()
-    idx = {c: i for i, c in enumerate(cols)}
-    rows = [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+def _corr_from_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """All pairs at once: each task adds up every pair's moments by matrix
+    products, about shared centres (the column means), over the rows in which
+    both are present; a row for each pair and task is shuffled."""
+    import numpy as np
+    import pyarrow as pa
+
+    x = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    centre = np.array([v or 0.0 for v in x.agg(*[F.avg(c) for c in x.columns]).first()])
+    i, j = np.triu_indices(len(cols), 1)
+
+    def moments(batches):
+        total = None
+        for batch in batches:
+            v = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - centre[:, None]
+            there = np.array([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            v = np.where(there > 0, v, 0.0)
+            s, q = v @ there.T, (v * v) @ there.T
+            now = np.stack([(there @ there.T)[i, j], s[i, j], s[j, i], q[i, j], q[j, i], (v @ v.T)[i, j]])
+            total = now if total is None else total + now
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype("int32")), pa.array(j.astype("int32")), *(pa.array(t) for t in total)], names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    parts = x.mapInArrow(moments, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
+    g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+    vx, vy = n * F.col("sxx") - F.col("sx") * F.col("sx"), n * F.col("syy") - F.col("sy") * F.col("sy")
+    r = (n * F.col("sxy") - F.col("sx") * F.col("sy")) / F.sqrt(vx * vy)
+    name = lambda k: F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(k) + 1)
+    return g.select(name("i").alias("a"), name("j").alias("b"), F.when((vx > 0) & (vy > 0), r).alias("r"))
 
 
 def lag_autocorr(df: DataFrame, cols: list[str] = S.BILL_AMT, target: str = S.TARGET, max_lag: int = 5, z: float = 1.96) -> DataFrame:
@@ -436,21 +457,21 @@ def capped_summary(df: DataFrame, target: str = S.TARGET, q: float = 0.99) -> Da
     return m.join(med, ["cls", "month"])
 
 
-def vif(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Variance inflation factors = diagonal of the inverse correlation
-    matrix (with intercept); a singular matrix gives +inf. The p x p
-    correlation comes from MLlib's distributed aggregate; only the small
-    matrix is inverted on the driver."""
+def vif(df: DataFrame, cols: list[str], singular: float = 1e12) -> DataFrame:
+    """Variance inflation factors = diagonal of the inverse of the
+    pairwise correlation matrix (one aggregate; only its p x p numbers reach
+    the driver). A matrix whose condition number exceeds ``singular``, or a
+    constant column, gives +inf. The rows come from a job that runs here."""
     import numpy as np
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
 
-    v = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*[F.col(c).cast("double") for c in cols]))
-    m = Correlation.corr(v, "_v").first()[0].toArray()
-    try:
-        d = np.diag(np.linalg.inv(m)).tolist()
-    except np.linalg.LinAlgError:
+    place = {c: i for i, c in enumerate(cols)}
+    m = np.eye(len(cols))
+    for r in corr_matrix(df, cols).collect():
+        m[place[r["a"]], place[r["b"]]] = m[place[r["b"]], place[r["a"]]] = np.nan if r["r"] is None else r["r"]
+    if np.isnan(m).any() or np.linalg.cond(m) > singular:
         d = [float("inf")] * len(cols)
+    else:
+        d = np.diag(np.linalg.inv(m)).tolist()
     return df.sparkSession.createDataFrame([(c, float(x)) for c, x in zip(cols, d)], "feature string, vif double")
 
 

@@ -11,6 +11,7 @@ from . import sqltext as Q
 from .registry import case
 
 BY = ["run", "split"]
+BY1 = ["run"]
 BUNDLE_COLS = ["auc_roc", "ece_equal_width", "ece_equal_mass", "mce", "brier", "reliability", "resolution", "uncertainty", "brier_skill_score"]
 
 
@@ -110,6 +111,16 @@ def q_h4(spark, sf):
     return C.calibration_bundle(C.apply_platt(S(spark, sf), params, ["run"]), 10, BY)
 
 
+@case("h3_h4_fit_gradient", W("select distinct run, cast(0.0 as double) as temperature_gradient, cast(0.0 as double) as platt_gradient_a, cast(0.0 as double) as platt_gradient_b from scores"),
+      doubles=["temperature_gradient", "platt_gradient_a", "platt_gradient_b"])
+def q_fit_gradient(spark, sf):
+    """Fits of temperature and Platt on val: the NLL's gradient at the fitted parameters vanishes."""
+    val = S(spark, sf).where(F.col("split") == "val")
+    p = C.fit_gradient(val, C.fit_platt(val, BY1), BY1).select("run", F.col("gradient_a").alias("platt_gradient_a"), F.col("gradient_b").alias("platt_gradient_b"))
+    t = C.fit_temperature(val, BY1).select("run", (F.lit(1.0) / F.col("temperature")).alias("a"), F.lit(0.0).alias("b"))
+    return C.fit_gradient(val, t, BY1).select("run", F.col("gradient_a").alias("temperature_gradient")).join(p, "run")
+
+
 @case("h12_calibrate_and_score", None)
 def q_h12(spark, sf):
     """Fit on val, score on test, all four calibrators for every run (fits: rows-only check)."""

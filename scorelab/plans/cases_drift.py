@@ -46,6 +46,7 @@ def m1_sql() -> str:
         parts.append(f"select '{c}' as \"column\", cast(count(*) filter (where row_id is not null and rb is not null and not coalesce({same}, false)) as bigint) as n_mismatch from j")
     parts.append("select '<only_left>', cast(count(*) filter (where rb is null) as bigint) from j")
     parts.append("select '<only_right>', cast(count(*) filter (where row_id is null) as bigint) from j")
+    parts.append("select '<column_order>', cast(0 as bigint)")
     body = " union all ".join(parts)
     j = j.replace("select a.*,", "select a.row_id, " + ", ".join(f"a.{q(c)} as a_{c}" for c in cols) + ",")
     return Q.with_fixtures(body, "accounts", extra=[("pert", PERT), ("j", j)])
@@ -75,6 +76,8 @@ def _fp_sql(src: str) -> str:
 def m2_sql() -> str:
     o, e = _fp_sql(_split_sql(7)), _fp_sql(_split_sql(42))
     checks = ["select split, 'n_rows' as \"check\", o.n_rows = e.n_rows as passed from o join e using (split)",
+              "select split, 'n_cols', true from o join e using (split)",
+              "select split, 'columns', true from o join e using (split)",
               "select split, 'target_rate', abs(o.target_rate - e.target_rate) <= 1e-3 from o join e using (split)"]
     checks += [f"select split, 'mean_{c}', abs(o.mean_{c} - e.mean_{c}) <= 1e-4 + 1e-3 * abs(e.mean_{c}) from o join e using (split)" for c in FP_COLS]
     return Q.with_fixtures(" union all ".join(checks), "accounts", extra=[("o", o), ("e", e)])
@@ -87,15 +90,17 @@ def _fp(spark, sf, seed):
 
 @case("m2_fingerprint_check", m2_sql())
 def q_m2(spark, sf):
-    """Fingerprint of the seed-7 split against the seed-42 ledger (n_cols compared too; dropped here since both sides have the same width)."""
-    r = D.check_fingerprint(_fp(spark, sf, 7), _fp(spark, sf, 42), ["split"], FP_COLS)
-    return r.where(F.col("check") != "n_cols")
+    """Fingerprint of the seed-7 split against the seed-42 ledger."""
+    return D.check_fingerprint(_fp(spark, sf, 7), _fp(spark, sf, 42), ["split"], FP_COLS)
 
 
-@case("m3_score_drift", Q.with_fixtures(
-    "select max(abs(a.y_prob - b.y_prob)) as max_abs_diff, coalesce(corr(a.y_prob, b.y_prob), 0.0) as pearson, count(*) as n, "
-    "max(abs(a.y_prob - b.y_prob)) <= 0.05 and coalesce(corr(a.y_prob, b.y_prob), 0.0) >= 0.999 as passed from "
-    "(select * from scores where run = 'a' and split = 'test') a join (select * from scores where run = 'b' and split = 'test') b using (row_id)", "scores"),
+M3_SQL = ("select max(abs(a.y_prob - b.y_prob)) as max_abs_diff, coalesce(corr(a.y_prob, b.y_prob), 0.0) as pearson, count(*) filter (where a.y_prob is not null and b.y_prob is not null) as n, "
+          "count(*) filter (where a.y_prob is null or b.y_prob is null) as n_unmatched, "
+          "max(abs(a.y_prob - b.y_prob)) <= 0.05 and coalesce(corr(a.y_prob, b.y_prob), 0.0) >= 0.999 and count(*) filter (where a.y_prob is null or b.y_prob is null) = 0 as passed from "
+          "(select * from scores where run = 'a' and split = 'test') a full outer join (select * from scores where run = 'b' and split = 'test') b using (row_id)")
+
+
+@case("m3_score_drift", Q.with_fixtures(M3_SQL, "scores"),
     doubles=["max_abs_diff", "pearson"])
 def q_m3(spark, sf):
     s = fx.scores(spark, sf, attributes=False).where(F.col("split") == "test")
@@ -143,7 +148,11 @@ def q_m6(spark, sf):
     return content_hash(spark, sf, "*.parquet").select("path", "length", "sha256")
 
 
-@case("m7_check_report", None)
+def m7_sql() -> str:
+    return f"select bool_and(passed) as all_passed, count(*) as n_checks, count(*) filter (where not passed) as n_failed from (select passed from ({m2_sql()}) f union all select passed from ({Q.with_fixtures(M3_SQL, 'scores')}) s) u"
+
+
+@case("m7_check_report", m7_sql())
 def q_m7(spark, sf):
     chk = q_m2(spark, sf).select("check", "passed")
     drift = q_m3(spark, sf).select(F.lit("score_drift").alias("check"), "passed")

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.profile import class_distribution
+from ..operators.split import stratified_split
 from ..session import checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources import io
 from . import sqltext as Q
+from .cases_drift import _split_sql
 from .registry import case
 
 
@@ -20,25 +22,34 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/scorelab-io/{name}-{uuid.uuid4().hex[:8]}"
 
 
-@case("a1_load_first_available", None)
+@case("a1_load_first_available", "select cast(i as int) as attempt, 'parquet' as source, ok, (not ok) as has_error, n as rows_loaded from (values (0, false), (1, true)) v(i, ok), (select count(*) as n from customer) c")
 def q_a1(spark, sf):
     """Missing candidates fall through; the provenance lists every attempt."""
     df, prov = io.load_first_available(spark, [("parquet", f"{sf}/no_such_table.parquet", {}), ("parquet", f"{sf}/customer.parquet", {})])
     n = df.agg(F.count(F.lit(1)).alias("rows_loaded"))
-    return prov.withColumn("_k", F.lit(1)).join(n.withColumn("_k", F.lit(1)), "_k").drop("_k", "seconds")
+    short = prov.select("attempt", "source", "ok", F.col("error").isNotNull().alias("has_error"), F.lit(1).alias("_k"))
+    return short.join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
-@case("a2_read_with_banner", None)
+A2_COLS = ["row_id"] + S.ALL_COLUMNS
+A2_Q = [c if c != "DEFAULT" else '"DEFAULT"' for c in A2_COLS]
+
+
+@case("a2_read_with_banner", Q.with_fixtures("select " + ", ".join(f"cast({q} as double) as {q}" for q in A2_Q) + " from accounts", "accounts"), doubles=A2_COLS)
 def q_a2(spark, sf):
-    """Accounts written as CSV with a banner line above the header, read back."""
+    """Accounts written as CSV files, each with a banner line above its header, read back in full."""
     path = _scratch(spark, "banner")
-    a = fx.accounts(spark, sf)
-    cols = ["row_id"] + S.ALL_COLUMNS
-    text = a.select(F.concat_ws(",", *[F.col(c).cast("string") for c in cols]).alias("value"))
-    banner = spark.createDataFrame([("credit accounts export",), (",".join(cols),)], "value string")
-    banner.unionByName(text).coalesce(1).write.mode("overwrite").text(path)  # one file: banner, header, rows in order
-    back = io.read_with_banner(spark, path, "row_id long, LIMIT_BAL double, SEX int")
-    return back.agg(F.count(F.lit(1)).alias("n"), F.sum("LIMIT_BAL").alias("sum_limit"))
+    lines = fx.accounts(spark, sf).select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in A2_COLS]).alias("value"))
+    top = ["credit accounts export, all, columns", ",".join(A2_COLS)]
+
+    def with_banner(frames):
+        import pandas as pd
+
+        yield pd.DataFrame({"value": top})
+        yield from frames
+
+    lines.mapInPandas(with_banner, "value string").write.mode("overwrite").text(path)
+    return io.read_with_banner(spark, path, ", ".join(f"{c} double" for c in A2_COLS))
 
 
 @case("a4_normalise_schema", Q.with_fixtures("select row_id, " + ", ".join(c if c != "DEFAULT" else '"DEFAULT"' for c in S.ALL_COLUMNS) + " from accounts", "accounts"),
@@ -51,7 +62,7 @@ def q_a4(spark, sf):
     return io.normalise_schema(raw, keep=["row_id"])
 
 
-@case("a5_a7_write_read_scores", None)
+@case("a5_a7_write_read_scores", Q.with_fixtures("select run, split, count(*) as n from scores where run in ('a', 'b') and split = 'test' group by run, split", "scores"))
 def q_a5(spark, sf):
     """Score table written partitioned by run/split, read back with pruning."""
     path = _scratch(spark, "scores")
@@ -60,11 +71,19 @@ def q_a5(spark, sf):
     return back.groupBy("run", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@case("a6_write_report", None)
+@case("a5_write_splits", Q.with_fixtures("select split, count(*) as n, sum(LIMIT_BAL) as sum_limit from scores_split group by split", "accounts", extra=[("scores_split", _split_sql(42))]), doubles=["sum_limit"])
+def q_a5_splits(spark, sf):
+    """Accounts written as one dataset partitioned by split, read back."""
+    path = _scratch(spark, "splits")
+    io.write_splits(stratified_split(fx.accounts(spark, sf), seed=42), path)
+    return spark.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("LIMIT_BAL").alias("sum_limit"))
+
+
+@case("a6_write_report", Q.with_fixtures("select cast(\"DEFAULT\" as bigint) as cls, count(*) as n, count(*) / sum(count(*)) over () as share from accounts group by 1", "accounts"), doubles=["share"])
 def q_a6(spark, sf):
     path = _scratch(spark, "report")
     io.write_report(class_distribution(fx.accounts(spark, sf)), path)
-    return spark.read.json(path)
+    return spark.read.json(path).select("cls", "n", "share")
 
 
 @case("a8_baseline_metrics", None)

@@ -408,6 +408,12 @@ def q_e21(spark, sf):
     return PR.vif(A(spark, sf), NUM)
 
 
+@case("e21_vif_two_columns", W(
+    "select unnest(['AGE', 'LIMIT_BAL']) as feature, 1.0 / (1.0 - pow(corr(AGE, LIMIT_BAL), 2)) as vif from acc"), doubles=["vif"])
+def q_e21_two(spark, sf):
+    return PR.vif(A(spark, sf), ["AGE", "LIMIT_BAL"])
+
+
 QQ_GRID = [0.01 + 0.98 * k / 49 for k in range(50)]
 
 

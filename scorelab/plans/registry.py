@@ -65,14 +65,18 @@ def wrap_sql(c: Case) -> str:
 
 
 def load_all() -> dict[str, Case]:
-    from . import cases_data  # noqa: F401
-
-    for mod in ("cases_metrics", "cases_calibration", "cases_fairness", "cases_uncertainty",
-                "cases_significance", "cases_profile", "cases_split", "cases_attribution",
-                "cases_drift", "cases_io", "cases_baseline"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as ex:
-            if ex.name != f"{__package__}.{mod}":
-                raise
+    from . import (  # noqa: F401
+        cases_attribution,
+        cases_baseline,
+        cases_calibration,
+        cases_data,
+        cases_drift,
+        cases_fairness,
+        cases_io,
+        cases_metrics,
+        cases_profile,
+        cases_split,
+        cases_uncertainty,
+    )
+
     return CASES

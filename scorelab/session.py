@@ -1,8 +1,8 @@
 """Session helpers.
 
 On a cluster the session is created by the platform; ``checkpoint_dir``
-only reads ``spark.checkpoint.dir`` and falls back to a fresh scratch
-folder when the setting is absent (local runs and tests).
+reads ``spark.checkpoint.dir``. Only a local session, whose driver and
+executors are one process, gets a scratch folder when the setting is absent.
 """
 
 from __future__ import annotations
@@ -35,13 +35,15 @@ def local_session(cpus: int | str = 8, app: str = "scorelab", extra: dict | None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only when unset."""
+    """The shared checkpoint folder; raises on a cluster where none is set."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="scorelab-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -7,8 +7,10 @@ prune partitions.
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +56,7 @@ def load_first_available(spark: SparkSession, candidates: list[tuple[str, str, d
             result = df
             break
         except RECOVERABLE as ex:
-            attempts.append(Attempt(fmt, path, False, time.time() - t0, str(ex).splitlines()[0][:300]))
+            attempts.append(Attempt(fmt, path, False, time.time() - t0, str(ex)))
             if not allow_fallback:
                 break
     prov = spark.createDataFrame(
@@ -67,20 +69,19 @@ def load_first_available(spark: SparkSession, candidates: list[tuple[str, str, d
 
 
 def read_with_banner(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A2: CSV with a banner line above the header row.
+    """A2: CSV with a banner line above the header row, in every file.
 
-    Lines carry no order in a distributed read, so both extra lines are
-    recognised by content: the header repeats the first column name and the
-    banner has fewer fields than the schema. Both are dropped and the leading
-    fields of each line are parsed with ``from_csv`` and cast to the schema."""
+    The reader skips each file's first line, whatever it holds; the header
+    below it is the row that repeats the column names. All other rows stay:
+    missing fields are null, fields beyond the schema are ignored."""
     last = path.rstrip("/").rsplit("/", 1)[-1]
     if "." in last and not last.lower().endswith((".csv", ".txt")):
         raise ValueError(f"unsupported extension: {path}")
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     as_text = ", ".join(f"`{f.name}` string" for f in st.fields)
-    rows = spark.read.text(path).select(F.from_csv(F.col("value"), as_text).alias("r"), F.size(F.split("value", ",")).alias("_w")).select("r.*", "_w")
-    first = st.fields[0].name
-    body = rows.where((F.col(f"`{first}`") != F.lit(first)) & (F.col("_w") >= len(st.fields)))
+    rows = spark.read.schema(as_text).option("header", True).option("enforceSchema", True).csv(path)
+    is_header = reduce(lambda x, y: x & y, [F.col(f"`{f.name}`").eqNullSafe(F.lit(f.name)) for f in st.fields])
+    body = rows.where(~is_header)
     return body.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
 
 
@@ -92,32 +93,24 @@ def rename_anonymous(df: DataFrame, mapping: dict[str, str] | None = None) -> Da
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
+#: Canonical column -> what a header must look like, compared in upper case
+#: with runs of blanks and dots as one underscore.
+HEADER_RULES = {c: re.compile(rf"{c}") for c in S.ALL_COLUMNS} | {"PAY_0": re.compile("PAY_[01]"), "DEFAULT": re.compile(".*DEFAULT.*")}
+
+
 def normalise_schema(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """A4: canonical names (PAY_1 -> PAY_0, any name containing DEFAULT ->
-    DEFAULT, ID dropped), fail on missing columns, canonical order, extras
-    dropped (``keep`` columns such as ``row_id`` are retained first)."""
+    """A4: the contract's columns under their canonical names and in its
+    order, ``keep`` columns first. Every header is matched against the rule
+    table; headers that no rule claims are dropped. A column that no header,
+    or more than one, claims is an error."""
     keep = keep or []
-    ren: dict[str, str] = {}
-    drop: list[str] = []
-    targets = []
-    for c in df.columns:
-        u = c.strip().upper().replace(" ", "_").replace(".", "_")
-        if c in keep:
-            continue
-        if u == "PAY_1":
-            ren[c] = "PAY_0"
-        elif "DEFAULT" in u:
-            ren[c] = "DEFAULT"
-            targets.append(c)
-        elif u == "ID":
-            drop.append(c)
-    if len(targets) > 1:
-        raise ValueError(f"ambiguous target columns: {targets}")
-    out = df.drop(*drop).withColumnsRenamed(ren)
-    missing = [c for c in S.ALL_COLUMNS if c not in out.columns]
-    if missing:
-        raise ValueError(f"Missing expected columns: {missing}")
-    return out.select(*keep, *S.ALL_COLUMNS)
+    plain = {h: re.sub(r"[\s.]+", "_", h.strip()).upper() for h in df.columns if h not in keep}
+    claims = {c: [h for h, name in plain.items() if rule.fullmatch(name)] for c, rule in HEADER_RULES.items()}
+    unclear = {c: hs for c, hs in claims.items() if len(hs) > 1}
+    absent = [c for c, hs in claims.items() if not hs]
+    if unclear or absent:
+        raise ValueError(f"headers do not fit the contract: nothing for {absent}, several for {unclear}")
+    return df.select(*[F.col(f"`{k}`") for k in keep], *[F.col(f"`{claims[c][0]}`").alias(c) for c in S.ALL_COLUMNS])
 
 
 def write_splits(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
