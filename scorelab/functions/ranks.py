@@ -1,11 +1,12 @@
 """Distributed prefix sums and mid-ranks without a single-task window.
 
 ``Window.orderBy(x)`` without ``partitionBy`` moves every row into one task.
-``prefix_sums`` instead range-buckets each group by approximate quantiles of
-the order key, runs a local window inside each (group, bucket), and adds the
-exclusive running total of the preceding buckets. The bucket totals table is
-``groups x n_buckets`` rows and is joined back without a forced broadcast,
-so the planner (and AQE, with runtime sizes) picks the join strategy.
+``prefix_sums`` instead deals the rows out by ranges of (group, order key),
+whose edges Spark samples from the rows themselves, so that crowded values do
+not crowd a task; it runs a local window inside each (group, range) and adds
+the exclusive running total of the preceding ranges. A group covers
+neighbouring ranges only, so the totals table has at most groups + ranges
+rows; it is joined back without a forced broadcast.
 
 Inputs should be *compressed* (one row per group and distinct order value,
 with counts); then a hot value is a single row and cannot skew a bucket.
@@ -34,7 +35,6 @@ def prefix_sums(
     order: str,
     cols: list[str],
     n_buckets: int | None = None,
-    accuracy: int = 10000,
     tiebreak: list[str] | None = None,
     value_range: tuple[float, float] | None = None,
 ) -> DataFrame:
@@ -46,33 +46,25 @@ def prefix_sums(
 
     ``value_range=(lo, hi)`` declares the domain of ``order`` (probabilities,
     uniform hashes): buckets are then equal-width slices of it, computed
-    per row with no extra job. Otherwise bucket edges are approximate
-    per-group quantiles, materialised once.
+    per row with no extra job. Otherwise the ranges are sampled, and the rows
+    checkpointed, by a job that runs here.
     """
     nb = _n_buckets(df, n_buckets)
     by = list(by)
     if not by:
-        out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order, cols, n_buckets, accuracy, tiebreak, value_range)
+        out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order, cols, n_buckets, tiebreak, value_range)
         return out.drop("_g")
     if nb > 1 and value_range is not None:
         lo, hi = float(value_range[0]), float(value_range[1])
         x = (F.col(order).cast("double") - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(nb))
         bucketed = df.withColumn("_bk", F.least(F.lit(nb - 1), F.greatest(F.lit(0), F.floor(x).cast("int"))))
     elif nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        edges = df.groupBy(*by).agg(
-            F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("_edges")
-        )
-        # Approximate quantiles depend on merge order, so a recomputation
-        # (a second branch of this plan, or a retry after an executor loss)
-        # could move the edges. Materialise them once in the shared
-        # checkpoint folder; both branches then bucket identically.
+        # The input is evaluated once, dealt out by ranges of (group, value)
+        # and kept in the shared checkpoint folder, so that all branches, and
+        # a retry after a lost executor, see the same ranges. This runs a job.
         checkpoint_dir(df.sparkSession)
-        edges = edges.checkpoint(eager=True)
-        x = F.col(order).cast("double")
-        bucketed = df.join(edges, by, "inner").withColumn(
-            "_bk", F.size(F.filter(F.col("_edges"), lambda e: e < x))
-        ).drop("_edges")
+        keys = [*by, order, *(tiebreak or [])]
+        bucketed = df.repartitionByRange(nb, *keys).withColumn("_bk", F.spark_partition_id()).checkpoint(eager=True)
     else:
         bucketed = df.withColumn("_bk", F.lit(0))
     totals = bucketed.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_bt_{c}") for c in cols])

@@ -18,6 +18,8 @@ from .clean import melt
 # PAY status states.
 PAY_STATE_NO_BILL, PAY_STATE_PAID_FULL, PAY_STATE_MINIMUM, PAY_STATE_DELINQUENT = 0, 1, 2, 3
 MAX_PAY_DELAY = 8
+#: Most categorical codes that a broadcast row may hold.
+MAX_CODES = 100_000
 
 
 def fit_scaler(train: DataFrame, cols: list[str]) -> DataFrame:
@@ -67,26 +69,29 @@ def tokenise(df: DataFrame, vocab: DataFrame, key: str = "row_id", target: str =
     pay_severities[6], pay_raw[6], num_values[14], label. A categorical code
     missing from the vocabulary raises, naming the feature and value.
 
-    Codes are looked up through a join on (feature, value) against the
-    vocabulary (a few dozen rows, broadcast) after melting the three
-    categorical columns; rows are re-assembled with one aggregate per key."""
-    cats = melt(df.select(key, *S.CATEGORICAL), S.CATEGORICAL, keep=[key]).select(key, "feature", F.col("value").cast("long").alias("value"))
-    v = F.broadcast(vocab.where(F.col("feature").isin(S.CATEGORICAL)))
-    j = cats.join(v, ["feature", "value"], "left")
-    j = j.withColumn("idx", F.when(F.col("idx").isNull(), F.raise_error(F.concat(F.lit("unseen "), F.col("feature"), F.lit(" value "), F.col("value").cast("string")))).otherwise(F.col("idx")))
-    order = F.array(*[F.lit(c) for c in S.CATEGORICAL])
-    idx = j.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("feature", "idx"))).alias("_m"))
-    idx = idx.select(key, F.transform(order, lambda f: F.col("_m")[f]).alias("cat_indices"))
+    The vocabulary becomes one row that holds a map (at most ``MAX_CODES``
+    codes, else it raises); with that row broadcast, the whole step is a
+    projection of each row."""
+    place = lambda feature, value: F.concat(feature, F.lit("="), value.cast("long").cast("string"))
+    codes = vocab.where(F.col("feature").isin(S.CATEGORICAL)).limit(MAX_CODES + 1).groupBy().agg(
+        F.count(F.lit(1)).alias("_n"), F.map_from_entries(F.collect_list(F.struct(place(F.col("feature"), F.col("value")), "idx"))).alias("_map"))
+    codes = codes.select(F.when(F.col("_n") > MAX_CODES, F.raise_error(F.lit(f"more than {MAX_CODES} codes"))).otherwise(F.col("_map")).alias("_map"), F.lit(1).alias("_k"))
+
+    def code(c: str):
+        at = place(F.lit(c), F.col(c))
+        return F.coalesce(F.col("_map")[at], F.raise_error(F.concat(F.lit("no code for "), F.coalesce(at, F.lit(f"{c}=null")))).cast("int"))
+
+    df = df.withColumn("_k", F.lit(1)).join(F.broadcast(codes), "_k")  # one row
     enc = [encode_pay(p) for p in S.PAY_STATUS]
-    body = df.select(
+    return df.select(
         key,
+        F.array(*[code(c) for c in S.CATEGORICAL]).alias("cat_indices"),
         F.array(*[e[0] for e in enc]).alias("pay_state_ids"),
         F.array(*[e[1].cast("float") for e in enc]).alias("pay_severities"),
         F.array(*[e[2] for e in enc]).alias("pay_raw"),
         F.array(*[F.col(c).cast("float") for c in S.NUMERICAL]).alias("num_values"),
         F.col(target).cast("long").alias("label"),
     )
-    return idx.join(body, key)
 
 
 def tokenise_summary(tokens: DataFrame) -> DataFrame:
@@ -98,6 +103,13 @@ def tokenise_summary(tokens: DataFrame) -> DataFrame:
     return cat.unionByName(st)
 
 
+def token_value_ranges(tokens: DataFrame) -> DataFrame:
+    """Min, max and mean of the severities and of each numeric value, one row per (kind, slot)."""
+    both = [tokens.select(F.lit(kind).alias("kind"), F.posexplode(col).alias("slot", "v")) for kind, col in (("severity", "pay_severities"), ("numeric", "num_values"))]
+    v = F.col("v").cast("double")
+    return both[0].unionByName(both[1]).groupBy("kind", "slot").agg(F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"))
+
+
 def mask_tokens(tokens: DataFrame, p: float = 0.15, min_mask: int = 1, max_mask: int = 23, seed: int = 0,
                 mask_frac: float = 0.8, random_frac: float = 0.1, n_tokens: int = 23, key: str = "row_id") -> DataFrame:
     """Per row, Bernoulli(p) token selection from hash draws, topped up

@@ -261,7 +261,7 @@ def _quant_sql(cols: list[str], qs: list[float], src: str = "accounts") -> str:
     )
 
 
-IQR_COLS = ["LIMIT_BAL", "AGE", "BILL_AMT1", "BILL_AMT6", "PAY_AMT1", "PAY_AMT6"]
+IQR_COLS = S.NUMERICAL
 
 
 @case(

@@ -261,27 +261,32 @@ def q_g18(spark, sf):
     return b.join(t, "run").join(sw, ["run", "val_tau"])
 
 
+F4_CLASSES = (
+    "select run, split, 'class' as average, cast(1 as int) as cls, precision, recall, f1, cast(tp + fn as bigint) as support from (" + Q.rates(Q.conf("scores", BY)) + ") r "
+    "union all select run, split, 'class', cast(0 as int), case when tn + fn > 0 then tn / (tn + fn) else 0.0 end, case when tn + fp > 0 then tn / (tn + fp) else 0.0 end, "
+    "case when 2.0 * tn + fn + fp > 0 then 2.0 * tn / (2.0 * tn + fn + fp) else 0.0 end, cast(tn + fp as bigint) from (" + Q.conf("scores", BY) + ") c"
+)
+
+
 @case(
     "f4_classification_report",
-    W(
-        "select run, split, cast(1 as int) as cls, precision, recall, f1, cast(tp + fn as bigint) as support from (" + Q.rates(Q.conf("scores", BY)) + ") r "
-        "union all select run, split, cast(0 as int), case when tn + fn > 0 then tn / (tn + fn) else 0.0 end, case when tn + fp > 0 then tn / (tn + fp) else 0.0 end, "
-        "case when 2.0 * tn + fn + fp > 0 then 2.0 * tn / (2.0 * tn + fn + fp) else 0.0 end, cast(tn + fp as bigint) from (" + Q.conf("scores", BY) + ") c"
-    ),
+    W("select * from per union all select run, split, 'macro', cast(null as int), avg(precision), avg(recall), avg(f1), cast(sum(support) as bigint) from per group by run, split "
+      "union all select run, split, 'weighted', cast(null as int), sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support), "
+      "cast(sum(support) as bigint) from per group by run, split", ("per", F4_CLASSES)),
     doubles=["precision", "recall", "f1"],
 )
 def q_f4(spark, sf):
     from ..operators.baseline import classification_report
 
-    return classification_report(M.confusion(S(spark, sf), 0.5, BY), BY).where(F.col("cls").isNotNull())
+    return classification_report(M.confusion(S(spark, sf), 0.5, BY), BY)
 
 
 @case(
     "f5_cv_summary",
     W(
-        "select metric, avg(value) as mean, stddev_pop(value) as std, min(value) as min, max(value) as max from ("
-        + _long_sql(Q.bundle("(select *, cast(floor(" + Q.U("concat(row_id,'|fold')") + " * 5) as int) as fold from scores where run = 'a')", ["fold"], 0.5, 15), ["fold"], ["auc_roc", "auc_pr", "f1", "brier"])
-        + ") l group by metric"
+        "select run, metric, avg(value) as mean, stddev_pop(value) as std, min(value) as min, max(value) as max from ("
+        + _long_sql(Q.bundle("(select *, cast(floor(" + Q.U("concat(row_id,'|fold')") + " * 5) as int) as fold from scores)", ["run", "fold"], 0.5, 15), ["run", "fold"], ["auc_roc", "auc_pr", "f1", "brier"])
+        + ") l group by run, metric"
     ),
     doubles=["mean", "std", "min", "max"],
 )
@@ -289,9 +294,9 @@ def q_f5(spark, sf):
     from ..functions.columns import uniform
     from ..operators.baseline import cv_summary
 
-    s = S(spark, sf).where(F.col("run") == "a").withColumn("fold", F.floor(uniform(F.col("row_id"), "|fold") * 5).cast("int"))
-    long = M.metrics_long(M.metric_bundle(s, 0.5, ["fold"], 15), ["fold"], ["auc_roc", "auc_pr", "f1", "brier"])
-    return cv_summary(long)
+    s = S(spark, sf).withColumn("fold", F.floor(uniform(F.col("row_id"), "|fold") * 5).cast("int"))
+    long = M.metrics_long(M.metric_bundle(s, 0.5, ["run", "fold"], 15), ["run", "fold"], ["auc_roc", "auc_pr", "f1", "brier"])
+    return cv_summary(long, ["run", "metric"])
 
 
 @case(

@@ -111,7 +111,7 @@ def q_e7(spark, sf):
     return PR.cohens_d(A(spark, sf), CONT)
 
 
-QS = [0.25, 0.5, 0.75, 0.9]
+QS = [0.1, 0.25, 0.5, 0.75, 0.9]
 
 
 @case("e8_quantile_compare", W(

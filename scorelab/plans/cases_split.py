@@ -61,7 +61,7 @@ def q_b8b(spark, sf):
     return clean.apply_winsor(a, b, WCOLS).select("row_id", *WCOLS)
 
 
-SCOLS = ["LIMIT_BAL", "AGE"] + S.BILL_AMT
+SCOLS = S.NUMERICAL
 
 
 @case("d2_d3_scaler", W("select row_id, " + ", ".join(f"({c} - m_{c}) / case when s_{c} = 0 then 1.0 else s_{c} end as {c}" for c in SCOLS) + ", EDUCATION from sp, ("
@@ -114,6 +114,17 @@ def q_d7(spark, sf):
     return EN.tokenise_summary(toks)
 
 
+_NUMERIC = " union all ".join(f"select 'numeric' as kind, {i} as slot, cast(cast({c} as float) as double) as v from acc" for i, c in enumerate(S.NUMERICAL))
+_SEVERITY = " union all ".join(f"select 'severity' as kind, {i} as slot, cast(cast(case when {p} > 0 then cast({p} as double) / 8.0 else 0.0 end as float) as double) as v from acc" for i, p in enumerate(S.PAY_STATUS))
+
+
+@case("d8_token_value_ranges", W(f"select kind, cast(slot as int) as slot, min(v) as min, max(v) as max, avg(v) as mean from ({_NUMERIC} union all {_SEVERITY}) t group by kind, slot"),
+      doubles=["min", "max", "mean"])
+def q_d8(spark, sf):
+    a = A(spark, sf)
+    return EN.token_value_ranges(EN.tokenise(a, EN.build_vocab(a, S.CATEGORICAL)))
+
+
 def mask_sql(p: float = 0.15, mn: int = 1, mx: int = 23, seed: int = 0) -> str:
     k = "cast(row_id as varchar)"
     long = " union all ".join(
@@ -170,7 +181,7 @@ def q_d14(spark, sf):
 @case("d15_split_drift", None, doubles=["d", "p_value"])
 def q_d15(spark, sf):
     a = AS(spark, sf).where(F.col("split").isin("train", "test")).withColumn("_is_test", (F.col("split") == "test").cast("int"))
-    return ks_two_sample(a, ["LIMIT_BAL", "AGE", "BILL_AMT1", "PAY_AMT1"], "_is_test")
+    return ks_two_sample(a, S.NUMERICAL, "_is_test")
 
 
 @case("d16_token_layout", "select * from (values " + ", ".join(
@@ -199,7 +210,7 @@ def _d14_d15_sql():
     acc2 = f"select *, case when split = 'train' then 0 when split = 'val' then 1 else 2 end as split_code from sp"
     d14 = CP.chi2_sql(["split_code"]).replace("from acc", "from acc2")
     acc3 = f"select * exclude ({T}), cast(split = 'test' as int) as {T} from sp where split in ('train', 'test')"
-    d15 = CP.ks_sql(["LIMIT_BAL", "AGE", "BILL_AMT1", "PAY_AMT1"]).replace("from acc", "from acc3")
+    d15 = CP.ks_sql(S.NUMERICAL).replace("from acc", "from acc3")
     CASES["d14_split_homogeneity"].sql = W(d14, ("acc2", acc2))
     CASES["d15_split_drift"].sql = W(d15, ("acc3", acc3))
 
