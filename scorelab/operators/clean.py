@@ -129,6 +129,30 @@ def validate(df: DataFrame, target: str = S.TARGET, key: str = "row_id") -> Data
     return long.select("check", "column", "n", ((F.col("flag")) & (F.col("n") > 0) & (F.col("check") != "n_rows")).alias("is_issue"))
 
 
+def invalid_values(df: DataFrame) -> DataFrame:
+    """The offending values, (check, column, value, n): PAY codes outside
+    their domain and categorical values that are no integers."""
+    kinds = [("invalid_pay", c) for c in S.PAY_STATUS if c in df.columns] + [("non_integer", c) for c in S.CATEGORICAL if c in df.columns]
+
+    def bad(kind: str, c: str):
+        x = F.col(c).cast("double")
+        wrong = ~F.col(c).isin(S.VALID_PAY) if kind == "invalid_pay" else x != F.floor(x)
+        return F.when(wrong, F.struct(F.lit(kind).alias("check"), F.lit(c).alias("column"), x.alias("value")))
+
+    found = df.select(F.explode(F.array(*[bad(k, c) for k, c in kinds])).alias("r")).where("r is not null")
+    return found.select("r.*").groupBy("check", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def require_valid(df: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """B4, strict: the table itself if nothing is wrong, else a ValueError that
+    names the failed checks and the offending values. Two jobs run here."""
+    failed = validate_schema(df, required).where("n != 0").collect()  # one row for each check and column
+    if failed:
+        values = invalid_values(df).orderBy(F.desc("n"), "check", "column", "value").limit(20).collect()
+        raise ValueError(f"not ready to encode: {[tuple(r) for r in failed]}; most frequent offending values: {[tuple(r) for r in values]}")
+    return df
+
+
 def validate_schema(df: DataFrame, required: list[str] | None = None) -> DataFrame:
     """Encode-readiness as (check, column, n): missing columns (n = -1),
     null counts, invalid PAY codes, non-integer categorical values."""
@@ -228,11 +252,14 @@ def log_effect(df: DataFrame, cols: list[str]) -> DataFrame:
 def range_audit(df: DataFrame, cols: list[str], target: str = S.TARGET) -> DataFrame:
     """Distinct codes (sorted, comma-joined), min, max and target rate per column."""
     long = melt(df, cols, keep=[target])
-    return long.groupBy("feature").agg(
-        F.count_distinct("value").cast("long").alias("n_distinct"),
+    # one row for each code: the list is as long as the column's domain
+    codes = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("double")).alias("t"))
+    return codes.groupBy("feature").agg(
+        F.count("value").cast("long").alias("n_distinct"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.avg(F.col(target).cast("double")).alias("target_rate"),
+        (F.sum("t") / F.sum("n")).alias("target_rate"),
+        F.array_join(F.transform(F.array_sort(F.collect_list("value")), lambda v: v.cast("long").cast("string")), ",").alias("codes"),
     )
 
 

@@ -140,6 +140,15 @@ def token_layout_df(spark) -> DataFrame:
     return spark.createDataFrame(S.token_layout(), "pos int, feature string, group_id int, group_name string, month int")
 
 
+def token_layout_counts(df: DataFrame) -> DataFrame:
+    """D16 over a table: the layout with each position's number of tokens
+    (rows with a value; the leading position has one for every row)."""
+    features = [f for _, f, *_ in S.token_layout() if f in df.columns]
+    one = df.agg(F.count(F.lit(1)).alias("CLS"), *[F.count(c).alias(c) for c in features])
+    counts = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n_tokens")) for c in ["CLS", *features]])).alias("r")).select("r.*")
+    return token_layout_df(df.sparkSession).join(counts, "feature")  # 24 rows each
+
+
 def feature_variance(train: DataFrame, cols: list[str]) -> DataFrame:
     """Population variance per numeric column on the training rows; 0 -> 1."""
     g = melt(train, cols).groupBy("feature").agg(F.var_pop("value").alias("_v"))

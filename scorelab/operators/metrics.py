@@ -12,6 +12,8 @@ single task.
 
 from __future__ import annotations
 
+import math
+
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -348,6 +350,18 @@ def parity(metrics: DataFrame, by: list[str] = ("run", "metric"), split: str = "
     return p.withColumns({"gap_train_test": F.col("train") - F.col("test"), "gap_val_test": F.col("val") - F.col("test")})
 
 
+def normalised_losses(preds: DataFrame, classes: dict[str, int], variances: dict[str, float]) -> DataFrame:
+    """(feature, family, loss) from one row for each masked token:
+    ``feature, family, p_true, value, predicted``. A classified feature's mean
+    cross entropy is divided by the logarithm of its number of classes, a
+    numeric one's mean squared error by its variance, so that 1 is a guess."""
+    scale = {f: math.log(n) for f, n in classes.items()} | dict(variances)
+    by_name = F.create_map(*[x for k, v in scale.items() for x in (F.lit(k), F.lit(float(v)))])
+    raw = F.when(F.col("family") == "numerical", (F.col("value") - F.col("predicted")) ** 2).otherwise(-F.log(F.greatest(F.col("p_true"), F.lit(1e-12))))
+    means = preds.groupBy("feature", "family").agg(F.avg(raw).alias("_raw"))
+    return means.select("feature", "family", (F.col("_raw") / by_name[F.col("feature")]).alias("loss"))
+
+
 def reconstruction_score(preds: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """Per-feature normalised loss (feature, family, loss) -> family means
     and the weighted total. Families: categorical, pay, numerical."""

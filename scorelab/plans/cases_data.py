@@ -324,7 +324,7 @@ RANGE_COLS = ["SEX", "EDUCATION", "MARRIAGE", "AGE"] + S.PAY_STATUS
     Q.with_fixtures(
         " union all ".join(
             f"select '{c}' as feature, cast(count(distinct {c}) as bigint) as n_distinct, cast(min({c}) as double) as min, "
-            f"cast(max({c}) as double) as max, avg(cast(\"DEFAULT\" as double)) as target_rate from accounts"
+            f"cast(max({c}) as double) as max, avg(cast(\"DEFAULT\" as double)) as target_rate, array_to_string(list_sort(list(distinct cast({c} as bigint))), ',') as codes from accounts"
             for c in RANGE_COLS
         ),
         "accounts",

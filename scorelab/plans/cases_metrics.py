@@ -310,3 +310,28 @@ def q_f5(spark, sf):
 def q_g19(spark, sf):
     b = M.metric_bundle(S(spark, sf).where(F.col("split") == "test"), 0.5, ["run"], 15)
     return M.sweep_summary(b)
+
+
+def _g20_sql() -> str:
+    u = lambda tag: Q.U(f"concat(cast(row_id as varchar), '|{tag}')")
+    parts = [f"select 'EDUCATION' as feature, 'categorical' as family, avg(-ln(greatest({u('edu_p')}, 1e-12))) / ln(7.0) as loss from accounts",
+             f"select 'PAY_0', 'pay', avg(-ln(greatest({u('pay_p')}, 1e-12))) / ln(11.0) from accounts",
+             "select 'AGE', 'numerical', avg(pow(AGE - MARRIAGE * 10.0, 2)) / 250.0 from accounts"]
+    return Q.with_fixtures(
+        "select family, loss as family_loss, (select avg(loss) from f) as total from f", "accounts", extra=[("f", " union all ".join(parts))])
+
+
+@case("g20_reconstruction_score", _g20_sql(), doubles=["family_loss", "total"])
+def q_g20(spark, sf):
+    """Masked tokens of three families, their predictions hashed from the accounts' keys, normalised and averaged."""
+    from ..functions.columns import uniform
+    from ..sources import fixtures as fx
+
+    a, k = fx.accounts(spark, sf), F.col("row_id").cast("string")
+    none = F.lit(None).cast("double")
+    row = lambda f, fam, p, v, q: F.struct(F.lit(f).alias("feature"), F.lit(fam).alias("family"), p.alias("p_true"), v.alias("value"), q.alias("predicted"))
+    masked = F.array(
+        row("EDUCATION", "categorical", uniform(k, "|edu_p"), none, none), row("PAY_0", "pay", uniform(k, "|pay_p"), none, none),
+        row("AGE", "numerical", none, F.col("AGE").cast("double"), F.col("MARRIAGE") * F.lit(10.0)))
+    preds = a.select(F.explode(masked).alias("r")).select("r.*")
+    return M.reconstruction_score(M.normalised_losses(preds, {"EDUCATION": 7, "PAY_0": 11}, {"AGE": 250.0}))

@@ -184,10 +184,11 @@ def q_d15(spark, sf):
     return ks_two_sample(a, S.NUMERICAL, "_is_test")
 
 
-@case("d16_token_layout", "select * from (values " + ", ".join(
-    f"({p}, '{f}', {g}, '{n}', {('cast(null as int)' if m is None else m)})" for p, f, g, n, m in S.token_layout()) + ") t(pos, feature, group_id, group_name, month)")
+@case("d16_token_layout", W(" union all ".join(
+    f"select {p} as pos, '{f}' as feature, {g} as group_id, '{n}' as group_name, {('cast(null as int)' if m is None else m)} as month, count({'*' if f == 'CLS' else f}) as n_tokens from acc"
+    for p, f, g, n, m in S.token_layout())))
 def q_d16(spark, sf):
-    return EN.token_layout_df(spark)
+    return EN.token_layout_counts(A(spark, sf))
 
 
 @case("d17_derive_seed", W("select row_id, cast(('0x'||substr(sha256(concat_ws('|', '42', 'mask', cast(row_id as varchar))),1,8)) as bigint) as seed from acc"))

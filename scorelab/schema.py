@@ -10,7 +10,6 @@ PAY_AMT = ["PAY_AMT1", "PAY_AMT2", "PAY_AMT3", "PAY_AMT4", "PAY_AMT5", "PAY_AMT6
 TARGET = "DEFAULT"
 FEATURES = DEMOGRAPHIC + PAY_STATUS + BILL_AMT + PAY_AMT
 ALL_COLUMNS = FEATURES + [TARGET]
-INT_COLUMNS = ["SEX", "EDUCATION", "MARRIAGE", "AGE"] + PAY_STATUS + [TARGET]
 
 # Valid code domains.
 VALID_SEX = [1, 2]
@@ -22,9 +21,6 @@ VALID_PAY = list(range(-2, 9))
 CATEGORICAL = ["SEX", "EDUCATION", "MARRIAGE"]
 NUMERICAL = ["LIMIT_BAL", "AGE"] + BILL_AMT + PAY_AMT
 
-# Month labels for index 1..6 (1 = most recent).
-MONTHS = ["Sep", "Aug", "Jul", "Jun", "May", "Apr"]
-
 # Token layout. Position 0 = CLS; then 3 categorical,
 # 6 PAY status, 14 numeric. group ids: 0 cls, 1 demographic, 2 pay status,
 # 3 bill amounts, 4 payment amounts.

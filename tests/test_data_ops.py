@@ -75,3 +75,17 @@ def test_entry_contract(spark):
     assert set(o) <= set(q) and len(q) >= 100
     df = E.entry(spark)
     assert df.count() > 0 and "selection_rate_diff" in df.columns
+
+
+def test_strict_validation_names_the_values(spark):
+    from scorelab import schema as S
+    from scorelab.operators import clean
+
+    good = spark.createDataFrame([tuple(1 for _ in S.FEATURES)], ", ".join(f"{c} int" for c in S.FEATURES))
+    assert clean.require_valid(good).count() == 1
+    bad = good.withColumns({"PAY_2": F.lit(9), "SEX": F.lit(1.5)})
+    with pytest.raises(ValueError, match=r"PAY_2.*9\.0"):
+        clean.require_valid(bad)
+    assert {(r["check"], r["column"], r["value"]) for r in clean.invalid_values(bad).collect()} == {("invalid_pay", "PAY_2", 9.0), ("non_integer", "SEX", 1.5)}
+    with pytest.raises(ValueError, match="missing_column"):
+        clean.require_valid(good.drop("AGE"))
