@@ -10,7 +10,7 @@ compressed (score, mean label, weight) rows, one model per group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import bin_index, clip, linspace_inner, logit, sigmoid, softplus
@@ -38,11 +38,12 @@ def clip_probs(p, eps: float = EPS):
 
 
 # ------------------------------------------------------------------ binning
-def equal_mass_edges(scores: DataFrame, n_bins: int, by: list[str], score: str = P) -> DataFrame:
+def equal_mass_edges(scores: DataFrame, n_bins: int, by: list[str], score: str = P, weight: str | None = None) -> DataFrame:
     """H7: per group, quantile edges at linspace(0,1,n+1), ends pinned to 0/1,
     duplicates collapsed -> ``inner`` edges (first and last dropped)."""
     qs = [i * (1.0 / n_bins) for i in range(n_bins + 1)]
-    q = exact_quantiles(scores.select(*by, F.col(score).cast("double").alias("_p")), by, "_p", qs)
+    w = F.col(weight) if weight else F.lit(1)
+    q = exact_quantiles(scores.select(*by, F.col(score).cast("double").alias("_p"), w.alias("_w")), by, "_p", qs, weight="_w")
     e = q.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("q", "_p"))).alias("_e"))
     n = len(qs)
     pinned = F.transform("_e", lambda s, i: F.when(i == 0, F.lit(0.0)).when(i == n - 1, F.lit(1.0)).otherwise(s["_p"]))
@@ -63,7 +64,7 @@ def binned(scores: DataFrame, n_bins: int, by: list[str], strategy: str = "equal
     if strategy == "equal_width":
         b = comp.withColumn("bin", bin_index("_s", linspace_inner(n_bins)))
     elif strategy == "equal_mass":
-        e = equal_mass_edges(scores, n_bins, by, score)
+        e = equal_mass_edges(scores, n_bins, by, score, weight)
         j = comp.join(e, by)
         b = j.withColumn("bin", F.least(F.size(F.filter("inner", lambda x: x <= F.col("_s"))), F.col("max_bin"))).drop("inner", "max_bin")
     else:
@@ -102,20 +103,36 @@ def brier_decomposition(scores: DataFrame, n_bins: int, by: list[str] = (), labe
     return _ungrp(d.join(br, by), added)
 
 
+def once_per_score(scores: DataFrame, by: list[str], label: str = Y, score: str = P) -> DataFrame:
+    """One row for each group, score and label, with its count ``_w``, kept in
+    the checkpoint folder: what a family of metrics needs, evaluated once. This
+    runs a job."""
+    checkpoint_dir(scores.sparkSession)
+    return scores.groupBy(*by, F.col(score).cast("double").alias(score), label).agg(F.count(F.lit(1)).alias("_w")).checkpoint(eager=True)
+
+
 def calibration_bundle(scores: DataFrame, n_bins: int = 10, by: list[str] = (), label: str = Y, score: str = P) -> DataFrame:
-    """AUC, ECE (both strategies), MCE, Brier and its parts, skill score."""
+    """AUC, ECE (both strategies), MCE, Brier and its parts, skill score, all from one compressed table."""
     scores, by, added = _grp(scores, by)
-    kw = dict(label=label, score=score)
-    parts = [
-        rank_metrics(scores, by, **kw).drop("auc_pr"),
-        calibration_error(scores, n_bins, by, "equal_width", **kw).withColumnRenamed("ece", "ece_equal_width"),
-        calibration_error(scores, n_bins, by, "equal_mass", **kw).withColumnRenamed("ece", "ece_equal_mass"),
-        max_calibration_error(scores, n_bins, by, **kw),
-        brier_decomposition(scores, n_bins, by, **kw),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, by)
+    kw = dict(label=label, score=score, weight="_w")
+    comp = once_per_score(scores, by, label, score)
+    whole = Window.partitionBy(*by)  # at most n_bins rows
+    b = binned(comp, n_bins, by, "equal_width", **kw).withColumns({"_N": F.sum("n").over(whole), "_Y": F.sum("sy").over(whole)})
+    base, conf, acc = F.col("_Y") / F.col("_N"), F.col("sp") / F.col("n"), F.col("sy") / F.col("n")
+    share = F.col("n") / F.col("_N")
+    out = b.groupBy(*by).agg(
+        (F.sum(F.abs(F.col("sy") - F.col("sp"))) / F.sum("n")).alias("ece_equal_width"),
+        F.max(F.abs(acc - conf)).alias("mce"),
+        F.sum(share * (conf - acc) * (conf - acc)).alias("reliability"),
+        F.sum(share * (acc - base) * (acc - base)).alias("resolution"),
+        F.first(base * (F.lit(1.0) - base)).alias("uncertainty"),
+    )
+    for part in (
+        rank_metrics(comp, by, **kw).drop("auc_pr"),
+        calibration_error(comp, n_bins, by, "equal_mass", **kw).withColumnRenamed("ece", "ece_equal_mass"),
+        brier(comp, by, **kw),
+    ):
+        out = out.join(part, by)
     skill = F.when(F.col("uncertainty") > 0, (F.col("resolution") - F.col("reliability")) / F.col("uncertainty")).otherwise(F.lit(float("nan")))
     return _ungrp(out.withColumn("brier_skill_score", skill), added)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .calibrate import calibration_error
+from .calibrate import calibration_error, once_per_score
 from .metrics import P, Y, rank_metrics
 
 # Human-readable labels of the protected attributes.
@@ -34,19 +34,21 @@ def subgroup_metrics(long: DataFrame, tau: float = 0.5, n_bins: int = 10, by: li
     """N, base rate, selection rate, TPR, FPR (NULL without positives /
     negatives), AUC (NULL if single class), ECE and Brier per subgroup."""
     by = list(by)
-    y = F.col(label)
+    comp = once_per_score(long, by, label, score)
+    w, y = F.col("_w").cast("double"), F.col(label).cast("double")
     pred = (F.col(score) >= F.lit(tau)).cast("double")
     d = F.col(score) - y
-    base = long.groupBy(*by).agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
-        F.avg(y.cast("double")).alias("base_rate"),
-        F.avg(pred).alias("selection_rate"),
-        F.avg(F.when(y == 1, pred)).alias("tpr"),
-        F.avg(F.when(y == 0, pred)).alias("fpr"),
-        F.avg(d * d).alias("brier"),
+    mean = lambda x, of: F.try_divide(F.sum(x * of), F.sum(of))  # noqa: E731  NULL without rows
+    base = comp.groupBy(*by).agg(
+        F.sum("_w").cast("long").alias("n"),
+        mean(y, w).alias("base_rate"),
+        mean(pred, w).alias("selection_rate"),
+        mean(pred, w * y).alias("tpr"),
+        mean(pred, w * (F.lit(1.0) - y)).alias("fpr"),
+        mean(d * d, w).alias("brier"),
     )
-    auc = rank_metrics(long, by, label, score).select(*by, "auc_roc")
-    ece = calibration_error(long, n_bins, by, "equal_width", label=label, score=score)
+    auc = rank_metrics(comp, by, label, score, weight="_w").select(*by, "auc_roc")
+    ece = calibration_error(comp, n_bins, by, "equal_width", label=label, score=score, weight="_w")
     return base.join(auc, by).join(ece, by)
 
 
