@@ -13,13 +13,12 @@ single task.
 from __future__ import annotations
 
 import math
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import bin_index, clip, linspace_inner, logit, sigmoid, softplus
+from ..functions.columns import bin_index, linspace_inner, logit, sigmoid, softplus
 from ..functions.ranks import prefix_sums
 
 Y, P = "y_true", "y_prob"
