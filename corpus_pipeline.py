@@ -38,12 +38,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and byte offsets of every text, and whether decoding gives its bytes again."""
+    """Token ids of every text, and whether decoding gives its bytes again."""
     path = tokenizer_file("byte_bpe_50k.tiktoken")
-    coded = bpe_codec.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    twice = coded.withColumns({"again": F.col("ids"), "places": F.col("offsets")})
-    back = bpe_codec.decode(twice, path, ids_col="again", offsets_col="places")
-    return back.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+    coded = bpe_codec.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
+    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES = [("quality", good_quality), ("near duplicates", one_of_each_group), ("decontamination", decontaminated), ("tokens", tokenised)]

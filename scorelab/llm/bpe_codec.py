@@ -27,7 +27,7 @@ from .common import kept_by_worker
 from .pretokens import PreTokens, classes_of_ranks
 
 #: A worker's table has 2**CACHE_BITS slots (23 bytes each); it starts anew when its slices have more ids than POOL_IDS.
-CACHE_BITS, POOL_IDS = 21, 8_000_000
+CACHE_BITS, POOL_IDS = 20, 4_000_000
 _MASKS = np.array([2 ** (8 * i) - 1 for i in range(9)], dtype=np.uint64)
 #: Slices up to this many bytes are merged side by side, longer ones with a heap.
 SIDE_BY_SIDE = 48
@@ -45,16 +45,15 @@ class Merger:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.single = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        size = max(ranks.values()) + 1
-        self.tokens = [b""] * size
-        for t, r in ranks.items():
-            self.tokens[r] = t
         pairs = {(ranks[t[:i]] << 20 | ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.int64(2**62))
         self.rank = np.append(np.fromiter(pairs.values(), np.int32, len(pairs))[order], NONE)
-        self.pairs = pairs
+
+    def pair(self, a: int, b: int) -> int | None:
+        at = int(np.searchsorted(self.keys, a << 20 | b))
+        return int(self.rank[at]) if self.keys[at] == a << 20 | b else None
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) << 20 | b
@@ -113,8 +112,8 @@ class Merger:
     def _heap(self, s: bytes) -> bytes:
         n, tok = len(s), [int(self.single[c]) for c in s]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        get = self.pairs.get
-        heap = [(r, i, tok[i], tok[i + 1]) for i in range(n - 1) if (r := get(tok[i] << 20 | tok[i + 1])) is not None]
+        ranks = self.rank_of(np.array(tok[:-1]), np.array(tok[1:])).tolist()
+        heap = [(r, i, tok[i], tok[i + 1]) for i, r in enumerate(ranks) if r != NONE]
         heapq.heapify(heap)
         while heap:
             r, i, a, b = heapq.heappop(heap)
@@ -125,9 +124,9 @@ class Merger:
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
-                if (x := get(r << 20 | tok[after[j]])) is not None:
+                if (x := self.pair(r, tok[after[j]])) is not None:
                     heapq.heappush(heap, (x, i, r, tok[after[j]]))
-            if (k := before[i]) >= 0 and (x := get(tok[k] << 20 | r)) is not None:
+            if (k := before[i]) >= 0 and (x := self.pair(tok[k], r)) is not None:
                 heapq.heappush(heap, (x, k, tok[k], r))
         return np.array([t for t in tok if t >= 0], dtype="<u4").tobytes()
 
@@ -245,7 +244,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids_col: str = "ids", o
         size = _lengths(path)[2]
         for batch in batches:
             data, offs = text_buffers(batch.column(batch.schema.get_field_index(text)))
-            for i, j, part, at in pieces(data, offs, 1 << 20):
+            for i, j, part, at in pieces(data, offs, 1 << 19):
                 ids, first = enc.encode(part, at)
                 ends = np.cumsum(size[ids])
                 begin = ends - size[ids] - np.repeat(at[:-1], np.diff(first))
@@ -256,12 +255,24 @@ def encode(df: DataFrame, path: str, text: str = "text", ids_col: str = "ids", o
     return df.mapInArrow(run, schema)
 
 
+def _decoded(ids: np.ndarray, begins: np.ndarray, at: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts, and their bounds, from ids, the tokens' offsets in their texts and each text's first id."""
+    blob, where, size = _lengths(path)
+    n = size[ids]
+    base = np.concatenate([[0], np.cumsum(n)])[at]
+    to = begins + np.repeat(base[:-1], np.diff(at))
+    return blob[np.repeat(where[ids] - to, n) + np.arange(base[-1])], base
+
+
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", offsets_col: str = "offsets", out_col: str = "decoded") -> DataFrame:
     """Replaces ids and offsets by the bytes that they stand for."""
     rest = [f for f in df.schema.fields if f.name not in (ids_col, offsets_col, out_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blob, where, size = _lengths(path)
         for batch in batches:
             names = batch.schema.names
             ids_all, begins = batch.column(names.index(ids_col)), batch.column(names.index(offsets_col))
@@ -269,22 +280,38 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", offsets_col: str = "o
             ids_flat, begin_flat = np.asarray(ids_all.flatten()), np.asarray(begins.flatten())
             cols = [batch.column(names.index(f.name)) for f in rest]
             for i, j, _, at in pieces(ids_flat, bounds, 1 << 18):
-                ids = ids_flat[bounds[i] : bounds[j]]
-                n = size[ids]
-                base = np.concatenate([[0], np.cumsum(n)])[at]  # each text's place in the output
-                to = begin_flat[bounds[i] : bounds[j]] + np.repeat(base[:-1], np.diff(at))
-                place = np.repeat(where[ids] - to, n) + np.arange(base[-1])
-                made = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(base.astype(np.int32)), pa.py_buffer(blob[place])])
+                own = slice(bounds[i], bounds[j])
+                made = _binary(*_decoded(ids_flat[own], begin_flat[own], at, path))
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in cols), made], names=[*(f.name for f in rest), out_col])
 
     return df.mapInArrow(run, T.StructType([*rest, T.StructField(out_col, T.BinaryType())]))
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", ids_col: str = "ids", offsets_col: str = "offsets", out_col: str = "decoded") -> DataFrame:
+    """Encodes and decodes in one task: adds ids, offsets and the bytes decoded from them.
+
+    The ids of a batch are several times its text; kept in one task, they never
+    stand in a batch of the default ten thousand rows."""
+    df, classes = df.drop(ids_col, offsets_col, out_col), classes_of_ranks()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, size = encoder_for(path, classes), _lengths(path)[2]
+        for batch in batches:
+            data, offs = text_buffers(batch.column(batch.schema.names.index(text)))
+            for i, j, part, at in pieces(data, offs, 1 << 19):
+                ids, first = enc.encode(part, at)
+                begin = np.cumsum(size[ids]) - size[ids] - np.repeat(at[:-1], np.diff(first))
+                made = [_lists(ids, first), _lists(begin, first), _binary(*_decoded(ids, begin, first, path))]
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, *made], names=[*batch.schema.names, ids_col, offsets_col, out_col])
+
+    kinds = [T.ArrayType(T.IntegerType(), False), T.ArrayType(T.IntegerType(), False), T.BinaryType()]
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *(T.StructField(n, k) for n, k in zip((ids_col, offsets_col, out_col), kinds))]))
+
+
 def digests(df: DataFrame, path: str) -> DataFrame:
     """Contract columns: number of tokens, digest of the ids, digest of the decoded bytes."""
-    coded = encode(df.select("doc_id", "text"), path).select(
-        "doc_id", "ids", "offsets",
-        F.size("ids").alias("n_tokens"),
+    return round_trip(df.select("doc_id", "text"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return decode(coded, path).select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

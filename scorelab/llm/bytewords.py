@@ -130,7 +130,7 @@ def text_buffers(array) -> tuple[np.ndarray, np.ndarray]:
     return data, offs - offs[0]
 
 
-def pieces(data: np.ndarray, offs: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(data: np.ndarray, offs: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about ``most`` bytes: first and last text, bytes, offsets.
 
     A text longer than ``most`` is a run of its own, still whole.

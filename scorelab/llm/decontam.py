@@ -247,23 +247,13 @@ def contaminated(n_hit, n_words):
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """Drops documents over the coverage limit; cuts the hit spans out of the others' texts."""
     found = find(docs, benchmark, text, window, PREFIX).where(~contaminated(F.col(f"{PREFIX}n_hit"), F.col(f"{PREFIX}n_words")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.schema.names
-            k = names.index(text)
-            if sum(batch.column(names.index(f"{PREFIX}n_hit")).to_pylist()):
-                texts = batch.column(k).to_pylist()
-                for i, spans in enumerate(batch.column(names.index(f"{PREFIX}spans")).to_pylist()):
-                    raw = texts[i].encode() if spans else b""
-                    if spans:
-                        edges = [0, *(x for s in spans for x in (s["first_byte"], s["end_byte"])), len(raw)]
-                        texts[i] = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
-                batch = batch.set_column(k, names[k], pa.array(texts, pa.string()))
-            yield batch.select(docs_columns)
-
-    docs_columns = docs.columns
-    return found.mapInArrow(run, docs.schema)
+    raw, spans = F.col(text).cast("binary"), F.col(f"{PREFIX}spans")
+    # the bytes between spans: from the last one's end to the next one's begin, then the rest
+    kept = F.aggregate(
+        spans, F.struct(F.lit(b"").alias("made"), F.lit(0).cast("long").alias("end")),
+        lambda acc, s: F.struct(F.concat(acc["made"], F.substring(raw, (acc["end"] + 1).cast("int"), (s["first_byte"] - acc["end"]).cast("int"))).alias("made"), s["end_byte"].alias("end")),
+        lambda acc: F.concat(acc["made"], F.substring(raw, (acc["end"] + 1).cast("int"), F.octet_length(raw))))
+    return found.withColumn(text, F.when(F.size(spans) > 0, kept.cast("string")).otherwise(F.col(text))).select(*docs.columns)
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
