@@ -165,8 +165,12 @@ def prefix_keys(tokens: list[int], freqs: list[int], n: int, percent: int, rare:
 def _keys(sets: DataFrame, percent: int, rare: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, n, own, tokens in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                keys = prefix_keys([t["token"] for t in tokens], [t["df"] for t in tokens], n, percent, rare)
+            lists = batch.column(3)
+            flat, at = lists.flatten(), np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
+            token, df = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("token", "df"))
+            for i, (node, n, own) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)))):
+                mine = slice(at[i], at[i + 1])  # a row's tokens alone become Python objects
+                keys = prefix_keys(token[mine].tolist(), df[mine].tolist(), n, percent, rare)
                 m = len(keys)
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.int64()), pa.array([node] * m, pa.int64()), pa.array([n] * m, pa.int64()), pa.array([p for _, p in keys], pa.int64()), pa.array([own / n] * m, pa.float64())], names=["key", "node", "n", "pos", "own"])
 
@@ -246,6 +250,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # back to documents
     named = roots.join(classes.select("node", "sig", "label"), "node")
     joined = named.join(named.groupBy("root").agg(F.min("label").alias("component")), "root").select("sig", "component")
-    of_class = classes.select("sig", "label").join(joined, "sig", "left").select("sig", F.coalesce("component", "label").alias("component"))
+    # written, so that the join below is between two shuffles and a class with many documents can be split
+    of_class = materialise(classes.select("sig", "label").join(joined, "sig", "left").select("sig", F.coalesce("component", "label").alias("component")), "placed_classes")
     back = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
     return sets.select("doc", "n", "sig").join(of_class, "sig", "left").select(back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(back("component"), back("doc")).alias("component_id"))
