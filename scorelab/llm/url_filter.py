@@ -106,7 +106,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     urls = parsed.select("host", "path").distinct()
     labels = urls.select("host").distinct().select("host", F.posexplode(F.split("host", r"[.\-_]")).alias("at", "label"))
-    split = segment(labels.select("label"), word_counts(pages))
+    split = segment(labels.select("label"), materialise(word_counts(pages), "words"))
     hosts = labels.join(split, "label").groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     words = F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.concat(F.lit("host:"), w))
