@@ -8,6 +8,11 @@ less template position; votes are summed by diagonal, neighbouring diagonals
 share of the template's positions that it covers and by its length. Each vote
 also carries an independent second hash of the gram, which must agree.
 
+A chain of diagonals that is too long for one notice (copies that follow each
+other, stray grams beside a copy) is split: every diagonal that meets ``COVER``
+by itself is a span, and what is left between them is searched by stretches of
+at most ``LONGEST`` times the template's grams.
+
 The short phrases are templates too; a phrase stands where one diagonal holds
 all its grams. Longer templates are the usual notices; a notice in a text adds
 its label where at least ``COVER`` of its grams are found.
@@ -19,6 +24,7 @@ itself; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,6 +94,79 @@ def templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, s
     return spark.createDataFrame(rows, "gram long, check long, template int, place int, grams int, label string")
 
 
+Span = tuple[int, int, float]
+
+
+def _stretch(votes: list[tuple[int, int]], i: int, grams: int) -> Span:
+    """First and last gram and cover of the best neighbouring diagonals in the longest stretch from vote ``i``."""
+    stop, inside = votes[i][0] + int(LONGEST * grams), []
+    for at, place in itertools.islice(votes, i, None):
+        if at >= stop:
+            break
+        inside.append((at - place, at, place))
+    inside.sort()
+    best, held = (0, 0, 0.0), []
+    for k, vote in enumerate(inside):
+        held.append(vote)
+        if k + 1 == len(inside) or inside[k + 1][0] - vote[0] > NEAR:
+            ats = [at for _, at, _ in held]
+            best = max(best, (min(ats), max(ats), len({place for _, _, place in held}) / grams), key=_worth)
+            held = []
+    return best
+
+
+def _worth(span: Span) -> tuple[float, int, int]:
+    return span[2], span[0] - span[1], -span[0]
+
+
+def _apart(votes: list[tuple[int, int]], grams: int) -> list[Span]:
+    """Spans that meet COVER and do not overlap; the best of overlapping ones."""
+    out, i = [], 0
+    while i < len(votes):
+        top = here = _stretch(votes, i, grams)
+        if here[2] < COVER:
+            i += 1
+            continue
+        j = i + 1
+        while j < len(votes) and votes[j][0] <= here[1]:
+            top = max(top, _stretch(votes, j, grams), key=_worth)
+            j += 1
+        out += [*_apart([v for v in votes[i:j] if v[0] < top[0]], grams), top]
+        while i < len(votes) and votes[i][0] <= top[1]:
+            i += 1
+    return out
+
+
+def split_chain(diagonals: list[tuple[int, int]], grams: int) -> tuple[float, list[Span]]:
+    """Best cover of any stretch, and all spans, of a chain of (diagonal, places seen) that is too long for one notice."""
+    votes = sorted((d + p, p) for d, seen in diagonals for p in range(grams) if seen >> p & 1)
+    best = max(_stretch(votes, i, grams)[2] for i in range(len(votes)))
+    alone = sorted((d + (seen & -seen).bit_length() - 1, d + seen.bit_length() - 1, seen.bit_count() / grams) for d, seen in diagonals if seen.bit_count() / grams >= COVER)
+    spans, rest, k, reach = list(alone), [], 0, -1
+    for at, place in votes:
+        if k < len(alone) and at >= alone[k][0]:
+            # a span does not go on behind a copy that stands by itself
+            spans += _apart(rest, grams)
+            rest = []
+            while k < len(alone) and at >= alone[k][0]:
+                reach = max(reach, alone[k][1])
+                k += 1
+        if at > reach:
+            rest.append((at, place))
+    return best, sorted([*spans, *_apart(rest, grams)])
+
+
+FOUND = "array<struct<template: int, label: string, first: int, last: int, cover: double, best: double>>"
+
+
+def _split(chains):
+    out = []
+    for c in chains:
+        best, spans = split_chain(c["diagonals"], c["grams"])
+        out += [(c["template"], c["label"], *s, best) for s in spans or [(None, None, None)]]
+    return out
+
+
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: row, doc_id, n_words, spans (template, label, phrase or notice, first and last word, share covered)."""
 
@@ -123,15 +202,22 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
     merged = (
         diagonals.withColumn("span", F.sum(new.cast("int")).over(order))
         .groupBy("row", "doc_id", "n_words", "template", "label", "grams", "span")
-        .agg(F.bit_or("seen").alias("seen"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .agg(F.bit_or("seen").alias("seen"), F.min("first").alias("first"), F.max("last").alias("last"), F.collect_list(F.struct("diagonal", "seen")).alias("diagonals"))
         .withColumn("cover", F.bit_count("seen") / F.col("grams"))
     )
-    fits = (F.col("last") - F.col("first") + 1 <= LONGEST * F.col("grams")) & (F.col("cover") >= COVER)
-    verified = F.when(F.col("template") == NO_TEMPLATE, F.lit(False)).when(notice, fits).otherwise(F.col("cover") == 1)
-    found = F.struct("template", "label", notice.alias("notice"), F.col("first").alias("first_word"), (F.col("last") + K - 1).alias("last_word"), "cover")
-    return merged.groupBy("row", "doc_id", "n_words").agg(
-        F.collect_list(F.when(verified, found)).alias("spans"),
-        F.max(F.when((F.col("template") != NO_TEMPLATE) & (F.col("last") - F.col("first") + 1 <= LONGEST * F.col("grams")), F.col("cover"))).alias("best"),
+    short = F.col("last") - F.col("first") + 1 <= LONGEST * F.col("grams")
+    verified = F.when(F.col("template") == NO_TEMPLATE, F.lit(False)).when(notice, short & (F.col("cover") >= COVER)).otherwise(F.col("cover") == 1)
+    span = lambda c, notice: F.struct(c("template").alias("template"), c("label").alias("label"), notice.alias("notice"), c("first").alias("first_word"), (c("last") + K - 1).alias("last_word"), c("cover").alias("cover"))
+    each = merged.groupBy("row", "doc_id", "n_words").agg(
+        F.collect_list(F.when(verified, span(F.col, notice))).alias("spans"),
+        F.max(F.when((F.col("template") != NO_TEMPLATE) & short, F.col("cover"))).alias("best"),
+        F.collect_list(F.when(~short, F.struct("template", "label", "grams", "diagonals"))).alias("chains"),
+    )
+    split = each.withColumn("found", F.udf(_split, FOUND)("chains"))
+    more = F.transform(F.filter("found", lambda s: s["first"].isNotNull()), lambda s: span(lambda n: s[n], F.lit(True)))
+    return split.select(
+        "row", "doc_id", "n_words", F.concat("spans", more).alias("spans"),
+        F.greatest("best", F.array_max(F.transform("found", lambda s: s["best"]))).alias("best"),
     )
 
 

@@ -117,6 +117,30 @@ def test_notices_are_found_with_words_put_in_or_left_out(spark):
     assert license_scan.digests(df.limit(0)).count() == 0
 
 
+def test_repeated_notices_and_notices_beside_partial_ones_are_found(spark):
+    texts, want = [], []
+    for notice, label in license_scan.NOTICES.items():
+        w = notice.split()
+        some, tail = " ".join(w[: len(w) // 2 + 1]), " ".join(w[len(w) // 2 :])
+        for made, copies in ((f"{notice} {notice}", 2), (f"{notice} x {notice}", 2), (f"{notice} " * 9, 9), (f"{notice} some {tail}", 1), (f"{some} {notice}", 1), (f"{notice} {some} x {notice}", 2)):
+            texts.append(made)
+            want.append((notice, label, copies))
+    texts += ["all rights x rights reserved all x rights all rights", "filler " * 9 + "all rights reserved some rights reserved " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.digests(df).collect()}
+    spans = {r["doc_id"]: r["spans"] for r in license_scan.scan(df).collect()}
+    numbers = {n: i + license_scan.PHRASE_COUNT for i, n in enumerate(license_scan.NOTICES)}
+    for i, (notice, label, copies) in enumerate(want):
+        assert label in got[i]["labels"].split(",") and got[i]["score"] == 1, texts[i]
+        here = [(s["first_word"], s["last_word"]) for s in spans[i] if s["template"] == numbers[notice]]
+        words = texts[i].split()
+        whole = [(k, k + len(notice.split()) - 1) for k in range(len(words)) if words[k : k + len(notice.split())] == notice.split()]
+        assert len(whole) == copies and len(here) >= copies, texts[i]
+        if len(notice.split()) < 5:
+            assert set(whole) <= set(here), texts[i]
+    assert got[len(want) + 1]["labels"] == "reserved" and len(spans[len(want) + 1]) == 3000
+
+
 # archives
 
 
