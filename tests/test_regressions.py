@@ -153,3 +153,31 @@ def test_checkpoint_folder_of_a_cluster_must_be_set(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_forest_queries_run_the_whole_job(spark, sf, monkeypatch):
+    from scorelab.operators import baseline
+    from scorelab.plans import cases_baseline
+
+    assert {r["feature"] for r in cases_baseline.q_f7(spark, sf).collect()} == set(cases_baseline.COLS)
+    asked = {}
+
+    def search(df, cols, **kw):
+        asked.update(kw)
+        rows = [(t, k, 0.7 + t / 100, 0.9, *(str(p[x]) for x in sorted(p))) for t, p in enumerate(baseline.sample_grid(30)) for k in range(2)]
+        return spark.createDataFrame(rows, "trial int, fold int, auc_roc double, auc_train double, " + ", ".join(f"{x} string" for x in sorted(baseline.FOREST_GRID)))
+
+    monkeypatch.setattr(baseline, "search_forest", search)
+    got = cases_baseline.q_f2(spark, sf).collect()
+    assert asked["n_iter"] == 60 and asked["folds"] == 5 and asked.get("grid") is None
+    assert {r["diagnostic"] for r in got} == {"by_trees_depth", "by_depth", "by_class_weight", "top"}
+    assert [r["gap"] for r in got if r["diagnostic"] == "top" and r["trial"] == 12] == [pytest.approx(0.08)]
+
+
+def test_forest_search_scores_train_and_held_out_rows(spark):
+    from scorelab.operators import baseline
+
+    df = spark.createDataFrame([(i, float(i % 7), i % 3 % 2) for i in range(90)], "row_id long, x double, `DEFAULT` int")
+    grid = {**baseline.FOREST_GRID, "numTrees": [3], "maxDepth": [2]}
+    got = baseline.search_forest(df, ["x"], n_iter=1, folds=2, grid=grid).collect()
+    assert len(got) == 2 and all(0 <= r["auc_train"] <= 1 and 0 <= r["auc_roc"] <= 1 for r in got)
