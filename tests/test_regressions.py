@@ -181,3 +181,20 @@ def test_forest_search_scores_train_and_held_out_rows(spark):
     grid = {**baseline.FOREST_GRID, "numTrees": [3], "maxDepth": [2]}
     got = baseline.search_forest(df, ["x"], n_iter=1, folds=2, grid=grid).collect()
     assert len(got) == 2 and all(0 <= r["auc_train"] <= 1 and 0 <= r["auc_roc"] <= 1 for r in got)
+
+
+def test_bootstraps_are_registered_with_all_replicates(spark, sf, monkeypatch):
+    from scorelab.operators import bootstrap
+    from scorelab.plans import cases_uncertainty as cases
+
+    asked = []
+    monkeypatch.setattr(significance, "paired_bootstrap", lambda p, a, b, reps, seed, **kw: asked.append((a, b, reps, kw["weights"])))
+    monkeypatch.setattr(significance, "all_pairs", lambda s, runs, reps, seed: asked.append((*runs, reps)))
+    cases.q_k4(spark, sf), cases.q_k4p(spark, sf), cases.q_k7(spark, sf)
+    assert asked == [("a", "b", 2000, "multinomial"), ("a", "c", 2000, "poisson"), ("a", "b", "c", 2000)]
+    rows = [(i, float(i % 3)) for i in range(1000)]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a"] * 1000), pa.array([s for _, s in rows]), pa.array([0, 1] * 500), pa.array([str(i) for i, _ in rows])], names=["model", "s", "y", "key"])
+    runs = list(bootstrap._walk(iter([batch]), 2000))
+    assert sum(len(r[3]) for r in runs) == 1000 and max(len(r[3]) for r in runs) * 2001 <= bootstrap.CELLS
