@@ -16,6 +16,10 @@ Counts are global: lengths are optimal for the whole corpus among codes of at
 most ``MAX_BITS`` bits. A block has about ``BLOCK_IDS`` ids, or one longer
 document.
 
+Ids are those of the tokenizer file asked as it is: the literal text of an added
+token stands for that token's id, and only the stretches between are cut and
+merged.
+
 Defined results: a null text counts as empty and gives the end id alone; rows
 with equal doc_id (nulls first of all) follow each other in order of the text's
 hash; equal rows are all kept; an empty table gives an empty set of files;
@@ -25,6 +29,7 @@ columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,17 +133,47 @@ def unpack_bits(payloads: list[bytes], checkpoints: list[np.ndarray], counts: li
     return [out[a:b].ravel()[:n] for a, b, n in zip(rows, rows[1:], counts)]
 
 
-def _encoder(path: str, classes: bytes) -> SliceEncoder:
+class AddedEncoder:
+    """Encodes texts whose added tokens (literal bytes to id) stand for themselves, the stretches between by ``plain``."""
+
+    def __init__(self, plain: SliceEncoder, added: dict[bytes, int]) -> None:
+        self.plain, self.added = plain, added
+        # leftmost first, of those the longest
+        self.find = re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)))
+
+    def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        buf = data.tobytes()
+        if not any(t in buf for t in self.added):
+            return self.plain.encode(data, offs)
+        edges, own, first = [int(offs[0])], [], [0]
+        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+            for m in self.find.finditer(buf, a, b):
+                edges += m.span()
+                own += [-1, self.added[m[0]]]
+            edges.append(b)
+            own.append(-1)
+            first.append(len(own))
+        ids, at = self.plain.encode(data, np.array(edges, np.int64))
+        parts = [ids[i:j] if k < 0 else np.array([k], ids.dtype) for i, j, k in zip(at, at[1:], own)]
+        ends = np.cumsum([0, *map(len, parts)])
+        return np.concatenate(parts), ends[first]
+
+
+def _encoder(path: str, classes: bytes) -> AddedEncoder | SliceEncoder:
     def make():
         from tokenizers import Tokenizer
 
         lib = Tokenizer.from_file(path)
-        lib.encode_special_tokens = True
+        added = {t.content.encode(): i for i, t in lib.get_added_tokens_decoder().items()}
+        if added and (lib.normalizer is not None or any(t.single_word or t.lstrip or t.rstrip for t in lib.get_added_tokens_decoder().values())):
+            raise ValueError(f"added tokens that are not found by their literal text alone: {path}")
+        lib.encode_special_tokens = True  # a slice is ordinary text
 
         def merge(slices: list[bytes]) -> list[bytes]:
             return [np.array(e.ids, dtype="<u4").tobytes() for e in lib.encode_batch_fast([s.decode("utf-8") for s in slices], add_special_tokens=False)]
 
-        return SliceEncoder(classes, merge)
+        plain = SliceEncoder(classes, merge)
+        return AddedEncoder(plain, added) if added else plain
 
     return kept_by_worker(("json", path), make)
 

@@ -91,6 +91,21 @@ def test_huffman_files_round_trip(spark, texts):
         start += len(want)
 
 
+def test_huffman_ids_of_added_tokens_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    lib, end = Tokenizer.from_file(JSON), "<|endoftext|>"
+    some = [f"a {end} b", end, end * 3, f" {end}\n\n{end} x", "<|endof", "text|>", "", f"{end[:-1]}{end}é", f"naïve  {end}  {end[1:]}", "plain text", None, end.upper()]
+    df = spark.createDataFrame(list(enumerate(some)), "doc_id long, text string").repartition(2)
+    got = sorted(huffman_ids.digests(df, JSON).collect(), key=lambda r: r["start"])
+    start = 0
+    for r, (d, t) in zip(got, enumerate(some), strict=True):
+        want = [*lib.encode(t or "", add_special_tokens=False).ids, 2]
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (d, start, len(want), zlib.crc32(np.array(want, "<u4").tobytes())), t
+        start += len(want)
+    assert lib.encode(some[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+
+
 def test_code_lengths_are_optimal_and_limited():
     rng = np.random.default_rng(1)
     for size in (1, 2, 3, 50, 300):
