@@ -126,3 +126,35 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return merkle_audit.audit(merkle_audit.archive(pages), merkle_audit.archive(merkle_audit.damaged_copy(pages), "replica"))
+
+
+_BLANKS = "concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))"
+
+
+@query("op11_line_dedup", f"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) l from documents),
+e as (select doc_id, unnest(l) line, generate_subscripts(l, 1) pos from d),
+k as (select *, translate(trim(line, {_BLANKS}), {_ASCII}) k from e),
+s as (select k, max(doc_id) last_doc from k where length(k) >= 40 group by k having count(distinct doc_id) >= 5),
+j as (select k.doc_id, k.pos, k.line, (s.k is not null and k.doc_id <> s.last_doc) gone from k left join s on k.k = s.k)
+select doc_id, count(*) n_lines, count(*) filter (gone) n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) kept_sha256 from j group by doc_id
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_dedup
+
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op12_fill_middle", """
+with d as (select doc_id, coalesce(text, '') t, length(coalesce(text, '')) n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) x from documents),
+h as (select *, cast('0x' || x[1:8] as bigint) h1, cast('0x' || x[9:16] as bigint) h2, cast('0x' || x[17:24] as bigint) h3, cast('0x' || x[25:32] as bigint) h4 from d),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) a, greatest(h1 % (n + 1), h2 % (n + 1)) b,
+  case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end form from h),
+p as (select *, substring(t, 1, a) pre, substring(t, a + 1, b - a) mid, substring(t, b + 1) suf from c)
+select doc_id, n, form, case when form <> 'plain' then a end prefix_chars, case when form <> 'plain' then b - a end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) output_sha256, sha256(t) restored_sha256 from p
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import fill_middle
+
+    return fill_middle.digests(table(spark, sf_dir, "documents"))

@@ -23,11 +23,14 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op9": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     "op10": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op11": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
+    "op12": {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint", "output_sha256": "string", "restored_sha256": "string"},
+    "op13": {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string"},
 }
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
