@@ -158,3 +158,44 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import fill_middle
 
     return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def _cheapest(own: bool) -> str:
+    """The step of the repair's recursion for the four states: each value is (cost, audit) of what is left, compared in that order."""
+    edit = lambda cost, letter, to: f"{{'c': {cost} + {to}.c, 's': '{letter}' || {to}.s}}"
+    if not own:
+        return ", ".join(f"least({x}) w{k}" for k, x in enumerate([
+            f"o0, {edit(2, 'I', 'o2')}, {edit(4, 'II', 'o3')}", f"o1, {edit(2, 'I', 'o2')}, {edit(4, 'II', 'o3')}", f"o2, {edit(2, 'I', 'o3')}", f"o3, {edit(2, 'I', 'o2')}"]))
+    more = "(case when fault = 'truncated' then 1 else 0 end)"
+    free = "fault in ('', 'truncated')"
+    to = lambda state, filled, kept: f"least({edit(3, 'D', f'w{state}')}, case when {free} then {edit(f'2 + {more}', 'R', filled)} end, " + ", ".join(f"case when {free} and initial = '{i}' then {edit(more, 'K', t)} end" for i, t in kept) + f") o{state}"
+    return ", ".join([to(0, "w2", [("s", "w1"), ("u", "w2")]), to(1, "w2", [("u", "w2")]), to(2, "w3", [("a", "w3")]), to(3, "w2", [("u", "w2")])])
+
+
+@query("op13_turn_repair", f"""
+with recursive tab as (select list(list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, cast(i as bigint)) order by i) t from range(256) r(i)),
+base as (select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+  xor(list_reduce(list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda x: cast(ord(x) as bigint)), lambda c, b: xor(c >> 8, t[cast((xor(c, b) & 255) + 1 as integer)]), cast(4294967295 as bigint)), 4294967295) % 20 kind
+  from conversations, tab),
+hurt as (select conv_id, turn, case when kind = 4 then 'user' else role end role, case when kind = 1 then '' when kind = 2 then replace(replace(replace(text, '.', ''), '!', ''), '?', '') else text end text
+  from (select *, unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) from base)),
+numbered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) n, rtrim(text, {_BLANKS}) inked, role[1:1] initial from hurt),
+r as (select *, lag(initial) over (partition by conv_id order by n) || initial pair,
+  case when inked = '' then 'blank' when row_number() over (partition by conv_id, role, text order by n) > 1 then 'duplicate' when inked[-1:] not in ('.', '!', '?') then 'truncated' else '' end fault from numbered),
+g as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) n_rows, count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate,
+  count(*) filter (fault = 'truncated') truncated, count(*) filter (pair not in ('su', 'ua', 'au')) illegal from r group by conv_id),
+dp as (select conv_id, n_rows n, {{'c': cast(0 as bigint), 's': ''}} w0, {{'c': cast(4 as bigint), 's': 'II'}} w1, {{'c': cast(2 as bigint), 's': 'I'}} w2, {{'c': cast(0 as bigint), 's': ''}} w3 from g
+  union all select conv_id, n - 1, {_cheapest(False)} from (select dp.conv_id, dp.n, {_cheapest(True)} from dp join r on r.conv_id is not distinct from dp.conv_id and r.n = dp.n)),
+best as (select conv_id, w0.c cost, w0.s audit from dp where n = 0),
+edits as (select conv_id, j, letter, count(*) filter (letter <> 'I') over w n, count(*) filter (letter <> 'D') over w o from (select conv_id, unnest(string_split(audit, '')) letter, generate_subscripts(string_split(audit, ''), 1) j from best where audit <> '') window w as (partition by conv_id order by j)),
+opening as (select e.conv_id from edits e join r on r.conv_id is not distinct from e.conv_id and r.n = e.n where e.letter = 'K' and e.o = 1 and r.initial = 's'),
+made as (select e.conv_id, e.j, case when e.letter = 'K' then r.role when (e.o + (case when p.found then 1 else 0 end)) % 2 = 1 then 'user' else 'assistant' end || ':' || case when e.letter = 'I' then '' else r.text end line
+  from edits e left join r on r.conv_id is not distinct from e.conv_id and r.n = e.n left join (select conv_id, true found from opening) p on p.conv_id is not distinct from e.conv_id where e.letter <> 'D'),
+texts as (select conv_id, string_agg(line, chr(10) order by j) t from made group by conv_id)
+select i.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal, coalesce(cost, 0) cost, coalesce(audit, '') audit, sha256(coalesce(t, '')) repaired_sha256
+from (select distinct conv_id from conversations) i left join g on g.conv_id is not distinct from i.conv_id left join best on best.conv_id is not distinct from i.conv_id left join texts on texts.conv_id is not distinct from i.conv_id
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import turn_repair
+
+    return turn_repair.digests(table(spark, sf_dir, "conversations"))
