@@ -4,20 +4,28 @@ and post-hoc calibrators fitted per group.
 Fits never collect rows: temperature and Platt are Newton iterations where
 each step is one aggregate over the compressed (group, logit, label, count)
 table; the per-group parameter table is checkpointed between steps so the
-lineage stays one step long. Isotonic uses Spark ML's IsotonicRegression on
-compressed (score, mean label, weight) rows, one model per group.
+lineage stays one step long. Isotonic fits are lower convex hulls of the
+cumulative label sum, made for ranges of scores and merged; a fitted model is
+a table of knots. Applying parameters to a group that has none raises.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import bin_index, clip, linspace_inner, logit, sigmoid, softplus
-from ..functions.ranks import exact_quantiles
+from ..functions.ranks import exact_quantiles, prefix_sums
 from ..session import checkpoint_dir
 from .metrics import P, Y, brier, rank_metrics
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this module
+
 EPS = 1e-7
 
 
@@ -207,6 +215,16 @@ def _fit_logistic(val: DataFrame, by: list[str], label: str, score: str, eps: fl
         comp.unpersist()
 
 
+def with_parameters(rows: DataFrame, params: DataFrame, by: list[str]) -> DataFrame:
+    """``rows`` joined to their group's parameters; a row whose group has none raises at execution."""
+    if not by:
+        return rows.join(params.limit(1).withColumn("__k", F.lit(1)), F.lit(1) == F.col("__k")).drop("__k")  # one row of parameters
+    named = F.concat_ws(", ", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in by))
+    joined = rows.join(params.withColumn("_fitted", F.lit(True)), by, "left")
+    found = F.when(F.col("_fitted").isNull(), F.raise_error(F.concat(F.lit("no fitted parameters for group "), named)).cast("boolean")).otherwise(F.lit(True))
+    return joined.where(found).drop("_fitted")
+
+
 def fit_temperature(val: DataFrame, by: list[str] = ("run",), bounds: tuple[float, float] = (0.05, 10.0), max_iter: int = 200,
                     tol: float = 1e-9, label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
     """H3: T minimising the NLL of sigma(logit(p) / T) per group, T in bounds (the NLL is convex in 1 / T)."""
@@ -216,9 +234,7 @@ def fit_temperature(val: DataFrame, by: list[str] = ("run",), bounds: tuple[floa
 
 
 def apply_temperature(scores: DataFrame, params: DataFrame, by: list[str] = ("run",), score: str = P, eps: float = EPS) -> DataFrame:
-    by = list(by)
-    j = scores.join(F.broadcast(params), list(by))  # one row per group
-    return j.withColumn(score, sigmoid(logit(score, eps) / F.col("temperature"))).drop("temperature")
+    return with_parameters(scores, params, list(by)).withColumn(score, sigmoid(logit(score, eps) / F.col("temperature"))).drop("temperature")
 
 
 def fit_platt(val: DataFrame, by: list[str] = ("run",), max_iter: int = 200, tol: float = 1e-9, label: str = Y, score: str = P,
@@ -236,47 +252,91 @@ def fit_gradient(val: DataFrame, params: DataFrame, by: list[str] = ("run",), la
 
 
 def apply_platt(scores: DataFrame, params: DataFrame, by: list[str] = ("run",), score: str = P, eps: float = EPS) -> DataFrame:
-    by = list(by)
-    j = scores.join(F.broadcast(params), list(by))
-    return j.withColumn(score, sigmoid(F.col("a") * logit(score, eps) + F.col("b"))).drop("a", "b")
+    return with_parameters(scores, params, list(by)).withColumn(score, sigmoid(F.col("a") * logit(score, eps) + F.col("b"))).drop("a", "b")
 
 
-def fit_isotonic(val: DataFrame, by: list[str] = ("run",), label: str = Y, score: str = P, eps: float = EPS) -> dict:
-    """H5: one Spark ML isotonic model per group on compressed rows
-    (distinct clipped score, mean label, count as weight). Returns
-    {group tuple: model}; the number of groups is chosen by the caller."""
-    from pyspark.ml.feature import VectorAssembler  # noqa: F401
-    from pyspark.ml.regression import IsotonicRegression
+def hull_blocks(blocks: Iterator[tuple[float, float, float, float]]) -> list[tuple[float, float, float, float]]:
+    """Edges of the lower convex hull of the cumulative sums of (first score, last score, weight, label sum)
+    blocks in ascending order: neighbours whose means do not rise are pooled."""
+    out: list[tuple[float, float, float, float]] = []
+    for lo, hi, w, sy in blocks:
+        while out and out[-1][3] / out[-1][2] >= sy / w:
+            lo, w, sy = out[-1][0], out[-1][2] + w, out[-1][3] + sy
+            out.pop()
+        out.append((lo, hi, w, sy))
+    return out
 
+
+def fit_isotonic(val: DataFrame, by: list[str] = ("run",), label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
+    """H5: (by..., k, x, v), the knots of each group's isotonic fit, k = 1, 2, ... in ascending x.
+
+    Rows are compressed to distinct scores and dealt out by ranges of (group,
+    score). Each range keeps the edges of its lower convex hull only, and a
+    group's ranges are merged by the same rule, which gives the hull of the
+    whole. A block of several scores has a knot at both ends."""
     by = list(by)
-    comp = val.groupBy(*by, clip_probs(score, eps).alias("features")).agg(
-        F.avg(F.col(label).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
-    keys = [tuple(r) for r in val.select(*by).distinct().collect()] if by else [()]  # group keys only
-    models = {}
-    for k in keys:
-        cond = F.lit(True)
-        for c, v in zip(by, k):
-            cond = cond & (F.col(c) == F.lit(v))
-        models[k] = IsotonicRegression(isotonic=True, featuresCol="features", labelCol="label", weightCol="weight").fit(comp.where(cond))
-    return models
-
-
-def apply_isotonic(scores: DataFrame, models: dict, by: list[str] = ("run",), score: str = P, eps: float = EPS) -> DataFrame:
-    """Linear interpolation between knots, clipped at the ends, re-clipped to [eps, 1-eps]."""
+    comp = val.groupBy(*by, clip_probs(score, eps).alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"), F.sum(F.col(label).cast("double")).alias("sy"))
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    ordered = comp.select(group.alias("g"), "x", "w", "sy").repartitionByRange("g", "x").sortWithinPartitions("g", "x")
+    kind = ordered.schema["g"].dataType.simpleString()
+    edges = "lo double, hi double, w double, sy double"
+
+    def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The hull of each group in this range; blocks go out when the group ends."""
+        place, held, hull = TaskContext.get().partitionId() << 32, None, []
+
+        def made() -> pa.RecordBatch:
+            n = len(hull)
+            return pa.RecordBatch.from_arrays([held.take(pa.array([0] * n)), pa.array(range(place, place + n), pa.int64()), *(pa.array([b[c] for b in hull], pa.float64()) for c in range(4))], names=["g", "place", "lo", "hi", "w", "sy"])
+
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            x, w, sy = (batch.column(c).to_pylist() for c in (1, 2, 3))
+            start = 0
+            for end in [*(k for k in range(1, len(keys)) if keys[k] != keys[k - 1]), len(keys)]:
+                if held is not None and held[0].as_py() != keys[start]:
+                    yield made()
+                    place, hull = place + len(hull), []
+                held = batch.column(0).slice(start, 1)
+                hull = hull_blocks([*hull, *zip(x[start:end], x[start:end], w[start:end], sy[start:end])])
+                start = end
+        if hull:
+            yield made()
+
+    found = ordered.mapInArrow(pooled, f"g {kind}, place long, {edges}")
+    # what meets for a group are hull edges; the last merge is the model itself
+    gathered = found.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("place", "lo", "hi", "w", "sy"))).alias("b"))
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                hull = hull_blocks((b["lo"], b["hi"], b["w"], b["sy"]) for b in batch.column(1)[r].as_py())
+                knots = [(x, sy / w) for lo, hi, w, sy in hull for x in ((lo, hi) if hi > lo else (lo,))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([r] * len(knots))), pa.array(range(1, len(knots) + 1), pa.int64()), pa.array([x for x, _ in knots]), pa.array([v for _, v in knots])], names=["g", "k", "x", "v"])
+
+    return gathered.mapInArrow(merged, f"g {kind}, k long, x double, v double").select(*(F.col(f"g.{c}").alias(c) for c in by), "k", "x", "v")
+
+
+def apply_isotonic(scores: DataFrame, knots: DataFrame, by: list[str] = ("run",), score: str = P, eps: float = EPS) -> DataFrame:
+    """Linear interpolation between knots, clipped at the ends, re-clipped to [eps, 1 - eps].
+
+    Distinct scores and knots are counted in one order, which gives each score
+    the number of knots up to it; its segment is found by an equi-join on that.
+    Jobs run while this is built."""
     by = list(by)
-    parts = []
-    for k, m in models.items():
-        cond = F.lit(True)
-        for c, v in zip(by, k):
-            cond = cond & (F.col(c) == F.lit(v))
-        sub = scores.where(cond).withColumn("__x", clip_probs(score, eps))
-        out = m.setFeaturesCol("__x").setPredictionCol("__iso").transform(sub)
-        parts.append(out.withColumn(score, clip_probs("__iso", eps)).drop("__x", "__iso"))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res
+    checkpoint_dir(scores.sparkSession)
+    knots = knots.checkpoint(eager=True)
+    sizes = knots.groupBy(*by).agg(F.max("k").alias("_last"))
+    rows = with_parameters(scores, sizes, by).withColumn("_x", clip_probs(score, eps))
+    marked = rows.groupBy(*by, "_x").agg(F.lit(0).alias("_knot")).unionByName(knots.select(*by, F.col("x").alias("_x"), F.lit(1).alias("_knot")))
+    upto = prefix_sums(marked.groupBy(*by, "_x").agg(F.sum("_knot").alias("_knot")), by, "_x", ["_knot"]).select(*by, "_x", F.col("cum__knot").alias("_k"), F.col("tot__knot").alias("_all_knots"))
+    left = knots.select(*by, F.col("k").alias("_k"), F.col("x").alias("_x0"), F.col("v").alias("_v0"))
+    right = knots.select(*by, (F.col("k") - 1).alias("_k"), F.col("x").alias("_x1"), F.col("v").alias("_v1"))
+    met = upto.join(left, [*by, "_k"], "left").join(right, [*by, "_k"], "left")
+    between = F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_x") - F.col("_x0")) / (F.col("_x1") - F.col("_x0"))
+    value = F.when(F.col("_v0").isNull(), F.col("_v1")).when(F.col("_v1").isNull(), F.col("_v0")).otherwise(between)
+    values = met.select(*by, "_x", clip_probs(value, eps).alias("_v"))
+    return rows.join(values, [*by, "_x"]).withColumn(score, F.col("_v")).drop("_x", "_v", "_last")
 
 
 CALIBRATORS = ("identity", "temperature", "platt", "isotonic")

@@ -23,7 +23,9 @@ EPS = 1e-12
 
 def uncertainty(samples: DataFrame, labels: DataFrame | None = None, key: str = "row_id", p: str = "p") -> DataFrame:
     """Mean, population std, predictive entropy H(mean), aleatoric
-    E_t[H(p_t)] and mutual information (their difference) per row."""
+    E_t[H(p_t)] and mutual information (their difference) per row.
+
+    With ``labels``, a row that has samples but no label raises at execution."""
     g = samples.groupBy(key).agg(
         F.avg(p).alias("mean"), F.stddev_pop(p).alias("std"), F.avg(bernoulli_entropy(p, EPS)).alias("aleatoric"),
         F.count(F.lit(1)).cast("int").alias("n_samples"),
@@ -31,7 +33,11 @@ def uncertainty(samples: DataFrame, labels: DataFrame | None = None, key: str =
     g = g.withColumn("predictive_entropy", bernoulli_entropy("mean", EPS)).withColumn(
         "mutual_info", F.col("predictive_entropy") - F.col("aleatoric")
     )
-    return g.join(labels, key) if labels is not None else g
+    if labels is None:
+        return g
+    joined = g.join(labels.withColumn("_labelled", F.lit(True)), key, "left")
+    missing = F.raise_error(F.concat(F.lit("no label for row "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean")
+    return joined.where(F.when(F.col("_labelled").isNull(), missing).otherwise(F.lit(True))).drop("_labelled")
 
 
 def fractions(step: float = 0.05, stop: float = 0.65) -> list[float]:

@@ -121,6 +121,32 @@ def q_fit_gradient(spark, sf):
     return C.fit_gradient(val, t, BY1).select("run", F.col("gradient_a").alias("temperature_gradient")).join(p, "run")
 
 
+CLIPPED = f"least(greatest(y_prob, {Q.lit(1e-7)}), {Q.lit(1 - 1e-7)})"
+# the lower hull of the cumulative sums by gift wrapping: from each vertex to the one of least slope
+HULL = (
+    f"select run, row_number() over (partition by run order by x) as k, x, sum(w) over (partition by run order by x) as cw, sum(sy) over (partition by run order by x) as cs from "
+    f"(select run, {CLIPPED} as x, count(*) * 1.0::double as w, sum(y_true) * 1.0::double as sy from scores where split = 'val' group by 1, 2) c union all select distinct run, 0, null, 0.0, 0.0 from scores"
+)
+ISOTONIC = (
+    "with recursive pts as materialized (select * from cum), hull(run, k, from_k, v) as (select distinct run, cast(0 as bigint), cast(null as bigint), cast(null as double) from pts union all "
+    "select h.run, arg_min(p.k, (p.cs - o.cs) / (p.cw - o.cw)), h.k, min((p.cs - o.cs) / (p.cw - o.cw)) from hull h join pts o on o.run = h.run and o.k = h.k join pts p on p.run = h.run and p.k > h.k group by h.run, h.k), "
+    "knots as (select distinct h.run, p.x, h.v from hull h join pts p on p.run = h.run and (p.k = h.from_k + 1 or p.k = h.k) where h.from_k is not null) select * from knots"
+)
+
+
+@case("h5_isotonic", W(
+    f"select t.run, cast(floor(t.x * 50) as int) as cell, count(*) as n, avg(case when l.v is null then r.v when r.v is null or r.x = l.x then l.v else l.v + (r.v - l.v) * (t.x - l.x) / (r.x - l.x) end) as mean_calibrated, "
+    f"min(t.x) as least_score from (select run, {CLIPPED} as x from scores where split = 'test') t asof left join knots l on l.run = t.run and t.x >= l.x asof left join knots r on r.run = t.run and t.x <= r.x group by 1, 2",
+    ("cum", HULL), ("knots", ISOTONIC)), doubles=["mean_calibrated", "least_score"])
+def q_h5(spark, sf):
+    """Isotonic fits on val, applied to test; means of the calibrated scores by fiftieths of the raw score."""
+    s = S(spark, sf)
+    test = s.where(F.col("split") == "test").withColumn("x", C.clip_probs("y_prob"))
+    cal = C.apply_isotonic(test, C.fit_isotonic(s.where(F.col("split") == "val"), BY1), BY1)
+    return cal.groupBy("run", F.floor(F.col("x") * 50).cast("int").alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("y_prob").alias("mean_calibrated"), F.min("x").alias("least_score"))
+
+
 @case("h12_calibrate_and_score", None)
 def q_h12(spark, sf):
     """Fit on val, score on test, all four calibrators for every run (fits: rows-only check)."""

@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scorelab.functions import dist
-from scorelab.operators import calibrate, drift, profile, significance
-from scorelab.operators.bootstrap import hash_weights, poisson_metrics
+from scorelab.operators import bootstrap, calibrate, drift, profile, significance
 from scorelab.session import checkpoint_dir
 from scorelab.sources import io
 
@@ -115,26 +114,103 @@ def test_a_fit_that_does_not_settle_raises(spark):
         calibrate.fit_platt(df, max_iter=1)
 
 
-def test_poisson_metrics_equal_plain_metrics(spark):
-    """Against direct sums over repeated rows, with ties that span batches and parts."""
-    rng = np.random.default_rng(3)
-    rows = [(str(i), int(rng.random() < 0.4), float(np.round(rng.random(), 1)), float(rng.random())) for i in range(500)]
-    df = spark.createDataFrame(rows, "row_id string, y_true int, p_a double, p_b double").repartition(3)
-    thresholds = significance.poisson1_thresholds()
-    got = {(r["rep"], r["model"]): r for r in poisson_metrics(df, 6, 9, thresholds).collect()}
-    w = hash_weights([r[0] for r in rows], 6, 9, np.array([int(t, 16) for t in thresholds], np.uint32))
+def _keys(names, seed):
+    import hashlib
+
+    words = [hashlib.md5(f"{seed}|{n}".encode()).hexdigest() for n in names]
+    return np.array([int(w[:8], 16) for w in words]), np.array([int(w[8:16], 16) for w in words])
+
+
+def _check_metrics(got, rows, w):
     y = np.array([r[1] for r in rows])
-    assert len(got) == 14 and 0.8 < w[:, :6].mean() < 1.2
-    for m, s in (("a", np.array([r[2] for r in rows])), ("b", np.array([r[3] for r in rows]))):
+    for run in (0, 1):
+        s = np.array([r[2][run] for r in rows])
         for rep in (-1, 0, 3, 5):
             k = w[:, rep]
             pos, neg = k * y, k * (1 - y)
-            u = sum(pos[i] * (neg[s < s[i]].sum() + neg[s == s[i]].sum() / 2) for i in range(500))
-            ap = sum(pos[i] * pos[s >= s[i]].sum() / (pos + neg)[s >= s[i]].sum() for i in range(500) if pos[i])
-            r = got[rep, m]
+            u = sum(pos[i] * (neg[s < s[i]].sum() + neg[s == s[i]].sum() / 2) for i in range(len(s)))
+            ap = sum(pos[i] * pos[s >= s[i]].sum() / (pos + neg)[s >= s[i]].sum() for i in range(len(s)) if pos[i])
+            bins = np.searchsorted([b * 0.1 for b in range(1, 10)], s, "right")
+            r = got[rep, run]
+            assert (r["pos"], r["neg"]) == (pos.sum(), neg.sum())
             assert r["auc_roc"] == pytest.approx(u / pos.sum() / neg.sum()) and r["auc_pr"] == pytest.approx(ap / pos.sum())
             assert r["brier"] == pytest.approx((k * (s - y) ** 2).sum() / k.sum())
             assert r["accuracy"] == pytest.approx((k * ((s >= 0.5) == y)).sum() / k.sum())
+            tp = pos[s >= 0.5].sum()
+            assert r["f1"] == pytest.approx(2 * tp / (tp + k[s >= 0.5].sum() + pos.sum() - tp))
+            assert r["ece"] == pytest.approx(sum(abs((k * (y - s))[bins == b].sum()) for b in range(10)) / k.sum())
+
+
+def _runs_table(spark, n, seed=3):
+    rng = np.random.default_rng(seed)
+    rows = [(str(i), int(rng.random() < 0.4), [float(np.round(rng.random(), 1)), float(rng.random())]) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "row_id string, y_true int, p array<double>").repartition(3)
+
+
+def test_poisson_metrics_equal_plain_metrics(spark):
+    """Against direct sums over repeated rows, with ties that span blocks and parts."""
+    rows, df = _runs_table(spark, 500)
+    got = {(r["rep"], r["run"]): r for r in bootstrap.replicate_metrics(df, 2, 6, 9).collect()}
+    w = bootstrap.row_weights(*_keys([r[0] for r in rows], 9), 6, bootstrap.poisson_limits())
+    assert len(got) == 14 and 0.8 < w[:, :6].mean() < 1.2
+    _check_metrics(got, rows, w)
+
+
+@pytest.mark.parametrize("n", [20, 300])
+def test_multinomial_weights_sum_to_n(spark, n):
+    """20 rows: all draws are placed one by one; 300: most come from Poisson weights."""
+    rows, df = _runs_table(spark, n)
+    wide = bootstrap.keyed(df, 4).cache()
+    limits = bootstrap.poisson_limits(max(0.0, 1 - bootstrap.SLACK / n**0.5))
+    assert bool(limits) == (n == 300)
+    extra = {r["row_id"]: r["extra"] for r in bootstrap.missing_draws(wide, 6, 4, n, limits).collect()}
+    w = bootstrap.row_weights(*_keys([r[0] for r in rows], 4), 6, limits)
+    for i, r in enumerate(rows):
+        for rep in extra.get(r[0], []):
+            w[i, rep] += 1
+    assert (w.sum(0) == n).all() and w.max() > 1
+    got = {(r["rep"], r["run"]): r for r in bootstrap.replicate_metrics(df, 2, 6, 4, "multinomial").collect()}
+    if n == 300:
+        _check_metrics(got, rows, w)
+    assert all(r["pos"] + r["neg"] == n for r in got.values())
+
+
+def test_multinomial_draws_are_even():
+    """Means and variances of many replicates: 1 and 1 - 1/N for a row, and N for the sum."""
+    k1, k2 = _keys(map(str, range(400)), 0)
+    w = bootstrap.row_weights(k1, k2, 4000, bootstrap.poisson_limits(0.7))[:, :4000]
+    assert w.mean() == pytest.approx(0.7, abs=0.003) and w.var() == pytest.approx(0.7, abs=0.006)
+    assert np.abs(np.corrcoef(w[:40])[np.triu_indices(40, 1)]).max() < 0.08
+    assert np.abs(np.corrcoef(w.T[:40])[np.triu_indices(40, 1)]).max() < 0.25
+
+
+@pytest.mark.parametrize("weights", ["poisson", "multinomial"])
+def test_bootstrap_equals_its_sql(spark, sf, weights):
+    import duckdb
+
+    from scorelab.plans import cases_uncertainty as cases
+    from scorelab.plans import sqltext
+    from scorelab.sources.tables import TABLES
+
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
+    want = con.execute(sqltext.with_fixtures(cases.boot_sql(["a", "b", "c"], 40, weights=weights), "scores"))
+    names = [c[0] for c in want.description]
+    want = {r[:4]: r[4:] for r in want.fetchall()}
+    got = significance.bootstrap_all(significance.aligned(cases.test_scores(spark, sf), ["a", "b", "c"]), ["a", "b", "c"], 40, weights=weights)
+    assert got.columns == names and len(want) == 18
+    for r in got.collect():
+        assert tuple(r)[4:] == pytest.approx(want[tuple(r)[:4]], abs=1e-9)
+
+
+def test_rows_that_do_not_align_raise(spark):
+    rows = [("a", "1", 1, 0.2, 0), ("b", "1", 1, 0.3, 0), ("a", "2", 0, 0.2, 0), ("b", "2", 0, 0.1, 0)]
+    schema = "run string, row_id string, y_true int, y_prob double, y_pred int"
+    assert significance.aligned(spark.createDataFrame(rows, schema), ["a", "b"]).count() == 2
+    for bad, words in (([("a", "3", 1, 0.5, 1)], "have row 3"), ([("a", "1", 1, 0.2, 0)], "repeats row 1"), ([("a", "3", 1, 0.5, 1), ("b", "3", 0, 0.5, 1)], "disagree")):
+        with pytest.raises(Exception, match=words):
+            significance.aligned(spark.createDataFrame(rows + bad, schema), ["a", "b"]).collect()
 
 
 def test_checkpoint_folder_of_a_cluster_must_be_set(monkeypatch):
@@ -184,7 +260,6 @@ def test_forest_search_scores_train_and_held_out_rows(spark):
 
 
 def test_bootstraps_are_registered_with_all_replicates(spark, sf, monkeypatch):
-    from scorelab.operators import bootstrap
     from scorelab.plans import cases_uncertainty as cases
 
     asked = []
@@ -192,9 +267,92 @@ def test_bootstraps_are_registered_with_all_replicates(spark, sf, monkeypatch):
     monkeypatch.setattr(significance, "all_pairs", lambda s, runs, reps, seed: asked.append((*runs, reps)))
     cases.q_k4(spark, sf), cases.q_k4p(spark, sf), cases.q_k7(spark, sf)
     assert asked == [("a", "b", 2000, "multinomial"), ("a", "c", 2000, "poisson"), ("a", "b", "c", 2000)]
-    rows = [(i, float(i % 3)) for i in range(1000)]
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_arrays([pa.array(["a"] * 1000), pa.array([s for _, s in rows]), pa.array([0, 1] * 500), pa.array([str(i) for i, _ in rows])], names=["model", "s", "y", "key"])
-    runs = list(bootstrap._walk(iter([batch]), 2000))
-    assert sum(len(r[3]) for r in runs) == 1000 and max(len(r[3]) for r in runs) * 2001 <= bootstrap.CELLS
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 1000), pa.array([float(i % 3) for i in range(1000)]), pa.array([0, 1] * 500), pa.array(range(1000)), pa.array(range(1000)), pa.array([None] * 1000, pa.list_(pa.int32()))], names=["run", "s", "y", "k1", "k2", "extra"])
+    blocks = list(bootstrap._walk(iter([batch]), 2000))
+    assert sum(len(r[3]) for r in blocks) == 1000 and max(len(r[3]) for r in blocks) * 2001 <= bootstrap.CELLS
+
+
+def plain_isotonic(xs, ys, ws):
+    """Pool adjacent violators over distinct scores in ascending order: fitted value of each."""
+    blocks = []
+    for y, w in zip(ys, ws):
+        blocks.append([y * w, w, 1])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            sy, w2, n = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + sy, blocks[-1][1] + w2, blocks[-1][2] + n]
+    return [sy / w for sy, w, n in blocks for _ in range(n)]
+
+
+def test_isotonic_equals_plain_pooling_on_many_groups(spark):
+    """1,000 groups in one job, from no slope to steep ones, with ties."""
+    rng = np.random.default_rng(1)
+    rows, want = [], {}
+    for g in range(1000):
+        n, slope = int(rng.integers(1, 40)), rng.random() * 3 - 1
+        p = np.round(rng.random(n), int(rng.integers(1, 5)))
+        y = (rng.random(n) < np.clip(0.5 + slope * (p - 0.5), 0, 1)).astype(int)
+        rows += [(f"g{g}", str(i), float(a), int(b)) for i, (a, b) in enumerate(zip(p, y))]
+        x = np.unique(np.clip(p, 1e-7, 1 - 1e-7))
+        at = np.clip(p, 1e-7, 1 - 1e-7)
+        fit = plain_isotonic(x, [y[at == v].mean() for v in x], [int((at == v).sum()) for v in x])
+        q = np.linspace(0, 1, 7)
+        want[f"g{g}"] = np.clip(np.interp(np.clip(q, 1e-7, 1 - 1e-7), x, fit), 1e-7, 1 - 1e-7)
+    df = spark.createDataFrame(rows, "run string, row_id string, y_prob double, y_true int").repartition(7)
+    test = spark.createDataFrame([(g, float(v)) for g in want for v in np.linspace(0, 1, 7)], "run string, y_prob double").withColumn("at", F.col("y_prob"))
+    got = {}
+    for r in calibrate.apply_isotonic(test, calibrate.fit_isotonic(df)).orderBy("run", "at").collect():
+        got.setdefault(r["run"], []).append(r["y_prob"])
+    assert set(got) == set(want)
+    for g, v in want.items():
+        assert got[g] == pytest.approx(v.tolist(), abs=1e-12)
+
+
+def test_parameters_of_a_group_that_is_missing_raise(spark):
+    """Rows whose group has no fitted parameters once vanished."""
+    df = spark.createDataFrame([(g, 0.2, 1) for g in "abc"], "run string, y_prob double, y_true int")
+    only = spark.createDataFrame([("a", 2.0, 1.0, 0.0)], "run string, temperature double, a double, b double")
+    knots = calibrate.fit_isotonic(df.where("run = 'a'"))
+    for make in (lambda d: calibrate.apply_temperature(d, only.select("run", "temperature")), lambda d: calibrate.apply_platt(d, only.select("run", "a", "b")), lambda d: calibrate.apply_isotonic(d, knots)):
+        assert make(df.where("run = 'a'")).count() == 1
+        with pytest.raises(Exception, match="no fitted parameters for group [bc]"):
+            make(df).collect()
+    from scorelab.operators import uncertainty
+
+    samples = spark.createDataFrame([(1, 0.5), (2, 0.5)], "row_id long, p double")
+    labels = spark.createDataFrame([(1, 1)], "row_id long, y_true int")
+    with pytest.raises(Exception, match="no label for row 2"):
+        uncertainty.uncertainty(samples, labels).collect()
+    assert uncertainty.uncertainty(samples.where("row_id = 1"), labels).columns[-1] == "y_true"
+
+
+def test_nulls_are_no_values_of_a_distribution(spark):
+    df = spark.createDataFrame([(0, None), (0, 1.0), (0, 3.0), (1, 2.0), (1, None), (1, 2.0)], "`DEFAULT` int, x double")
+    assert {(r["cls"], r["value"]): r["ecdf"] for r in profile.ecdf(df, "x").collect()} == {(0, 1.0): 0.5, (0, 3.0): 1.0, (1, 2.0): 1.0}
+    got = {(r["cls"], r["g"]): r["density"] for r in profile.kde(df, "x", [0.0, 2.0]).collect()}
+    bw = 2**0.5 * 2**-0.2
+    want = sum(math.exp(-0.5 * ((2.0 - v) / bw) ** 2) for v in (1.0, 3.0)) / (2 * bw * math.sqrt(2 * math.pi))
+    assert got[0, 2.0] == pytest.approx(want, abs=1e-6) and got[1, 0.0] is None and len(got) == 4
+
+
+def test_kde_of_many_values_equals_the_direct_sum(spark):
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.normal(0, 1, 60_000), rng.exponential(3, 40_000), [500.0]])
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(1, float(x)) for x in v], 4), "`DEFAULT` int, x double")
+    grid = [-2.0, 0.0, 0.37, 5.0, 120.0, 500.0]
+    bw = v.std(ddof=1) * len(v) ** -0.2
+    want = {g: np.exp(-0.5 * ((g - v) / bw) ** 2).sum() / (len(v) * bw * math.sqrt(2 * math.pi)) for g in grid}
+    got = {r["g"]: r["density"] for r in profile.kde(df, "x", grid).collect()}
+    assert got == {g: pytest.approx(w, abs=1e-6) for g, w in want.items()}
+
+
+def test_vif_is_infinite_only_where_columns_depend(spark):
+    rng = np.random.default_rng(6)
+    a, b, c, d = rng.normal(size=(4, 300))
+    c = c + 0.5 * d
+    df = spark.createDataFrame([(float(x), float(y), float(x - 2 * y), float(z), float(w), 4.0) for x, y, z, w in zip(a, b, c, d)], "a double, b double, s double, c double, d double, k double")
+    got = {r["feature"]: r["vif"] for r in profile.vif(df, ["a", "b", "s", "c", "d", "k"]).collect()}
+    assert all(math.isinf(got[x]) for x in "absk")
+    plain = np.linalg.inv(np.corrcoef(np.stack([a, b, c, d])))
+    assert got["c"] == pytest.approx(plain[2, 2], rel=1e-6) and got["d"] == pytest.approx(plain[3, 3], rel=1e-6)
