@@ -356,3 +356,62 @@ def test_vif_is_infinite_only_where_columns_depend(spark):
     assert all(math.isinf(got[x]) for x in "absk")
     plain = np.linalg.inv(np.corrcoef(np.stack([a, b, c, d])))
     assert got["c"] == pytest.approx(plain[2, 2], rel=1e-6) and got["d"] == pytest.approx(plain[3, 3], rel=1e-6)
+
+
+def _auc(s, y):
+    s, y = np.asarray(s), np.asarray(y)
+    d = s[y == 1][:, None] - s[y == 0][None]
+    return ((d > 1e-12) + 0.5 * (np.abs(d) <= 1e-12)).mean()
+
+
+def test_permutation_drops_equal_the_exploded_form(spark, monkeypatch):
+    """Against Spark ML's own scores of permuted rows, over several chunks and a feature that no tree reads."""
+    import hashlib
+
+    from scorelab.operators import baseline, forest
+
+    monkeypatch.setattr(forest, "CHUNK", 64)
+    rng = np.random.default_rng(8)
+    cols = ["u", "v", "w", "flat"]
+    rows = [(i, float(a), float(b), float(c), 1.0, int(a + 0.5 * b + rng.normal() > 0)) for i, (a, b, c) in enumerate(rng.normal(size=(300, 3)).round(1))]
+    df = spark.createDataFrame(rows, "row_id long, u double, v double, w double, flat double, `DEFAULT` int").repartition(3)
+    model = baseline.fit_forest(df, cols, num_trees=12, max_depth=4, seed=1)
+    got = {r["feature"]: r for r in baseline.permutation_importance(model, df, cols, repeats=3, seed=5).collect()}
+    order = sorted(rows, key=lambda r: int(hashlib.md5(f"{r[0]}|src".encode()).hexdigest()[:15], 16))
+    variants = []
+    for f, name in [(0, ""), *enumerate(cols, 1)]:
+        for rep in range(3):
+            move = forest.shift(300, name, rep, 5) if name else 0
+            for p, r in enumerate(order):
+                put = list(r[1:5])
+                if name:
+                    put[f - 1] = order[(p + move) % 300][f]
+                variants.append((name, rep, *put, r[5]))
+    wide = spark.createDataFrame(variants, "feature string, repeat int, u double, v double, w double, flat double, `DEFAULT` int")
+    from pyspark.ml.functions import vector_to_array
+
+    p = model.transform(baseline.assemble(wide, cols)).select("feature", "repeat", "DEFAULT", vector_to_array("probability")[1].alias("s")).collect()
+    auc = {(n, k): _auc([r["s"] for r in p if (r["feature"], r["repeat"]) == (n, k)], [r["DEFAULT"] for r in p if (r["feature"], r["repeat"]) == (n, k)]) for n in ["", *cols] for k in range(3)}
+    for c in cols:
+        drops = [auc["", 0] - auc[c, k] for k in range(3)]
+        assert got[c]["importance_mean"] == pytest.approx(np.mean(drops), abs=1e-9) and got[c]["importance_std"] == pytest.approx(np.std(drops), abs=1e-9)
+    assert got["flat"]["importance_mean"] == 0 and got["u"]["importance_mean"] > 0.02
+
+
+def test_first_trees_answer_smaller_forests(spark):
+    from scorelab.operators import baseline, forest
+
+    rng = np.random.default_rng(9)
+    rows = [(i, float(a), float(b), int(a + rng.normal() > 0)) for i, (a, b) in enumerate(rng.normal(size=(200, 2)))]
+    df = spark.createDataFrame(rows, "row_id long, x double, z double, `DEFAULT` int")
+    model = baseline.fit_forest(df, ["x", "z"], num_trees=6, max_depth=3)
+    whole = {r["row_id"]: r["y_prob"] for r in baseline.score(model, df, ["x", "z"], "m").collect()}
+    got = forest.prefix_scores(df, forest.trees_of(model, spark), ["x", "z"], [2, 6], "DEFAULT", ["row_id"]).collect()
+    assert {str(r["row_id"]): r["y_prob"] for r in got if r["n_trees"] == 6} == {k: pytest.approx(v, abs=1e-12) for k, v in whole.items()}
+    some = model.trees[:2]
+    first = rows[3]
+    assert next(r["y_prob"] for r in got if r["n_trees"] == 2 and r["row_id"] == 3) == pytest.approx(np.mean([t.predictProbability(__import__("pyspark").ml.linalg.Vectors.dense(first[1:3]))[1] for t in some]))
+    grid = {**baseline.FOREST_GRID, "numTrees": [2, 3], "maxDepth": [2], "minInstancesPerNode": [1], "featureSubsetStrategy": ["sqrt"], "impurity": ["gini"], "class_weight": [None]}
+    trials = baseline.search_forest(df, ["x", "z"], n_iter=4, folds=2, grid=grid).collect()
+    assert len(trials) == 8 and {r["numTrees"] for r in trials} == {"2", "3"} and all(0.5 < r["auc_train"] <= 1 and 0 <= r["auc_roc"] <= 1 for r in trials)
+    assert len({baseline.fit_key(p) for p in baseline.sample_grid(4, 42, grid)}) == 1
