@@ -10,11 +10,15 @@ what it lets through is decided by the automaton on the words themselves.
 
 The items are a stated test set. They are read in blocks of about
 ``BLOCK_WORDS`` words, one pass over the documents each, so that what a task
-holds has a bound (one longer item is a block of its own).
+and the driver hold has a bound (one longer item is a block of its own). Where
+there are several blocks, the passes run one after the other: each writes its
+runs of hit words, for the documents that have any, and gives up its automaton;
+the documents are written once and read by every pass.
 
 Defined results: null and empty texts have no words and no hits; items without
 words have no windows; equal items each count under their own id, equal
-(item_id, text) rows once; an empty benchmark hits nothing; repeated documents
+(item_id, text) rows once; items with a null id hit like others and are together
+one item, a null in ``items`` and nothing in the joined ids; an empty benchmark hits nothing; repeated documents
 are judged each for itself; other columns pass through, but ``find`` replaces
 columns with the names of the added ones.
 """
@@ -31,9 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytewords import Hasher, alnum_table, cut, lower_table, mix, pieces, powers, text_buffers
-from .common import kept_by_worker
+from .common import kept_by_worker, materialise
 
-WINDOW, BLOCK_WORDS, PREFIX = 13, 100_000, "decontam__"
+WINDOW, BLOCK_WORDS = 13, 100_000
 _BASE = 0xC2B2AE3D27D4EB4F | 1
 _RUNS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("first_word", "end_word", "first_byte", "end_byte")]))
 
@@ -41,7 +45,7 @@ _RUNS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("firs
 class Automaton:
     """Generalised suffix automaton of word sequences; knows the items of every window."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int) -> None:
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int) -> None:
         self.window = window
         self.ids: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -58,8 +62,8 @@ class Automaton:
             if self.length[v] >= window:
                 up = self.link[v]
                 self.whole[v] = v if self.length[up] < window else self.whole[up]
-        self.items: dict[int, set[str]] = {}
-        own: dict[int, list[tuple[int, str]]] = {}
+        self.items: dict[int, set[str | None]] = {}
+        own: dict[int, list[tuple[int, str | None]]] = {}
         for name, seq in sequences:
             v = 0
             for i, c in enumerate(seq):
@@ -69,7 +73,7 @@ class Automaton:
             if 0 < len(seq) < window:
                 own.setdefault(v, []).append((len(seq), name))
         # short items that end where a state ends: its own, then its suffixes'
-        self.short: list[list[tuple[int, str]]] = [[]] * len(order)
+        self.short: list[list[tuple[int, str | None]]] = [[]] * len(order)
         for v in order[1:]:
             self.short[v] = own.get(v, []) + self.short[self.link[v]]
 
@@ -101,7 +105,7 @@ class Automaton:
             p = self.link[p]
         return new
 
-    def stream(self, words: list[bytes]) -> Iterator[tuple[int, int, set[str]]]:
+    def stream(self, words: list[bytes]) -> Iterator[tuple[int, int, set[str | None]]]:
         """(end, length, items) of every window that occurs; ``end`` is past its last word."""
         v = have = 0
         get, nxt, link, length = self.ids.get, self.next, self.link, self.length
@@ -192,14 +196,23 @@ def _runs(hit: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: int, b: int,
     return [{"first_word": int(i), "end_word": int(j) + 1, "first_byte": int(starts[a + i]) - byte, "end_byte": int(ends[a + j]) - byte} for i, j in zip(begins, stops)]
 
 
-def _pass(df: DataFrame, items: list[tuple[str, str]], text: str, window: int, made: list[str], later: bool) -> DataFrame:
+def _scanner(key: tuple, make) -> Scanner:
+    """The worker's scanner; one of another block is given up."""
+    held = kept_by_worker(("decontam",), dict)
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]
+
+
+def _pass(df: DataFrame, items: list[tuple[str | None, str]], text: str, window: int, made: list[str], later: bool) -> DataFrame:
     """One block's pass; ``made`` names the added columns, which a later pass adds to."""
     n_words, n_hit, spans_name, items_name = made
     held = df.sparkSession.sparkContext.broadcast(items)
-    key = ("decontam", held._jbroadcast.id() if held._jbroadcast else id(held), df.sparkSession.sparkContext.applicationId)
+    key = (held._jbroadcast.id() if held._jbroadcast else id(held), df.sparkSession.sparkContext.applicationId)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = kept_by_worker(key, lambda: Scanner(held.value, window))
+        scanner = _scanner(key, lambda: Scanner(held.value, window))
         for batch in batches:
             names = batch.schema.names
             data, offs = text_buffers(batch.column(names.index(text)))
@@ -217,7 +230,7 @@ def _pass(df: DataFrame, items: list[tuple[str, str]], text: str, window: int, m
                 added = [
                     pa.array(np.diff(first)), pa.array(np.diff(sums[first])),
                     pa.array(spans, pa.list_(pa.struct([(f.name, pa.int64()) for f in _RUNS.elementType.fields]))),
-                    pa.array([sorted(found.get(k, ())) for k in range(j - i)], pa.list_(pa.string())),
+                    pa.array([sorted(found.get(k, ()), key=lambda n: (n is None, n)) for k in range(j - i)], pa.list_(pa.string())),
                 ]
                 keep = [k for k, n in enumerate(names) if n not in made]
                 yield pa.RecordBatch.from_arrays([*(rest.column(k) for k in keep), *added], names=[*(names[k] for k in keep), *made])
@@ -228,15 +241,30 @@ def _pass(df: DataFrame, items: list[tuple[str, str]], text: str, window: int, m
 
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, prefix: str = "", block_words: int = BLOCK_WORDS) -> DataFrame:
     """Adds n_words, n_hit, spans (runs of hit words, with byte places) and items (ids of items with occurring windows), named with ``prefix``."""
-    tests = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body")).where("item is not null and body is not null").distinct()
+    tests = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body")).where("body is not null").distinct()
     size = tests.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // (6 * block_words)))
     made = [prefix + n for n in ("n_words", "n_hit", "spans", "items")]
     out = docs.drop(*made)
+    listed = lambda block: sorted(((r["item"], r["body"]) for r in block.collect()), key=lambda r: (r[0] is None, r))
+    if blocks == 1:
+        return _pass(out, listed(tests), text, window, made, False)
+    row = apart(out, "row")
+    numbered = materialise(out.withColumn(row, F.monotonically_increasing_id()), "decontam")
+    flags = None
     for k in range(blocks):
-        own = tests if blocks == 1 else tests.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k)
-        out = _pass(out, sorted((r["item"], r["body"]) for r in own.collect()), text, window, made, k > 0)
-    return out
+        block = listed(tests.where(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == k))
+        hits = _pass(numbered.select(row, text), block, text, window, made, False).where(F.col(made[1]) > 0)
+        written = materialise(hits.select(row, *made[2:]), "decontam_hits")
+        flags = written if flags is None else flags.unionByName(written)
+    together = flags.groupBy(row).agg(*(F.flatten(F.collect_list(c)).alias(c) for c in made[2:]))
+    met = numbered.join(together, row, "left").withColumns({c: F.coalesce(c, F.array().cast(together.schema[c].dataType)) for c in made[2:]}).drop(row)
+    return _pass(met, [], text, window, made, True).select(*out.columns, *made)
+
+
+def apart(docs: DataFrame, name: str) -> str:
+    """A column name that no column of ``docs`` has."""
+    return name + "_" * (1 + max((len(c) for c in docs.columns), default=0))
 
 
 def contaminated(n_hit, n_words):
@@ -246,8 +274,9 @@ def contaminated(n_hit, n_words):
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """Drops documents over the coverage limit; cuts the hit spans out of the others' texts."""
-    found = find(docs, benchmark, text, window, PREFIX).where(~contaminated(F.col(f"{PREFIX}n_hit"), F.col(f"{PREFIX}n_words")))
-    raw, spans = F.col(text).cast("binary"), F.col(f"{PREFIX}spans")
+    prefix = apart(docs, "decontam")
+    found = find(docs, benchmark, text, window, prefix).where(~contaminated(F.col(f"{prefix}n_hit"), F.col(f"{prefix}n_words")))
+    raw, spans = F.col(text).cast("binary"), F.col(f"{prefix}spans")
     # the bytes between spans: from the last one's end to the next one's begin, then the rest
     kept = F.aggregate(
         spans, F.struct(F.lit(b"").alias("made"), F.lit(0).cast("long").alias("end")),

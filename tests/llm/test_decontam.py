@@ -99,3 +99,40 @@ def test_automaton_finds_every_window():
             for a in range(len(w) - n + 1):
                 want |= {(i + n, n, name) for i in range(len(text) - n + 1) if text[i : i + n] == w[a : a + n]}
         assert got == want
+
+
+@pytest.mark.parametrize("block_words", [100_000, 10])
+def test_items_without_an_id_hit_and_are_not_named(spark, block_words):
+    """Also against the query's SQL, whose joined ids leave nulls out."""
+    import duckdb
+    import pyarrow as pa
+
+    from scorelab.llm.queries import ORACLES
+
+    long, short, own = " ".join(f"a{i}" for i in range(20)), "just three words", " ".join(f"b{i}" for i in range(16))
+    items = [(None, long), (None, short), (7, own), (8, short), (None, None)]
+    docs = [(1, long), (2, f"x {short} y"), (3, f"{own} {long} {short}"), (4, "none of it"), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.register(name, pa.table({key: pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())}))
+    want = {r[0]: r for r in con.execute(ORACLES["op6_decontaminate"]).fetchall()}
+    found = {r["doc_id"]: r for r in decontam.find(df, bench, block_words=block_words).collect()}
+    assert found[1]["n_hit"] == 20 and found[1]["items"] == [None] and found[3]["items"] == ["7", "8", None]
+    got = {r["doc_id"]: tuple(r) for r in decontam.digests(df, bench).collect()}
+    assert got.keys() == want.keys() and all(got[d] == want[d] for d in got if d is not None)
+    assert decontam.remove(df, bench).where("doc_id in (1, 2, 3)").count() == 0
+
+
+def test_many_blocks_use_one_worker_a_task(spark):
+    """One pass after the other: no plan holds the Python nodes of several blocks."""
+    items = [(str(i), " ".join(f"w{i}x{k}" for k in range(20))) for i in range(25)]
+    docs = [(i, f"start {items[i][1]} end {items[(i + 1) % 25][1]}") for i in range(25)]
+    bench, df = spark.createDataFrame(items, "item_id string, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontam.find(df, bench, block_words=20)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = {r["doc_id"]: r for r in found.collect()}
+    for d, t in docs:
+        n, hit, names = brute(t, items)
+        assert (got[d]["n_words"], got[d]["n_hit"], got[d]["items"]) == (n, len(hit), sorted(names))
