@@ -8,9 +8,8 @@ weighs the passages, and a logistic unit scores the weighted sum. Only document
 labels are learned from.
 
 The weights are fitted on the driver from a bounded sample: ``SAMPLE_DOCS``
-labelled rows, those with the smallest hash of doc_id, and of each at most
-``SAMPLE_PASSAGES`` passages, evenly spaced. Scoring reads every passage of
-every document.
+labelled rows, those with the smallest hash of doc_id, with all their passages.
+Scoring reads every passage of every document.
 
 Defined results: null and empty texts are bags of one all-zero passage and are
 scored like any other; a doc_id labelled more than once counts with its
@@ -34,7 +33,7 @@ from .bytewords import Hasher, cut, nonspace_table, pieces, text_buffers
 from .common import kept_by_worker
 
 PASSAGE_WORDS, HASHED, HIDDEN, ATTENTION = 64, 32, 24, 12
-SAMPLE_DOCS, SAMPLE_PASSAGES, EPOCHS, THRESHOLD = 4000, 64, 60, 0.3
+SAMPLE_DOCS, EPOCHS, THRESHOLD = 4000, 60, 0.3
 HELD_OUT_OF = 5
 
 
@@ -120,6 +119,24 @@ class Model:
         z = bag @ w["c"] + w["b"]
         return {"h": h, "v": v, "u": u, "weight": weight, "bag": bag, "owner": owner, "score": 1 / (1 + np.exp(-z))}
 
+    def gradient(self, x: np.ndarray, begin: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Gradient of the bags' mean log loss in every weight but the inputs' mean."""
+        w, f = self.weights, self.forward(x, begin)
+        dz = ((f["score"] - labels) / len(labels)).astype(f["score"].dtype)
+        g = {"c": f["bag"].T @ dz, "b": dz.sum()}
+        per = (dz[:, None] * w["c"])[f["owner"]]
+        dh = f["weight"][:, None] * per
+        gain = (per * f["h"]).sum(1)
+        dl = f["weight"] * (gain - np.add.reduceat(f["weight"] * gain, begin[:-1])[f["owner"]])
+        g["a"] = (f["v"] * f["u"]).T @ dl
+        dvu = dl[:, None] * w["a"]
+        dv, du = dvu * f["u"] * (1 - f["v"] ** 2), dvu * f["v"] * f["u"] * (1 - f["u"])
+        g["V"], g["U"] = f["h"].T @ dv, f["h"].T @ du
+        dh += dv @ w["V"].T + du @ w["U"].T
+        de = dh * (1 - f["h"] ** 2)
+        g["E"], g["e"] = (x - w["mean"]).T @ de, de.sum(0)
+        return g
+
     def score(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
         if not self.weights:
             return np.full(len(begin) - 1, self.prior)
@@ -144,21 +161,8 @@ def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed
         for a in range(0, len(order), 64):
             pick = order[a : a + 64]
             x, begin = np.concatenate([bags[i] for i in pick]), np.concatenate([[0], np.cumsum([len(bags[i]) for i in pick])])
-            f = model.forward(x, begin)
-            dz = ((f["score"] - labels[pick]) / len(pick)).astype(np.float32)
-            g = {"c": f["bag"].T @ dz, "b": dz.sum()}
-            dbag = dz[:, None] * w["c"]
-            per = dbag[f["owner"]]
-            dh = f["weight"][:, None] * per
-            gain = (per * f["h"]).sum(1)
-            dl = f["weight"] * (gain - np.add.reduceat(f["weight"] * gain, begin[:-1])[f["owner"]])
-            g["a"] = (f["v"] * f["u"]).T @ dl
-            dvu = dl[:, None] * w["a"]
-            dv, du = dvu * f["u"] * (1 - f["v"] ** 2), dvu * f["v"] * f["u"] * (1 - f["u"])
-            g["V"], g["U"] = f["h"].T @ dv, f["h"].T @ du
-            dh += dv @ w["V"].T + du @ w["U"].T
-            de = dh * (1 - f["h"] ** 2)
-            g["E"], g["e"] = (x - w["mean"]).T @ de + 1e-5 * w["E"], de.sum(0)
+            g = model.gradient(x, begin, labels[pick])
+            g["E"] = g["E"] + 1e-5 * w["E"]
             step += 1
             rate = 0.01 * min(1.0, 2 * (1 - epoch / epochs))
             for k in names:
@@ -182,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: int
             data, offs = text_buffers(batch.column(1))
             for i, j, part, at in pieces(data, offs):
                 x, begin = encode_passages(part, at)
-                bags = [x[a:b] if b - a <= SAMPLE_PASSAGES else x[np.linspace(a, b - 1, SAMPLE_PASSAGES).astype(int)] for a, b in zip(begin, begin[1:])]
+                bags = [x[a:b] for a, b in zip(begin, begin[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([b.astype("<f4").tobytes() for b in bags], pa.binary())], names=["doc_id", "y", "bag"])
 
     rows = texts.select("doc_id", "body", "y").mapInArrow(run, "doc_id long, y int, bag binary").groupBy("doc_id").agg(F.min(F.struct("y", "bag")).alias("r")).collect()
