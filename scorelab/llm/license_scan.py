@@ -24,7 +24,6 @@ itself; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,7 +99,8 @@ Span = tuple[int, int, float]
 def _stretch(votes: list[tuple[int, int]], i: int, grams: int) -> Span:
     """First and last gram and cover of the best neighbouring diagonals in the longest stretch from vote ``i``."""
     stop, inside = votes[i][0] + int(LONGEST * grams), []
-    for at, place in itertools.islice(votes, i, None):
+    for k in range(i, len(votes)):
+        at, place = votes[k]
         if at >= stop:
             break
         inside.append((at - place, at, place))

@@ -83,5 +83,9 @@ def test_stages_on_odd_tables(spark):
             assert out.columns == docs.columns
         last = corpus_pipeline.tokenised(spark, out, SF)
         assert last.where(~F.col("round_trip")).count() == 0
+    named = docs.withColumnsRenamed({"n_hit": "kept__key", "kept": "decontam__n_hit"})
+    for stage in (corpus_pipeline.one_of_each_group, corpus_pipeline.decontaminated):
+        made = stage(spark, named, SF)
+        assert made.dtypes == named.dtypes and made.where("kept__key in (5, 6, 7)").count() == made.where("kept__key is not null").count() > 0
     one = corpus_pipeline.one_of_each_group(spark, docs, SF)
     assert Counter((r["doc_id"], (r["text"] or "")[:9]) for r in one.collect()) == Counter([(1, ""), (2, ""), (None, "some word"), (None, "other wor"), (3, "long long"), (2, "same id b")])

@@ -141,6 +141,15 @@ def test_repeated_notices_and_notices_beside_partial_ones_are_found(spark):
     assert got[len(want) + 1]["labels"] == "reserved" and len(spans[len(want) + 1]) == 3000
 
 
+def test_long_chains_split_in_linear_time():
+    import time
+
+    one = [(k * 3, 1 << k % 3) for k in range(16_000)]
+    began = time.perf_counter()
+    license_scan.split_chain(one, 3)
+    assert time.perf_counter() - began < 2
+
+
 # archives
 
 
@@ -212,6 +221,35 @@ def test_learns_which_passages_count():
     assert ((found > 0.5) == np.array(labels[200:])).mean() > 0.95
 
 
+def test_forward_pass_and_gradient_equal_plain_ones():
+    """Passage by passage, and by finite differences."""
+    rng = np.random.default_rng(4)
+    bags = [rng.normal(size=(k, mil_quality.INPUTS)) for k in (1, 3, 5)]
+    labels = np.array([1.0, 0.0, 1.0])
+    shapes = {"mean": (mil_quality.INPUTS,), "E": (mil_quality.INPUTS, 4), "e": (4,), "V": (4, 3), "U": (4, 3), "a": (3,), "c": (4,)}
+    w = {k: rng.normal(size=s) * 0.4 for k, s in shapes.items()} | {"b": np.float64(0.2)}
+
+    def plain(w):
+        out = []
+        for bag in bags:
+            hs = [np.tanh(sum((x[i] - w["mean"][i]) * w["E"][i] for i in range(len(x))) + w["e"]) for x in bag]
+            logits = [sum(w["a"][k] * np.tanh(h @ w["V"][:, k]) / (1 + np.exp(-(h @ w["U"][:, k]))) for k in range(3)) for h in hs]
+            share = np.exp(logits) / np.exp(logits).sum()
+            out.append(1 / (1 + np.exp(-(sum(s * h for s, h in zip(share, hs)) @ w["c"] + w["b"]))))
+        return np.array(out)
+
+    x, begin = np.concatenate(bags), np.array([0, 1, 4, 9])
+    assert mil_quality.Model(w).score(x, begin) == pytest.approx(plain(w))
+    loss = lambda w: -np.mean(labels * np.log(plain(w)) + (1 - labels) * np.log(1 - plain(w)))
+    gradient = mil_quality.Model(w).gradient(x, begin, labels)
+    for name in ("E", "e", "V", "U", "a", "c", "b"):
+        for at in [tuple(rng.integers(n) for n in np.shape(w[name])) for _ in range(4)]:
+            up, down = ({**w, name: np.array(w[name], float)} for _ in range(2))
+            up[name][at] += 1e-6
+            down[name][at] -= 1e-6
+            assert np.asarray(gradient[name])[at] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-7), name
+
+
 def test_gradients_do_not_depend_on_missing_classes():
     one = [np.ones((2, mil_quality.INPUTS), np.float32)]
     assert mil_quality.train(one, np.ones(1, np.float32)).prior == 1.0
