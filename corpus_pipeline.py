@@ -3,6 +3,11 @@
 ``STAGES`` are applied in order to ``documents``; each works on all rows that
 its predecessor kept and its result is written before the next one reads it.
 All but the last return the columns of ``documents``.
+
+Defined results: null and empty texts are judged like any other by the first
+stage and are like no other text; of rows that share a doc_id one of each text
+stays; a null doc_id counts as the last one; an empty table gives no rows;
+other columns pass through, whatever their names are.
 """
 
 from __future__ import annotations
@@ -26,9 +31,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the one with the least doc_id (of rows that share it, one of each text)."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(jaccard_join.LAST_ID))
-    kept = jaccard_join.jaccard_components(docs).where("doc_id <=> component_id").select(key.alias("kept__key")).distinct()
-    keyed = docs.withColumns({"kept__key": key, "kept__text": F.md5("text")})
-    return keyed.join(kept, "kept__key", "left_semi").dropDuplicates(["kept__key", "kept__text"]).select(*docs.columns)
+    name, same = decontam.apart(docs, "key"), decontam.apart(docs, "text")
+    kept = jaccard_join.jaccard_components(docs).where("doc_id <=> component_id").select(key.alias(name)).distinct()
+    keyed = docs.withColumns({name: key, same: F.md5("text")})
+    return keyed.join(kept, name, "left_semi").dropDuplicates([name, same]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
