@@ -1,9 +1,13 @@
 """URL filter: host segmentation by unigram Viterbi, then multinomial naive Bayes (operator 1).
 
 Host labels are concatenations of words. Word counts come from the pages' own
-text; every substring of a label that is a word is looked up by a join (no
-vocabulary goes to a task), and a Viterbi pass over one label's words picks the
-likeliest split. Tokens of a URL are the words of its host and the parts of its
+text, words of any letters and any length; every substring of a label that is a
+word is looked up by a join (no vocabulary goes to a task): substrings of up to
+``PIECE`` characters are words themselves or the beginnings of longer ones,
+which are then compared with the label. A Viterbi pass over one label's words
+picks the likeliest split; an unknown stretch of any length is one piece. Its
+cost is a label's length times the number of word lengths, so that labels of
+any length are split. Tokens of a URL are the words of its host and the parts of its
 path. Naive Bayes learns token counts from the URLs that a rule decides and
 judges the others; its log odds are summed as integers, so that the order of
 summation can't matter.
@@ -14,8 +18,7 @@ with the rule's; the longest rule wins.
 Defined results: a null url, or one without ``://``, has an empty host and path
 and no tokens (the prior decides); equal URLs are judged alike and count once
 in learning; without rule-decided URLs of both kinds every other verdict is
-``allow``; host labels over ``LABEL`` bytes are not host names and stay whole;
-columns other than page_id, url and html are not read.
+``allow``; labels are split in lower case; columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-#: Longest word and longest host label that are split.
-WORD, LABEL = 24, 63
+#: Longest substring that is looked up, and characters of a label that are taken at a time.
+PIECE, STRETCH = 24, 512
 MICRO = 1_000_000
 
 # The rules.
@@ -57,23 +60,26 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def word_counts(pages: DataFrame) -> DataFrame:
-    """word, n: ASCII words of the pages' visible text, lower-case."""
+    """word, n: words of letters and digits in the pages' visible text, lower-case."""
     text = F.lower(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1>|<[^>]*>", " "))
     words = pages.select(F.explode(F.split(text, r"[^\p{L}\p{N}]+")).alias("word"))
-    return words.where(F.col("word").rlike(f"^[a-z0-9]{{1,{WORD}}}$")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words.where("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_label(label: str, known: dict[str, int], total: int) -> list[str]:
-    """The likeliest words of a label; unknown stretches cost more the longer they are."""
-    best = [0.0] + [-np.inf] * len(label)
-    back = [0] * (len(label) + 1)
+    """The likeliest words of a label; an unknown stretch costs more the longer it is."""
+    start, step = np.log(10 / total), np.log(10)
+    lengths = sorted({len(w) for w in known}, reverse=True)
+    best, back = [0.0] + [-np.inf] * len(label), [0] * (len(label) + 1)
+    unknown, since = -np.inf, 0  # the best that ends in an unknown stretch, and where that begins
     for i in range(1, len(label) + 1):
-        for j in range(max(0, i - WORD), i):
-            piece = label[j:i]
-            n = known.get(piece)
-            gain = np.log(n / total) if n else np.log(10 / total) - len(piece) * np.log(10)
-            if best[j] + gain > best[i]:
-                best[i], back[i] = best[j] + gain, j
+        if best[i - 1] + start > unknown:
+            unknown, since = best[i - 1] + start, i - 1
+        unknown -= step
+        best[i], back[i] = unknown, since
+        for n in lengths:
+            if n <= i and (count := known.get(label[i - n : i])) and best[i - n] + np.log(count / total) > best[i]:
+                best[i], back[i] = best[i - n] + np.log(count / total), i - n
     words, i = [], len(label)
     while i:
         words.append(label[back[i] : i])
@@ -82,23 +88,25 @@ def split_label(label: str, known: dict[str, int], total: int) -> list[str]:
 
 
 def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
-    """label, words for every distinct label."""
+    """label, words (in lower case) for every distinct label."""
     total = max(1, counts.agg(F.sum("n")).first()[0] or 1)
-    distinct = labels.select("label").distinct()
-    short = distinct.where((F.length("label") > 0) & (F.length("label") <= LABEL))
-    begins = F.sequence(F.lit(1), F.length("label"))
-    pieces = F.flatten(F.transform(begins, lambda b: F.transform(F.sequence(F.lit(1), F.least(F.lit(WORD), F.length("label") - b + 1)), lambda n: F.substring("label", b, n))))
-    asked = short.select("label", F.explode(F.array_distinct(pieces)).alias("word"))
-    held = asked.join(counts, "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    distinct = labels.select("label").distinct().where("label != ''").select("label", F.lower("label").alias("low"), F.xxhash64("label").alias("id"))
+    # stretches overlap, so that each holds the pieces that begin in it; an id stands for the label, and what two labels of one id share does no harm
+    cut = F.transform(F.sequence(F.lit(1), F.length("low"), F.lit(STRETCH)), lambda b: F.substring("low", b, F.lit(STRETCH + PIECE - 1)))
+    stretch = distinct.select("id", F.explode(cut).alias("part"))
+    pieces = F.flatten(F.transform(F.sequence(F.lit(1), F.length("part")), lambda b: F.transform(F.sequence(F.lit(1), F.least(F.lit(PIECE), F.length("part") - b + 1)), lambda n: F.substring("part", b, n))))
+    asked = stretch.select("id", F.explode(F.array_distinct(pieces)).alias("piece"))
+    short = asked.join(counts.where(F.length("word") <= PIECE), F.col("piece") == F.col("word")).select("id", "word", "n")
+    begun = counts.where(F.length("word") > PIECE).withColumn("head", F.substring("word", 1, PIECE))
+    longer = asked.where(F.length("piece") == PIECE).join(begun, F.col("piece") == F.col("head")).select("id", "word", "n").join(distinct, "id").where(F.contains("low", "word")).select("id", "word", "n")
+    held = short.unionByName(longer).distinct().groupBy("id").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column(0).to_pylist()
-            made = [split_label(x, {k["word"]: k["n"] for k in known or ()}, total) for x, known in zip(labels, batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(made, pa.list_(pa.string()))], names=["label", "words"])
+            made = [split_label(x, {k["word"]: k["n"] for k in known or ()}, total) for x, known in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.string()))], names=["label", "words"])
 
-    split = short.join(held, "label", "left").select("label", "known").mapInArrow(run, "label string, words array<string>")
-    return split.union(distinct.where(F.length("label") > LABEL).select("label", F.array("label").alias("words")))
+    return distinct.join(held, "id", "left").select("label", "low", "known").mapInArrow(run, "label string, words array<string>")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -52,6 +52,32 @@ def test_split_is_the_likeliest():
     assert url_filter.split_label("", known, 100) == []
 
 
+def test_split_equals_every_split():
+    rng = random.Random(6)
+    for _ in range(300):
+        known = {"".join(rng.choice("abé") for _ in range(rng.randint(1, 5))): rng.randint(1, 50) for _ in range(6)}
+        total = sum(known.values()) + 20
+        label = "".join(rng.choice("abé") for _ in range(rng.randint(1, 9)))
+        gain = lambda p: np.log(known[p] / total) if p in known else np.log(10 / total) - len(p) * np.log(10)
+        every = []
+        for cuts in range(1 << (len(label) - 1)):
+            at = [0, *(i + 1 for i in range(len(label) - 1) if cuts >> i & 1), len(label)]
+            every.append(sum(gain(label[a:b]) for a, b in zip(at, at[1:])))
+        made = url_filter.split_label(label, known, total)
+        assert "".join(made) == label and sum(map(gain, made)) == pytest.approx(max(every))
+
+
+def test_labels_and_words_of_any_length_and_script(spark):
+    """Once, labels over 63 characters stayed whole, and words over 24 or beyond ASCII were unknown."""
+    long = "donaudampfschifffahrtsgesellschaft"
+    hosts = ["nachrichtenheute" * 4, "nachrichtenheute", long + "heute", "новостисегодня", "heute" * 400, "q" * 3000]
+    html = f"<p>nachrichten heute Nachrichten heute {long} новости Сегодня {'z' * 200}</p>"
+    got = {r["host"]: r["words"] for r in url_filter.judge(pages(spark, [f"http://{h}.de/x" for h in hosts], html)).collect()}
+    assert got[hosts[0] + ".de"] == ["nachrichten", "heute"] * 4 + ["de"] and got[hosts[1] + ".de"] == ["nachrichten", "heute", "de"]
+    assert got[hosts[2] + ".de"] == [long, "heute", "de"] and got[hosts[3] + ".de"] == ["новости", "сегодня", "de"]
+    assert got[hosts[4] + ".de"] == ["heute"] * 400 + ["de"] and got[hosts[5] + ".de"] == ["q" * 3000, "de"]
+
+
 def test_bayes_equals_brute_force(spark):
     urls = [f"http://{w}.net/{p}" for w in ("aa", "bb") for p in ("x", "y")] + [f"http://{w}.org/fr/{p}" for w in ("cc", "aa") for p in ("x", "z")] + ["http://aa.com/x", "http://cc.com/z", "http://cc.com/new"]
     got = {r["page_id"]: r for r in url_filter.judge(pages(spark, urls)).collect()}
