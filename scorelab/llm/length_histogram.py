@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .bpe_codec import encoder_for
 from .bytewords import pieces, text_buffers
+from .common import materialise
 from .pretokens import classes_of_ranks
 
 RUN = 1024
@@ -63,7 +64,8 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
 
 def histogram(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    return suffix_sums(lengths(docs, path, text).groupBy("length").agg(F.count(F.lit(1)).alias("n_docs")))
+    """Suffix sums over the histogram, which is written once, so that every text is encoded once."""
+    return suffix_sums(materialise(lengths(docs, path, text).groupBy("length").agg(F.count(F.lit(1)).alias("n_docs")), "lengths"))
 
 
 def at_limit(sums: DataFrame, limit: int) -> DataFrame:
