@@ -199,14 +199,33 @@ def test_audit_finds_exactly_the_damage(spark, monkeypatch):
     assert all(o + n == p for (o, n), (p, _) in zip(offsets, offsets[1:])) and offsets[0][0] == 0
     got = merkle_audit.audit(a, b).collect()
     assert {r["page_id"] for r in got} == changed and {r["status"] for r in got} == {"changed"}
-    ranges, compared = merkle_audit.differing_ranges(merkle_audit.tree(a), merkle_audit.tree(b))
-    nodes = merkle_audit.tree(a).count()
+    left = merkle_audit.ranged(a)
+    right = merkle_audit.realigned(b, left)
+    assert right.where("page_id is not null").join(left, ["page_id", "offset", "hash"]).where(left["node"] != right["node"]).count() == 0
+    ranges, compared = merkle_audit.differing_ranges(merkle_audit.tree(left), merkle_audit.tree(right))
+    nodes = merkle_audit.tree(left).count()
     assert ranges.count() <= len(changed) and compared < nodes
     lost = b.where("page_id is null or page_id != 3")
     assert {(r["page_id"], r["status"]) for r in merkle_audit.audit(a, lost).collect()} == {(p, "changed") for p in changed - {3}} | {(3, "missing")}
     assert ("extra", 3) in {(r["status"], r["page_id"]) for r in merkle_audit.audit(lost, a).collect()}
 
 
+def test_a_lost_record_is_one_row(spark, monkeypatch):
+    """Offsets of all later records move; once, thousands of rows were reported."""
+    monkeypatch.setattr(merkle_audit, "RANGE", 1 << 13)
+    rng = random.Random(9)
+    rows = [(i, f"u{i}", "x" * rng.randint(0, 3000), None, None) for i in range(2000)] + [(50, "u50", "twice", None, None)] * 3
+    a = merkle_audit.archive(replica(spark, rows).repartition(3))
+    told = lambda b: sorted((r["page_id"], r["status"]) for r in merkle_audit.audit(a, b).collect())
+    b = merkle_audit.archive(replica(spark, rows[:700] + rows[701:]).repartition(4))
+    assert told(b) == [(700, "missing")]
+    left = merkle_audit.ranged(a)
+    ranges, compared = merkle_audit.differing_ranges(merkle_audit.tree(left), merkle_audit.tree(merkle_audit.realigned(b, left)))
+    assert ranges.count() <= 2 and compared < 120
+    more = rows[:300] + [(300, "u300", "changed to some other length", None, None), *rows[301:-1], (2500, "new", "n" * 90_000, None, None), (-4, "first", "", None, None)]
+    assert told(merkle_audit.archive(replica(spark, more))) == [(-4, "extra"), (50, "missing"), (300, "changed"), (2500, "extra")]
+
+
 def test_audit_of_equal_and_empty_archives(spark):
     a = merkle_audit.archive(replica(spark, [(1, "u", "x", None, None), (2, "v", None, None, None)]))
     empty = merkle_audit.archive(replica(spark, []))
