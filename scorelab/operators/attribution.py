@@ -56,6 +56,11 @@ def mean_attention(attn: DataFrame) -> DataFrame:
     return attn.groupBy("layer", "head", "i", "j").agg(F.avg("w").alias("mean_w"))
 
 
+def mean_rollout(rollout: DataFrame) -> DataFrame:
+    """Mean rollout over all rows, a cell for each (i, j)."""
+    return rollout.groupBy("i", "j").agg(F.avg("r").alias("mean_r"))
+
+
 def compare_importance(a: DataFrame, b: DataFrame, a_col: str, b_col: str, key: str = "feature") -> DataFrame:
     """Inner join on the shared features, rank under each measure and the rank gap."""
     j = a.select(key, a_col).join(b.select(key, b_col), key)

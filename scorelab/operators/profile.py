@@ -213,6 +213,16 @@ def utilisation(df: DataFrame, target: str = S.TARGET, lo: float = -0.5, hi: flo
     return g.withColumns({"ci_lo": F.col("mean") - F.lit(z) * F.col("sem"), "ci_hi": F.col("mean") + F.lit(z) * F.col("sem")})
 
 
+def utilisation_distribution(df: DataFrame, month: int = 1, target: str = S.TARGET, lo: float = -0.5, hi: float = 2.0, bins: int = 80) -> DataFrame:
+    """Histogram of one month's utilisation clipped to [lo, hi], counts and density per (class, bin)."""
+    u = F.least(F.greatest(F.col(f"BILL_AMT{month}") / F.col("LIMIT_BAL"), F.lit(lo)), F.lit(hi))
+    width = (hi - lo) / bins
+    seen = df.where((F.col("LIMIT_BAL") != 0) & F.col(f"BILL_AMT{month}").isNotNull()).select(_y(target).alias("cls"), u.alias("u"))
+    b = F.least(F.floor((F.col("u") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    g = seen.groupBy("cls", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return g.withColumn("density", F.col("n") / (F.sum("n").over(Window.partitionBy("cls")) * F.lit(width)))  # at most ``bins`` rows
+
+
 def repayment_median(df: DataFrame, target: str = S.TARGET) -> DataFrame:
     """Median of pay / bill clipped to [0, 3] per (class, month); NULL
     when the bill is 0 (ignored by the median, not filled)."""
@@ -384,6 +394,16 @@ def box_stats(df: DataFrame, xs: list[str], target: str = S.TARGET, k: float = 1
         F.count(F.lit(1)).alias("n"))
 
 
+def clipped_boxes(df: DataFrame, cols: list[str], target: str = S.TARGET, lo: float = 0.02, hi: float = 0.98) -> DataFrame:
+    """Box statistics per class of columns clipped to their overall quantiles ``lo`` and ``hi``, with the
+    Mann-Whitney test between the classes."""
+    q = exact_quantiles(melt(df, cols), ["feature"], "value", [lo, hi])
+    bounds = q.groupBy().agg(*(F.max(F.when((F.col("feature") == c) & (F.col("q") == x), F.col("value"))).alias(f"_{n}_{c}") for c in cols for x, n in ((lo, "lo"), (hi, "hi"))))
+    wide = df.select(target, *cols).withColumn("_k", F.lit(1)).join(F.broadcast(bounds.withColumn("_k", F.lit(1))), "_k")  # one row of bounds
+    clipped = wide.select(target, *(F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c).cast("double"), F.col(f"_lo_{c}")), F.col(f"_hi_{c}"))).alias(c) for c in cols))
+    return box_stats(clipped, cols, target).join(mann_whitney(clipped, cols, target).select("feature", "u", "p_value"), "feature")
+
+
 def transitions(df: DataFrame, frm: str = "PAY_2", to: str = "PAY_0", target: str = S.TARGET, lo: int = -2, hi: int = 4) -> DataFrame:
     """P(to | from) per class with both states clipped to [lo, hi]."""
     c = lambda col: F.least(F.greatest(F.col(col), F.lit(lo)), F.lit(hi)).cast("int")

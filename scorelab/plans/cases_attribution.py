@@ -59,6 +59,11 @@ def q_l5(spark, sf):
     return L.mean_attention(fx.attention(spark, sf))
 
 
+@case("l5_mean_rollout", W("select i, j, avg(r) as mean_r from roll group by all"), doubles=["mean_r"])
+def q_l5_rollout(spark, sf):
+    return L.mean_rollout(R(spark, sf))
+
+
 def l6_sql() -> str:
     assoc = ("select feature, abs(corr(v, y)) as assoc from (" + " union all ".join(
         f"select '{c}' as feature, cast({c} as double) as v, cast(\"DEFAULT\" as double) as y from accounts" for c in S.CATEGORICAL + S.PAY_STATUS[:4]) + ") m group by feature")

@@ -230,6 +230,24 @@ def q_b5(spark, sf):
     return clean.duplicate_summary(accounts_dups(spark, sf))
 
 
+B5_COLS = ["LIMIT_BAL", "AGE", "PAY_0", "BILL_AMT1", "PAY_AMT1"]
+_B5_GROUPS = "select *, count(*) over (partition by " + ", ".join(c if c != "DEFAULT" else '"DEFAULT"' for c in S.ALL_COLUMNS) + ") as k from d"
+
+
+@case(
+    "b5_duplicate_feature_ratio",
+    Q.with_fixtures(
+        "select *, case when mean_all <> 0 then mean_dup / mean_all end as ratio from ("
+        + " union all ".join(f"select '{c}' as feature, avg(cast({c} as double)) filter (where k > 1) as mean_dup, avg(cast({c} as double)) as mean_all from g" for c in B5_COLS) + ") m",
+        "accounts", extra=[("d", ACCOUNTS_DUPS_SQL), ("g", _B5_GROUPS)],
+    ),
+    doubles=["mean_dup", "mean_all", "ratio"],
+)
+def q_b5_ratio(spark, sf):
+    """Feature means of rows in duplicate groups over those of all rows."""
+    return clean.duplicate_feature_ratio(accounts_dups(spark, sf), B5_COLS)
+
+
 @case(
     "b6_zero_inflation",
     Q.with_fixtures(
@@ -415,6 +433,26 @@ def q_c20(spark, sf):
     return features.engineered_corr(features.engineer_features(fx.accounts(spark, sf)), C20_COLS)
 
 
+_C20_RANKED = ("select feature, cast(row_number() over (order by abs(round(r, 9)) desc, feature) as int) as rank from ("
+               + " union all ".join(f"select '{c}' as feature, corr(cast({c} as double), cast(\"DEFAULT\" as double)) as r from e" for c in C20_COLS) + ") q")
+_C20_LONG = " union all ".join(f"select '{c}' as feature, cast(\"DEFAULT\" as int) as cls, cast({c} as double) as value from e" for c in C20_COLS)
+
+
+@case(
+    "c20_clipped_summary",
+    Q.with_fixtures(
+        "select feature, rank, cls, p_lo, p_hi, count(value) as n, avg(value) as mean, stddev_samp(value) as std, quantile_cont(value, 0.5) as median from ("
+        "select l.feature, rank, l.cls, p_lo, p_hi, least(greatest(value, p_lo), p_hi) as value from l join rk on rk.feature = l.feature and rk.rank <= 6 join "
+        "(select feature, cls, quantile_cont(value, 0.01) as p_lo, quantile_cont(value, 0.99) as p_hi from l group by all) q on q.feature = l.feature and q.cls = l.cls where value is not null) c group by all",
+        "accounts", extra=[("e", ENGINEERED_SQL), ("l", _C20_LONG), ("rk", _C20_RANKED)],
+    ),
+    doubles=["p_lo", "p_hi", "mean", "std", "median"],
+)
+def q_c20_summary(spark, sf):
+    """Values of the six columns that go most with the target, clipped to P1-P99 of each class."""
+    return features.clipped_summary(features.engineer_features(fx.accounts(spark, sf)), C20_COLS)
+
+
 @case(
     "e10_rate_by_pay0",
     Q.with_fixtures(

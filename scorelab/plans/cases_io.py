@@ -31,6 +31,19 @@ def q_a1(spark, sf):
     return short.join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
+@case("a1_fallback_while_reading", "select * from (values (0, 'parquet', false), (1, 'csv', false), (2, 'parquet', true)) v(attempt, source, ok), (select count(*) as rows_loaded, sum(c_acctbal) as balance from customer) c", doubles=["balance"])
+def q_a1_reading(spark, sf):
+    """Candidates that fail while they are read, a file that is no Parquet and a CSV with rows that don't parse, fall through; a repeated one is tried once."""
+    broken, ragged = _scratch(spark, "broken.parquet"), _scratch(spark, "ragged.csv")
+    names = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_name", "c_acctbal")
+    names.select("c_name").write.text(broken)
+    names.select(F.concat_ws(",", F.when(F.col("c_custkey") % 2 == 0, "no number").otherwise(F.col("c_custkey").cast("string")), F.col("c_acctbal").cast("string"))).write.text(ragged)
+    csv = ("csv", ragged, {"schema": "c_custkey long, c_acctbal double"})
+    df, prov = io.load_first_available(spark, [("parquet", broken, {}), csv, csv, ("parquet", f"{sf}/customer.parquet", {})])
+    n = df.agg(F.count(F.lit(1)).alias("rows_loaded"), F.sum("c_acctbal").alias("balance"))
+    return prov.select("attempt", "source", "ok", F.lit(1).alias("_k")).join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
 A2_COLS = ["row_id"] + S.ALL_COLUMNS
 A2_Q = [c if c != "DEFAULT" else '"DEFAULT"' for c in A2_COLS]
 
@@ -49,7 +62,8 @@ def q_a2(spark, sf):
         yield from frames
 
     lines.mapInPandas(with_banner, "value string").write.mode("overwrite").text(path)
-    return io.read_with_banner(spark, path, ", ".join(f"{c} double" for c in A2_COLS))
+    top_of, last = path.rsplit("/", 1)
+    return io.read_with_banner(spark, ["no_such_file.csv", "no_such_file.csv", last], ", ".join(f"{c} double" for c in A2_COLS), roots=("/no/such/root", top_of))
 
 
 @case("a4_normalise_schema", Q.with_fixtures("select row_id, " + ", ".join(c if c != "DEFAULT" else '"DEFAULT"' for c in S.ALL_COLUMNS) + " from accounts", "accounts"),
@@ -86,7 +100,8 @@ def q_a6(spark, sf):
     return spark.read.json(path).select("cls", "n", "share")
 
 
-@case("a8_baseline_metrics", None)
+@case("a8_baseline_metrics", Q.with_fixtures("select * exclude (run), run as model from (" + Q.bundle("scores", ["run"], 0.5, 15) + ") b where run in ('a', 'c')", "scores"),
+      doubles=["auc_roc", "auc_pr", "f1", "accuracy", "precision", "recall", "brier", "ece"])
 def q_a8(spark, sf):
     from ..operators import metrics as M
 
@@ -95,6 +110,17 @@ def q_a8(spark, sf):
     return io.read_baseline_metrics(b, ("a", "c"))
 
 
+@case("a9_training_curves", "select o_orderpriority as run, cast(year(o_orderdate) as int) as epoch, avg(o_totalprice) / 100000.0 as train_loss, 1.0 * count(*) filter (where o_orderstatus = 'F') / count(*) as val_auc_roc from orders group by all",
+      doubles=["train_loss", "val_auc_roc"])
+def q_a9(spark, sf):
+    """Curves read from CSV logs, one folder for each run; the figures of an epoch are taken from a year's orders."""
+    path = _scratch(spark, "logs")
+    log = spark.read.parquet(f"{sf}/orders.parquet").groupBy(F.col("o_orderpriority").alias("run"), F.year("o_orderdate").alias("epoch")).agg(
+        (F.avg("o_totalprice") / 100000.0).alias("train_loss"), (F.count(F.when(F.col("o_orderstatus") == "F", 1)) / F.count(F.lit(1))).alias("val_auc_roc"), F.lit("note, with a comma").alias("extra"))
+    log.write.partitionBy("run").option("header", True).csv(path)
+    return io.read_training_logs(spark, path)
+
+
 @case("a10_read_attention", Q.with_fixtures("select cast(layer as int) as layer, count(*) as n from attention group by layer", "attention"))
 def q_a10(spark, sf):
     a = fx.attention(spark, sf).withColumn("key", F.concat(F.lit("layer_"), F.col("layer").cast("string"))).drop("layer")
@@ -109,6 +135,43 @@ def q_a11(spark, sf):
     return io.to_markdown(d)
 
 
+_LINES = "select c_mktsegment as segment, count(*) as n, printf('%.2f', max(c_acctbal)) as best_balance from customer group by 1"
+
+
+@case("a11_table_lines", f"with t as ({_LINES}), r as (select *, row_number() over (order by segment) as k, count(*) over () as m from t) "
+      "select 'markdown' as fmt, v.n, v.line from (values (-1, '| segment | n | best_balance |'), (0, '|---|---|---|')) v(n, line) union all select 'markdown', k, '| ' || segment || ' | ' || n || ' | ' || best_balance || ' |' from r "
+      "union all select 'csv', 0, 'segment,n,best_balance' union all select 'csv', k, segment || ',' || n || ',' || best_balance from r "
+      "union all select 'latex', v.n, v.line from (values (-3, '\\begin{tabular}{lll}'), (-2, '\\hline'), (-1, 'segment & n & best\\_balance \\\\'), (0, '\\hline')) v(n, line) "
+      "union all select 'latex', k, segment || ' & ' || n || ' & ' || best_balance || ' \\\\' from r union all select distinct 'latex', m + 1, '\\hline' from r union all select distinct 'latex', m + 2, '\\end{tabular}' from r")
+def q_a11_lines(spark, sf):
+    """A result table as markdown, CSV and LaTeX, with header lines, in order."""
+    t = spark.read.parquet(f"{sf}/customer.parquet").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"), F.format_string("%.2f", F.max("c_acctbal")).alias("best_balance"))
+    out = None
+    for fmt in ("markdown", "csv", "latex"):
+        lines = io.table_lines(t, fmt, ["segment"]).select(F.lit(fmt).alias("fmt"), "n", "line")
+        out = lines if out is None else out.unionByName(lines)
+    return out
+
+
+@case("a12_export_results", "select * from (values ('max_depth', '10', 'int'), ('class_weight', 'None', 'none'), ('max_features', '0.3', 'float'), ('criterion', 'entropy', 'string')) p(param, value, kind), "
+      "(select avg(c_acctbal) filter (where c_nationkey < 12) as baseline_auc, avg(c_acctbal) filter (where c_nationkey >= 12) as tuned_auc, cast(0.31 as double) as best_threshold, count(distinct c_nationkey) as n_importance, count(distinct c_mktsegment) as n_cv from customer) c",
+      doubles=["baseline_auc", "tuned_auc", "best_threshold"])
+def q_a12_export(spark, sf):
+    """Results exported and read back: typed parameters, scores, threshold and the tables' rows."""
+    path = _scratch(spark, "results")
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    metrics = c.groupBy(F.when(F.col("c_nationkey") < 12, "baseline").otherwise("tuned").alias("model")).agg(F.avg("c_acctbal").alias("auc_roc"))
+    cv = c.groupBy(F.col("c_mktsegment").alias("metric")).agg(F.avg("c_acctbal").alias("mean"))
+    importance = c.groupBy(F.col("c_nationkey").cast("string").alias("feature")).agg(F.avg("c_acctbal").alias("importance"))
+    params = {"max_depth": 10, "class_weight": None, "max_features": 0.3, "criterion": "entropy"}
+    io.export_results(metrics, cv, importance, params, 0.31000000000000005, {"max_depth": [5, None]}, path)
+    one = spark.read.json(f"{path}/config").select("baseline_auc", "tuned_auc", "best_threshold", F.lit(1).alias("_k"))
+    for name in ("importance", "cv"):
+        rows = spark.read.option("header", True).csv(f"{path}/{name}").agg(F.count(F.lit(1)).alias(f"n_{name}"))
+        one = one.join(rows.withColumn("_k", F.lit(1)), "_k")
+    return io.read_config(spark, path).select("param", "value", "kind", F.lit(1).alias("_k")).join(one, "_k").drop("_k")
+
+
 PARAM_SQL = ("select row_id, case when row_id % 5 = 0 then 'None' when row_id % 5 = 1 then cast(AGE as varchar) "
              "when row_id % 5 = 2 then printf('%.2f', BILL_AMT1) when row_id % 5 = 3 then (case when SEX = 1 then 'True' else 'False' end) else 'sqrt' end as value from accounts")
 

@@ -181,6 +181,13 @@ def q_e14(spark, sf):
     return PR.utilisation(A(spark, sf))
 
 
+@case("e14_utilisation_distribution", W(
+    f"select cls, bin, n, n / (sum(n) over (partition by cls) * 0.03125) as density from (select cls, cast(least(floor((u + 0.5) / 0.03125), 79) as int) as bin, count(*) as n from ({UTIL}) u where month = 1 group by all) g"),
+    doubles=["density"])
+def q_e14_distribution(spark, sf):
+    return PR.utilisation_distribution(A(spark, sf))
+
+
 REPAY = " union all ".join(f"select cast({T} as int) as cls, {i} as month, case when BILL_AMT{i} <> 0 then least(greatest(PAY_AMT{i} / BILL_AMT{i}, 0.0), 3.0) end as r from acc" for i in range(1, 7))
 
 
@@ -323,6 +330,22 @@ def q_e27(spark, sf):
     return PR.box_stats(A(spark, sf), CONT)
 
 
+_CAPS = ", ".join(f"quantile_cont(cast({c} as double), 0.02) as lo_{c}, quantile_cont(cast({c} as double), 0.98) as hi_{c}" for c in S.BILL_AMT)
+_CAPPED = ", ".join(f"least(greatest(cast({c} as double), lo_{c}), hi_{c}) as {c}" for c in S.BILL_AMT)
+
+
+@case("e27_clipped_boxes", Q.with_fixtures(
+    f"select q.*, w.u, w.p_value from (select b.feature, b.cls, q1, median, q3, min(value) filter (where value >= q1 - 1.5 * (q3 - q1)) as whisker_lo, "
+    f"max(value) filter (where value <= q3 + 1.5 * (q3 - q1)) as whisker_hi, count(*) as n from (select feature, cast({T} as int) as cls, value from ({melt_sql(S.BILL_AMT)}) m) b "
+    f"join (select feature, cast({T} as int) as cls, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.5) as median, quantile_cont(value, 0.75) as q3 "
+    f"from ({melt_sql(S.BILL_AMT)}) m2 group by all) q on q.feature = b.feature and q.cls = b.cls group by all) q join ({mwu_sql(S.BILL_AMT)}) w on w.feature = q.feature",
+    "accounts", extra=[("acc0", CLEAN), ("acc", f"select * replace ({_CAPPED}) from (select * from acc0, (select {_CAPS} from acc0) caps)")]),
+    doubles=["q1", "median", "q3", "whisker_lo", "whisker_hi", "u", "p_value"])
+def q_e27_clipped(spark, sf):
+    """Bills clipped to P2-P98, boxes per class and the test of each month."""
+    return PR.clipped_boxes(A(spark, sf), S.BILL_AMT)
+
+
 TRANS = ("select cls, from_state, to_state, n, cast(sum(n) over (partition by cls, from_state) as bigint) as n_from, n / sum(n) over (partition by cls, from_state) as prob from ("
          f"select cast({T} as int) as cls, cast(least(greatest(PAY_2, -2), 4) as int) as from_state, cast(least(greatest(PAY_0, -2), 4) as int) as to_state, count(*) as n from acc group by all) g")
 

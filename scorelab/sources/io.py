@@ -12,8 +12,9 @@ import time
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +29,9 @@ ANONYMOUS_MAP = {
     "X22": "PAY_AMT5", "X23": "PAY_AMT6", "Y": "DEFAULT",
 }
 
-RECOVERABLE = (AnalysisException, FileNotFoundError, OSError)
+RECOVERABLE = (PySparkException, Py4JJavaError, OSError, ValueError)
+#: Formats whose readers can hand over rows that do not parse.
+LINED, CORRUPT = ("csv", "json"), "_corrupt_record"
 
 
 @dataclass
@@ -40,18 +43,43 @@ class Attempt:
     error: str | None
 
 
+def _probed(spark: SparkSession, fmt: str, path: str, opts: dict) -> DataFrame:
+    """The candidate, once every value of it has been read; ValueError if rows do not parse.
+
+    The probe is one aggregation over all columns. CSV and JSON rows that don't
+    fit the schema (option ``schema``, else the inferred one) are captured."""
+    opts = dict(opts or {})
+    schema = opts.pop("schema", None)
+    reader = spark.read.format(fmt).options(**opts)
+    df = (reader.schema(schema) if schema else reader).load(path)
+    checked = df
+    if fmt in LINED:
+        fields = [f for f in df.schema.fields if f.name != CORRUPT]
+        caught = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+        checked = spark.read.format(fmt).options(**opts).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(caught).load(path)
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in checked.columns else F.lit(False)
+    values = F.xxhash64(*(F.col(f"`{c}`").cast("string") if isinstance(checked.schema[c].dataType, T.MapType) else F.col(f"`{c}`") for c in checked.columns))
+    n = checked.agg(F.count(F.when(bad, 1)).alias("bad"), F.bit_xor(values)).first()["bad"]
+    if n:
+        raise ValueError(f"{n} rows of {path} do not parse")
+    return df
+
+
 def load_first_available(spark: SparkSession, candidates: list[tuple[str, str, dict]], allow_fallback: bool = True):
-    """A1: try ``(format, path, options)`` candidates in order. Recoverable
-    read errors fall through to the next candidate; anything else aborts.
-    Returns ``(DataFrame, provenance DataFrame)``; the provenance lists every
-    attempt with its duration and error."""
+    """A1: try ``(format, path, options)`` candidates in order, each once. A candidate
+    is accepted when all of it could be read (one aggregation over its columns);
+    recoverable errors, those met while reading included, fall through to the next
+    one, anything else aborts. Returns ``(DataFrame, provenance DataFrame)``; the
+    provenance lists every attempt with its duration and error."""
     attempts: list[Attempt] = []
-    result = None
+    result, tried = None, set()
     for fmt, path, opts in candidates:
+        if (fmt, path) in tried:
+            continue
+        tried.add((fmt, path))
         t0 = time.time()
         try:
-            df = spark.read.format(fmt).options(**(opts or {})).load(path)
-            df.schema  # noqa: B018 - forces path resolution
+            df = _probed(spark, fmt, path, opts)
             attempts.append(Attempt(fmt, path, True, time.time() - t0, None))
             result = df
             break
@@ -68,12 +96,30 @@ def load_first_available(spark: SparkSession, candidates: list[tuple[str, str, d
     return result, prov
 
 
-def read_with_banner(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def first_existing(spark: SparkSession, candidates: list[str], roots: tuple[str, ...] = ("",)) -> str:
+    """A2: the first candidate that exists, each looked up once in its place, and relative ones under every root in turn."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    if not candidates:
+        raise ValueError("at least one candidate path is needed")
+    places = []
+    for c in dict.fromkeys(candidates):
+        whole = c.startswith("/") or re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:", c)
+        places += [c] if whole else [f"{r.rstrip('/')}/{c}" if r else c for r in roots]
+    for p in places:
+        at = hadoop.Path(p)
+        if at.getFileSystem(conf).exists(at):
+            return p
+    raise FileNotFoundError(f"none of these exists: {places}")
+
+
+def read_with_banner(spark: SparkSession, path: str | list[str], schema: T.StructType | str, roots: tuple[str, ...] = ("",)) -> DataFrame:
     """A2: CSV with a banner line above the header row, in every file.
 
-    The reader skips each file's first line, whatever it holds; the header
+    Of several paths the first that exists is read. The reader skips each file's first line, whatever it holds; the header
     below it is the row that repeats the column names. All other rows stay:
     missing fields are null, fields beyond the schema are ignored."""
+    path = first_existing(spark, path, roots) if isinstance(path, list) else path
     last = path.rstrip("/").rsplit("/", 1)[-1]
     if "." in last and not last.lower().endswith((".csv", ".txt")):
         raise ValueError(f"unsupported extension: {path}")
@@ -158,6 +204,11 @@ def training_curves(log: DataFrame) -> DataFrame:
     return log.select("run", F.col("epoch").cast("int"), F.col("train_loss").cast("double"), F.col("val_auc_roc").cast("double"))
 
 
+def read_training_logs(spark: SparkSession, path: str) -> DataFrame:
+    """Training logs, CSV files with a header under ``run=<name>`` folders, as loss and AUC curves."""
+    return training_curves(spark.read.option("header", True).option("basePath", path).csv(f"{path.rstrip('/')}/run=*"))
+
+
 def read_attention(df: DataFrame, key: str = "key") -> DataFrame:
     """A10: long attention rows keyed ``layer_<n>``: layer parsed as an integer
     so that layer_10 sorts after layer_2."""
@@ -176,6 +227,58 @@ def markdown_header(cols: list[str]) -> list[str]:
     return ["| " + " | ".join(cols) + " |", "|" + "|".join(["---"] * len(cols)) + "|"]
 
 
+def table_lines(df: DataFrame, fmt: str, order: list[str], cols: list[str] | None = None) -> DataFrame:
+    """(n, line): a result table as markdown, CSV or LaTeX, with its header lines, numbered in order of ``order``.
+
+    For small result tables: the rows are numbered in one task. Null is empty."""
+    cols = cols or df.columns
+    text = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols]
+    if fmt == "markdown":
+        head, tail = markdown_header(cols), []
+        line = F.concat(F.lit("| "), F.concat_ws(" | ", *(F.replace(c, F.lit("|"), F.lit("\\|")) for c in text)), F.lit(" |"))
+    elif fmt == "csv":
+        quoted = [F.when(c.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c) for c in text]
+        head, tail, line = [",".join(cols)], [], F.concat_ws(",", *quoted)
+    elif fmt == "latex":
+        safe = lambda c: F.regexp_replace(c, r"([&%$#_{}])", r"\\$1")
+        head = ["\\begin{tabular}{" + "l" * len(cols) + "}", "\\hline", " & ".join(re.sub(r"([&%$#_{}])", r"\\\1", c) for c in cols) + r" \\", "\\hline"]
+        tail, line = ["\\hline", "\\end{tabular}"], F.concat(F.concat_ws(" & ", *map(safe, text)), F.lit(r" \\"))
+    else:
+        raise ValueError(f"fmt must be markdown, csv or latex, got {fmt!r}")
+    body = df.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias("n"), line.alias("line"))
+    spark = df.sparkSession
+    top = spark.createDataFrame([(k - len(head) + 1, x) for k, x in enumerate(head)], "n long, line string")
+    if not tail:
+        return top.unionByName(body)
+    last = body.agg(F.coalesce(F.max("n"), F.lit(0)).alias("m")).select(F.posexplode(F.array(*map(F.lit, tail))).alias("k", "line"), "m").select((F.col("m") + F.col("k") + 1).alias("n"), "line")
+    return top.unionByName(body).unionByName(last)
+
+
+def write_table(df: DataFrame, path: str, fmt: str, order: list[str], cols: list[str] | None = None, mode: str = "overwrite") -> None:
+    """A result table as one text file in order."""
+    table_lines(df, fmt, order, cols).coalesce(1).sortWithinPartitions("n").select("line").write.mode(mode).text(path)
+
+
+def export_results(metrics: DataFrame, cv: DataFrame, importance: DataFrame, params: dict, threshold: float, grid: dict[str, list], path: str, score: str = "auc_roc") -> None:
+    """The four result tables of a baseline under ``path``: metrics (a row for ``baseline`` and ``tuned``), cv and
+    importance as CSV, and config as JSON, with parameters and grid as strings, the threshold to two places and both scores."""
+    spark, at = metrics.sparkSession, path.rstrip("/")
+    for name, table in (("metrics", metrics), ("cv", cv), ("importance", importance)):
+        table.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{at}/{name}")
+    scores = metrics.groupBy().agg(*(F.max(F.when(F.col("model") == m, F.col(score))).alias(f"{m}_auc") for m in ("baseline", "tuned")))
+    known = spark.createDataFrame([({k: str(v) for k, v in params.items()}, round(threshold, 2), {k: [str(x) for x in v] for k, v in grid.items()})],
+                                  "best_params map<string, string>, best_threshold double, tuning_grid map<string, array<string>>")
+    config = scores.withColumn("_k", F.lit(1)).join(F.broadcast(known.withColumn("_k", F.lit(1))), "_k").drop("_k")  # one row each
+    config.coalesce(1).write.mode("overwrite").json(f"{at}/config")
+
+
+def read_config(spark: SparkSession, path: str) -> DataFrame:
+    """(param, value and its typed views) of an exported configuration."""
+    schema = "best_params map<string, string>, best_threshold double, tuning_grid map<string, array<string>>, baseline_auc double, tuned_auc double"
+    config = spark.read.schema(schema).json(f"{path.rstrip('/')}/config")
+    return coerce_params(config.select(F.explode("best_params").alias("param", "value")))
+
+
 def coerce_params(df: DataFrame, value: str = "value") -> DataFrame:
     """Typed view of string parameters: None -> NULL, booleans,
     integers, floats, otherwise the string itself."""

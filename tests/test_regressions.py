@@ -415,3 +415,52 @@ def test_first_trees_answer_smaller_forests(spark):
     trials = baseline.search_forest(df, ["x", "z"], n_iter=4, folds=2, grid=grid).collect()
     assert len(trials) == 8 and {r["numTrees"] for r in trials} == {"2", "3"} and all(0.5 < r["auc_train"] <= 1 and 0 <= r["auc_roc"] <= 1 for r in trials)
     assert len({baseline.fit_key(p) for p in baseline.sample_grid(4, 42, grid)}) == 1
+
+
+def test_candidates_that_fail_while_read_fall_through(spark, tmp_path):
+    good, bad, ragged = (str(tmp_path / n) for n in ("good.parquet", "bad.parquet", "ragged.csv"))
+    spark.range(100).write.parquet(good)
+    import glob
+    import shutil
+
+    shutil.copytree(good, bad)
+    for f in glob.glob(f"{bad}/part-*"):
+        with open(f, "r+b") as h:
+            h.truncate(40)
+    with open(ragged, "w") as h:
+        h.write("1,2\nx,3\n4,5,6\n")
+    csv = ("csv", ragged, {"schema": "a int, b int"})
+    df, prov = io.load_first_available(spark, [("parquet", bad, {}), csv, csv, ("parquet", good, {})])
+    rows = prov.orderBy("attempt").collect()
+    assert df.count() == 100 and [r["ok"] for r in rows] == [False, False, True] and "do not parse" in rows[1]["error"]
+    with pytest.raises(FileNotFoundError):
+        io.load_first_available(spark, [csv, ("parquet", good, {})], allow_fallback=False)
+    with pytest.raises(TypeError):
+        io.load_first_available(spark, [("parquet", good, 5)])
+    (tmp_path / "whole.csv").write_text("1,x\n,y\n")
+    assert io.load_first_available(spark, [("csv", str(tmp_path / "whole.csv"), {"schema": "a int, b string"})])[0].count() == 2
+
+
+def test_first_existing_keeps_order_and_roots(spark, tmp_path):
+    for name in ("x.csv", "sub/y.csv"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("banner\na\n1\n")
+    root = str(tmp_path)
+    assert io.first_existing(spark, ["none.csv", "none.csv", "y.csv", f"{root}/x.csv"], (root, f"{root}/sub")) == f"{root}/sub/y.csv"
+    assert [r["a"] for r in io.read_with_banner(spark, ["z.csv", "x.csv"], "a int", (root,)).collect()] == [1]
+    for wrong in ([], ["z.csv"]):
+        with pytest.raises((ValueError, FileNotFoundError)):
+            io.first_existing(spark, wrong, (root,))
+
+
+def test_tables_are_written_in_order_and_escaped(spark, tmp_path):
+    df = spark.createDataFrame([("b|c", 2, 'say "x", y'), ("a_1", 1, None)], "name string, k int, note string")
+    out = {}
+    for fmt in ("markdown", "csv", "latex"):
+        io.write_table(df, str(tmp_path / fmt), fmt, ["k"])
+        out[fmt] = [r["value"] for r in spark.read.text(str(tmp_path / fmt)).collect()]
+    assert out["markdown"] == ["| name | k | note |", "|---|---|---|", "| a_1 | 1 |  |", '| b\\|c | 2 | say "x", y |']
+    assert out["csv"] == ["name,k,note", "a_1,1,", 'b|c,2,"say ""x"", y"']
+    assert out["latex"] == [r"\begin{tabular}{lll}", r"\hline", r"name & k & note \\", r"\hline", r"a\_1 & 1 &  \\", r'b|c & 2 & say "x", y \\', r"\hline", r"\end{tabular}"]
+    with pytest.raises(ValueError):
+        io.table_lines(df, "html", ["k"])
