@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import bin_index, clip, linspace_inner, logit, sigmoid, softplus
 from ..functions.ranks import exact_quantiles, prefix_sums
 from ..session import checkpoint_dir
-from .metrics import P, Y, brier, rank_metrics
+from .metrics import P, Y, binned_gap, brier, compressed, score_sums
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this module
 
@@ -111,38 +111,27 @@ def brier_decomposition(scores: DataFrame, n_bins: int, by: list[str] = (), labe
     return _ungrp(d.join(br, by), added)
 
 
-def once_per_score(scores: DataFrame, by: list[str], label: str = Y, score: str = P) -> DataFrame:
-    """One row for each group, score and label, with its count ``_w``, kept in
-    the checkpoint folder: what a family of metrics needs, evaluated once. This
-    runs a job."""
-    checkpoint_dir(scores.sparkSession)
-    return scores.groupBy(*by, F.col(score).cast("double").alias(score), label).agg(F.count(F.lit(1)).alias("_w")).checkpoint(eager=True)
-
-
 def calibration_bundle(scores: DataFrame, n_bins: int = 10, by: list[str] = (), label: str = Y, score: str = P) -> DataFrame:
-    """AUC, ECE (both strategies), MCE, Brier and its parts, skill score, all from one compressed table."""
+    """AUC, ECE (both strategies), MCE, Brier and its parts, skill score.
+
+    One aggregation over the scores in order gives all but the equal-mass ECE,
+    whose edges need the quantiles first; both read one compressed table."""
     scores, by, added = _grp(scores, by)
-    kw = dict(label=label, score=score, weight="_w")
-    comp = once_per_score(scores, by, label, score)
-    whole = Window.partitionBy(*by)  # at most n_bins rows
-    b = binned(comp, n_bins, by, "equal_width", **kw).withColumns({"_N": F.sum("n").over(whole), "_Y": F.sum("sy").over(whole)})
-    base, conf, acc = F.col("_Y") / F.col("_N"), F.col("sp") / F.col("n"), F.col("sy") / F.col("n")
-    share = F.col("n") / F.col("_N")
-    out = b.groupBy(*by).agg(
-        (F.sum(F.abs(F.col("sy") - F.col("sp"))) / F.sum("n")).alias("ece_equal_width"),
-        F.max(F.abs(acc - conf)).alias("mce"),
-        F.sum(share * (conf - acc) * (conf - acc)).alias("reliability"),
-        F.sum(share * (acc - base) * (acc - base)).alias("resolution"),
-        F.first(base * (F.lit(1.0) - base)).alias("uncertainty"),
+    comp = compressed(scores, by, label, score)
+    g = score_sums(comp, by, 0.5, n_bins)
+    n, base = F.col("pos") + F.col("neg"), F.col("pos") / (F.col("pos") + F.col("neg"))
+    total = lambda of: F.aggregate(F.filter("bins", lambda b: b["n"] > 0), F.lit(0.0), lambda acc, b: acc + of(b))
+    g = g.select(
+        *by, "auc_roc", (binned_gap() / n).alias("ece_equal_width"),
+        F.array_max(F.transform(F.filter("bins", lambda b: b["n"] > 0), lambda b: F.abs(b["sy"] / b["n"] - b["sp"] / b["n"]))).alias("mce"),
+        total(lambda b: b["n"] / n * (b["sp"] / b["n"] - b["sy"] / b["n"]) * (b["sp"] / b["n"] - b["sy"] / b["n"])).alias("reliability"),
+        total(lambda b: b["n"] / n * (b["sy"] / b["n"] - base) * (b["sy"] / b["n"] - base)).alias("resolution"),
+        (base * (F.lit(1.0) - base)).alias("uncertainty"), (F.col("sq") / n).alias("brier"),
     )
-    for part in (
-        rank_metrics(comp, by, **kw).drop("auc_pr"),
-        calibration_error(comp, n_bins, by, "equal_mass", **kw).withColumnRenamed("ece", "ece_equal_mass"),
-        brier(comp, by, **kw),
-    ):
-        out = out.join(part, by)
+    long = comp.select(*by, F.col("s").alias(score), F.explode(F.array(F.struct(F.lit(1).alias("y"), F.col("pos").alias("w")), F.struct(F.lit(0).alias("y"), F.col("neg").alias("w")))).alias("_e")).select(*by, score, F.col("_e.y").alias(label), F.col("_e.w").alias("_w")).where(F.col("_w") > 0)
+    mass = calibration_error(long, n_bins, by, "equal_mass", label=label, score=score, weight="_w").withColumnRenamed("ece", "ece_equal_mass")
     skill = F.when(F.col("uncertainty") > 0, (F.col("resolution") - F.col("reliability")) / F.col("uncertainty")).otherwise(F.lit(float("nan")))
-    return _ungrp(out.withColumn("brier_skill_score", skill), added)
+    return _ungrp(g.join(mass, by).withColumn("brier_skill_score", skill), added)
 
 
 def reliability_points(scores: DataFrame, n_bins: int = 10, by: list[str] = (), min_n: int = 0, **kw) -> DataFrame:

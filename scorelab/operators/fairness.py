@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .calibrate import calibration_error, once_per_score
-from .metrics import P, Y, rank_metrics
+from .metrics import P, Y, binned_gap, compressed, score_sums
 
 # Human-readable labels of the protected attributes.
 SEX_LABELS = {1: "Male", 2: "Female"}
@@ -34,22 +33,14 @@ def subgroup_metrics(long: DataFrame, tau: float = 0.5, n_bins: int = 10, by: li
     """N, base rate, selection rate, TPR, FPR (NULL without positives /
     negatives), AUC (NULL if single class), ECE and Brier per subgroup."""
     by = list(by)
-    comp = once_per_score(long, by, label, score)
-    w, y = F.col("_w").cast("double"), F.col(label).cast("double")
-    pred = (F.col(score) >= F.lit(tau)).cast("double")
-    d = F.col(score) - y
-    mean = lambda x, of: F.try_divide(F.sum(x * of), F.sum(of))  # noqa: E731  NULL without rows
-    base = comp.groupBy(*by).agg(
-        F.sum("_w").cast("long").alias("n"),
-        mean(y, w).alias("base_rate"),
-        mean(pred, w).alias("selection_rate"),
-        mean(pred, w * y).alias("tpr"),
-        mean(pred, w * (F.lit(1.0) - y)).alias("fpr"),
-        mean(d * d, w).alias("brier"),
+    sums = score_sums(compressed(long, by, label, score), by, tau, n_bins)
+    pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
+    n = pos + neg
+    return sums.select(
+        *by, n.cast("long").alias("n"), (pos / n).alias("base_rate"), ((tp + fp) / n).alias("selection_rate"),
+        F.try_divide(tp, pos).alias("tpr"), F.try_divide(fp, neg).alias("fpr"), (F.col("sq") / n).alias("brier"),
+        "auc_roc", (binned_gap() / n).alias("ece"),
     )
-    auc = rank_metrics(comp, by, label, score, weight="_w").select(*by, "auc_roc")
-    ece = calibration_error(comp, n_bins, by, "equal_width", label=label, score=score, weight="_w")
-    return base.join(auc, by).join(ece, by)
 
 
 def label_table(spark, labels: dict[str, dict] | None = None) -> DataFrame:
