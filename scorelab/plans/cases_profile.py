@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators import profile as PR
 from ..operators.clean import clean_categoricals
+from ..operators.neighbours import mutual_information
 from ..sources import fixtures as fx
 from . import sqltext as Q
 from .registry import case
@@ -258,6 +259,23 @@ def q_e20(spark, sf):
     return PR.mutual_info(A(spark, sf), CAT + S.PAY_STATUS, CONT)
 
 
+_KNN_LONG = f"select feature, cast({T} as int) as cls, value, count(*) as c from ({melt_sql(NUM)}) m where value is not null group by all"
+_KNN_SIZES = "select feature, cls, sum(c) as of_class from vals group by all having sum(c) > 1"
+# each value's rows of the same class in order of distance, until k of them besides itself
+_KNN_NEAR = ("select feature, cls, value, c, of_class, k, min(dist) filter (where upto > k) as d from (select *, sum(c2) over (partition by feature, cls, value order by dist rows unbounded preceding) as upto from ("
+             "select a.feature, a.cls, a.value, a.c, s.of_class, least(5, s.of_class - 1) as k, abs(b.value - a.value) as dist, b.c as c2 from vals a join sizes s using (feature, cls) join vals b on b.feature = a.feature and b.cls = a.cls)) group by all")
+_KNN_COUNT = ("select n.feature, n.cls, n.value, n.c, n.of_class, n.k, sum(p.c) as m from near n join (select v.* from vals v join sizes using (feature, cls)) p on p.feature = n.feature "
+              "and (case when n.d = 0 then p.value = n.value else p.value > n.value - n.d and p.value < n.value + n.d end) group by all")
+
+
+@case("e20_knn_mutual_information", W(
+    f"select feature, greatest(0.0, {Q.digamma('sum(c)')} + (sum(c * {Q.digamma('k')}) - sum(c * {Q.digamma('of_class')}) - sum(c * {Q.digamma('m')})) / sum(c)) as mi from counted group by feature",
+    ("vals", _KNN_LONG), ("sizes", _KNN_SIZES), ("near", _KNN_NEAR), ("counted", _KNN_COUNT)), doubles=["mi"])
+def q_e20_knn(spark, sf):
+    """Mutual information of all numeric columns with the target by five nearest neighbours."""
+    return mutual_information(A(spark, sf), NUM, k=5)
+
+
 def dag_sql() -> str:
     g = ("select feature, count(value) * 1.0 as n, "
          "(sum(power(value - mu, 3)) / count(value)) / power(sum(power(value - mu, 2)) / count(value), 1.5) as b1, "

@@ -19,6 +19,14 @@ def erf(x: str) -> str:
     return f"(case when {x} is null then null when {ax} > 6.0 then sign({x}) else sign({x})*least(1.0, {series}) end)"
 
 
+def digamma(x: str) -> str:
+    x = f"cast({x} as double)"
+    y = f"({x} + 6.0)"
+    z = f"(1.0 / ({y} * {y}))"
+    series = f"(ln({y}) - 0.5 / {y} - {z} * (1.0/12 - {z} * (1.0/120 - {z} * (1.0/252 - {z} * (1.0/240 - {z} * (1.0/132))))))"
+    return f"({series} - (" + " + ".join(f"1.0 / ({x} + {i}.0)" for i in range(6)) + "))"
+
+
 def norm_sf(z: str) -> str:
     return f"(0.5*(1.0 - {erf(f'(({z})/{math.sqrt(2.0)!r})')}))"
 

@@ -464,3 +464,46 @@ def test_tables_are_written_in_order_and_escaped(spark, tmp_path):
     assert out["latex"] == [r"\begin{tabular}{lll}", r"\hline", r"name & k & note \\", r"\hline", r"a\_1 & 1 &  \\", r'b|c & 2 & say "x", y \\', r"\hline", r"\end{tabular}"]
     with pytest.raises(ValueError):
         io.table_lines(df, "html", ["k"])
+
+
+def _psi(n):
+    return -0.57721566490153286 + sum(1 / i for i in range(1, int(n)))
+
+
+def _knn_information(x, y, k):
+    """Row by row, over the classes of two rows or more."""
+    x, y = np.asarray(x, float), np.asarray(y)
+    keep = np.array([(y == c).sum() > 1 for c in y])
+    x, y = x[keep], y[keep]
+    total = 0.0
+    for i in range(len(x)):
+        same = np.sort(np.abs(np.delete(x, i)[np.delete(y, i) == y[i]] - x[i]))
+        n = (y == y[i]).sum()
+        kk = min(k, n - 1)
+        d = same[kk - 1]
+        m = (x == x[i]).sum() if d == 0 else ((x > x[i] - d) & (x < x[i] + d)).sum()
+        total += _psi(kk) - _psi(n) - _psi(m)
+    return max(0.0, _psi(len(x)) + total / len(x))
+
+
+def test_nearest_neighbour_information_equals_brute_force(spark):
+    """2,000 rows: smooth, rounded and mostly equal values, a small class, a class of one row, nulls."""
+    from scorelab.operators.neighbours import mutual_information
+
+    rng = np.random.default_rng(12)
+    y = rng.choice([0, 1, 2], 2000, p=[0.6, 0.398, 0.002])
+    y[7] = 9
+    cols = {"smooth": rng.normal(size=2000) + y * 1.5, "rounded": np.round(rng.normal(size=2000) * 3 + (y == 1), 0), "flat": np.where(rng.random(2000) < 0.9, 4.0, rng.random(2000)), "noise": rng.random(2000)}
+    rows = [(i, int(y[i]), *(None if n == "noise" and i % 50 == 0 else float(v[i]) for n, v in cols.items())) for i in range(2000)]
+    df = spark.createDataFrame(rows, "row_id long, `DEFAULT` int, " + ", ".join(f"{n} double" for n in cols)).repartition(5)
+    got = {r["feature"]: r["mi"] for r in mutual_information(df, list(cols)).collect()}
+    for n, v in cols.items():
+        seen = [i for i in range(2000) if not (n == "noise" and i % 50 == 0)]
+        assert got[n] == pytest.approx(_knn_information(v[seen], y[seen], 5), abs=1e-9), n
+    assert got["smooth"] > 0.2 > got["noise"]
+    assert mutual_information(df.limit(0), ["smooth"]).count() == 0
+
+
+def test_digamma(spark):
+    got = spark.createDataFrame([(n,) for n in (1, 2, 3, 10, 1000)], "n long").select("n", dist.digamma("n").alias("v")).collect()
+    assert all(r["v"] == pytest.approx(_psi(r["n"]), abs=1e-11) for r in got)
