@@ -167,10 +167,28 @@ def test_repeated_notices_and_notices_beside_partial_ones_are_found(spark):
     assert got[len(want) + 1]["labels"] == "reserved" and len(spans[len(want) + 1]) == 3000
 
 
+def test_templates_of_any_length(spark):
+    """Whole license texts, and a template of 1,500 words, also edited, repeated and in pieces."""
+    rng = random.Random(11)
+    long = " ".join(rng.choice([f"w{i}" for i in range(400)]) for _ in range(1500))
+    w = long.split()
+    edited = " ".join([*w[:200], "put", "in", *w[200:700], *w[720:]])
+    mit = next(t for t, label in license_scan.TEXTS.items() if label == "mit")
+    texts = [f"a {long} b", edited, " ".join(w[:900]), f"{long} {long} {edited}", f"MIT License. Copyright (c) {mit.upper()}", " ".join(mit.split()[:100])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in license_scan.scan(df, license_scan.PHRASES, license_scan.NOTICES | license_scan.TEXTS | {long: "own"}).collect()}
+    number = license_scan.PHRASE_COUNT + len(license_scan.NOTICES | license_scan.TEXTS)
+    own = {d: [(s["first_word"], s["last_word"]) for s in r["spans"] if s["template"] == number] for d, r in found.items()}
+    assert own[0] == [(1, 1500)] and len(own[1]) == 1 and own[2] == [] and found[2]["best"] == pytest.approx(899 / 1499)
+    assert len(own[3]) == 3 and own[3][0] == (0, 1499) and own[3][1] == (1500, 2999)
+    labels = {d: {s["label"] for s in r["spans"]} for d, r in found.items()}
+    assert labels[4] == {"mit"} and labels[5] == {"mit"} and max(s["last_word"] - s["first_word"] for s in found[4]["spans"]) > 150
+
+
 def test_long_chains_split_in_linear_time():
     import time
 
-    one = [(k * 3, 1 << k % 3) for k in range(16_000)]
+    one = [(k * 3, 0, 1 << k % 3) for k in range(16_000)]
     began = time.perf_counter()
     license_scan.split_chain(one, 3)
     assert time.perf_counter() - began < 2
