@@ -89,3 +89,24 @@ def test_stages_on_odd_tables(spark):
         assert made.dtypes == named.dtypes and made.where("kept__key in (5, 6, 7)").count() == made.where("kept__key is not null").count() > 0
     one = corpus_pipeline.one_of_each_group(spark, docs, SF)
     assert Counter((r["doc_id"], (r["text"] or "")[:9]) for r in one.collect()) == Counter([(1, ""), (2, ""), (None, "some word"), (None, "other wor"), (3, "long long"), (2, "same id b")])
+
+
+def test_intermediate_tables_go_with_the_application(tmp_path):
+    """A driver process of its own: its tables are there while it runs and gone when it has ended."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+from scorelab.session import local_session
+from scorelab.llm import common
+spark = local_session(2, extra={{"spark.checkpoint.dir": "{tmp_path}", "spark.driver.memory": "1g"}})
+df = common.materialise(spark.range(10), "some")
+assert df.count() == 10
+import glob
+assert len(glob.glob("{tmp_path}/**/some-*", recursive=True)) == 1
+"""
+    root = str(Path(__file__).resolve().parents[2])
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "intermediate tables stay" not in done.stderr and not list(tmp_path.rglob("some-*"))
