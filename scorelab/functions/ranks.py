@@ -6,7 +6,8 @@ whose edges Spark samples from the rows themselves, so that crowded values do
 not crowd a task; it runs a local window inside each (group, range) and adds
 the exclusive running total of the preceding ranges. A group covers
 neighbouring ranges only, so the totals table has at most groups + ranges
-rows; it is joined back without a forced broadcast.
+rows; it is joined back without a forced broadcast. Where the domain of the
+values is known, narrow slices of it take the place of sampled ranges.
 
 Inputs should be *compressed* (one row per group and distinct order value,
 with counts); then a hot value is a single row and cannot skew a bucket.
@@ -20,6 +21,22 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+#: Slices of a known domain for each shuffle partition, and most slices of a group.
+SLICES, MOST_SLICES = 256, 1 << 16
+
+
+def slice_of(order: str, value_range: tuple[float, float], partitions: int):
+    """The equal-width slice of the domain that a value is in.
+
+    There are many slices for each partition, so that values crowded into a
+    hundredth of the domain still spread over all tasks; their totals are at
+    most MOST_SLICES rows a group."""
+    lo, hi = float(value_range[0]), float(value_range[1])
+    n = min(MOST_SLICES, SLICES * partitions)
+    x = (F.col(order).cast("double") - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(n))
+    return F.least(F.lit(n - 1), F.greatest(F.lit(0), F.floor(x).cast("int")))
+
+
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     if n_buckets:
         return max(1, int(n_buckets))
@@ -45,8 +62,8 @@ def prefix_sums(
     numeric. Ties on ``order`` would be summed in arbitrary order.
 
     ``value_range=(lo, hi)`` declares the domain of ``order`` (probabilities,
-    uniform hashes): buckets are then equal-width slices of it, computed
-    per row with no extra job. Otherwise the ranges are sampled, and the rows
+    uniform hashes): buckets are then narrow equal-width slices of it
+    (:func:`slice_of`), computed per row with no extra job. Otherwise the ranges are sampled, and the rows
     checkpointed, by a job that runs here.
     """
     nb = _n_buckets(df, n_buckets)
@@ -55,9 +72,7 @@ def prefix_sums(
         out = prefix_sums(df.withColumn("_g", F.lit(0)), ["_g"], order, cols, n_buckets, tiebreak, value_range)
         return out.drop("_g")
     if nb > 1 and value_range is not None:
-        lo, hi = float(value_range[0]), float(value_range[1])
-        x = (F.col(order).cast("double") - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(nb))
-        bucketed = df.withColumn("_bk", F.least(F.lit(nb - 1), F.greatest(F.lit(0), F.floor(x).cast("int"))))
+        bucketed = df.withColumn("_bk", slice_of(order, value_range, nb))
     elif nb > 1:
         # The input is evaluated once, dealt out by ranges of (group, value)
         # and kept in the shared checkpoint folder, so that all branches, and

@@ -507,3 +507,18 @@ def test_nearest_neighbour_information_equals_brute_force(spark):
 def test_digamma(spark):
     got = spark.createDataFrame([(n,) for n in (1, 2, 3, 10, 1000)], "n long").select("n", dist.digamma("n").alias("v")).collect()
     assert all(r["v"] == pytest.approx(_psi(r["n"]), abs=1e-11) for r in got)
+
+
+def test_crowded_scores_spread_over_slices(spark):
+    """All scores in a hundredth of the domain: once one slice held them all."""
+    from scorelab.functions import ranks
+    from scorelab.operators import metrics
+
+    rng = np.random.default_rng(13)
+    p = rng.random(20_000) / 100
+    y = (rng.random(20_000) < p * 60).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(p, y)], "y_prob double, y_true int")
+    sizes = sorted(r["count"] for r in df.groupBy(ranks.slice_of("y_prob", (0.0, 1.0), 200).alias("slice")).count().collect())
+    assert len(sizes) > 200 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert metrics.auc_roc(df).first()["auc_roc"] == pytest.approx(_auc(p, y), abs=1e-9)
+    assert ranks.MOST_SLICES >= len(sizes)
