@@ -148,6 +148,14 @@ def q_m6(spark, sf):
     return content_hash(spark, sf, "*.parquet").select("path", "length", "sha256")
 
 
+@case("m6_content_roots", None)
+def q_m6_roots(spark, sf):
+    """Merkle root of the bytes of every parquet file of the input directory, read in splits."""
+    from ..sources.io import content_roots
+
+    return content_roots(spark, sf, "*.parquet")
+
+
 def m7_sql() -> str:
     return f"select bool_and(passed) as all_passed, count(*) as n_checks, count(*) filter (where not passed) as n_failed from (select passed from ({m2_sql()}) f union all select passed from ({Q.with_fixtures(M3_SQL, 'scores')}) s) u"
 

@@ -305,3 +305,55 @@ def content_hash(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return r.option("recursiveFileLookup", True).load(path).select(
         "path", "length", F.sha2(F.col("content"), 256).alias("sha256")
     )
+
+
+#: Bytes of offsets under one leaf of a file's hash tree, and children of a node.
+LEAF, FAN = 1 << 20, 64
+
+
+def content_roots(spark: SparkSession, path: str, glob: str | None = None, leaf: int = LEAF, fan: int = FAN) -> DataFrame:
+    """M6: (path, length, root): a Merkle root of every file's bytes, read in splits.
+
+    The text source reads a file's bytes up to each line feed, in as many splits
+    as it likes; a split's sizes give every stretch its offset in the file, so
+    the tree over offsets, ``leaf`` bytes to a leaf and ``fan`` children to a
+    node, and its root depend on the bytes alone. No row holds more than the
+    bytes between two line feeds, so files may be larger than a row can be.
+    Empty files, which Spark's readers pass over, have no row. A job for each
+    level runs while this is built: levels are checkpointed."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(spark)
+
+    def reader(fmt: str):
+        r = spark.read.format(fmt).option("recursiveFileLookup", True)
+        return r.option("pathGlobFilter", glob) if glob else r
+
+    files = reader("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "length")
+    raw = F.col("value").cast("binary")
+    lines = reader("text").option("lineSep", "\n").load(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("nth"),
+        (F.octet_length(raw) + 1).cast("long").alias("n"), F.sha2(raw, 256).alias("hash"))
+    before = Window.partitionBy("path", "split").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)  # one split's rows
+    placed = lines.withColumn("rel", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    sizes = lines.groupBy("path", "split").agg(F.sum("n").alias("n"))
+    base = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    bases = sizes.select("path", "split", F.coalesce(F.sum("n").over(base), F.lit(0)).alias("base"))
+    level = placed.join(bases, ["path", "split"]).select("path", (F.col("base") + F.col("rel")).alias("at"), "hash")
+
+    def up(below: DataFrame, width: int) -> DataFrame:
+        children = F.array_sort(F.collect_list(F.struct("at", "hash")))
+        text = F.array_join(F.transform(children, lambda c: F.concat(c["at"].cast("string"), F.lit(":"), c["hash"])), "\n")
+        return below.groupBy("path", F.expr(f"at div {width}").alias("at_")).agg(F.sha2(text, 256).alias("hash")).withColumnRenamed("at_", "at").checkpoint(eager=True)
+
+    level, roots = up(level, leaf), None
+    while True:
+        tall = level.groupBy("path").agg((F.max("at") > 0).alias("more"))
+        marked = level.join(tall, "path")
+        ready = marked.where("not more").select("path", "hash")  # a file's levels end at its own root
+        roots = ready if roots is None else roots.unionByName(ready)
+        if not tall.where("more").limit(1).count():
+            break
+        level = up(marked.where("more").drop("more"), fan)
+    root = F.sha2(F.concat(F.col("length").cast("string"), F.lit(":"), F.col("hash")), 256)
+    return files.join(roots, "path").select("path", "length", root.alias("root"))

@@ -522,3 +522,38 @@ def test_crowded_scores_spread_over_slices(spark):
     assert len(sizes) > 200 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
     assert metrics.auc_roc(df).first()["auc_roc"] == pytest.approx(_auc(p, y), abs=1e-9)
     assert ranks.MOST_SLICES >= len(sizes)
+
+
+def test_content_roots_do_not_depend_on_splits(spark, tmp_path):
+    import hashlib
+
+    rng = np.random.default_rng(14)
+    files = {"a.bin": rng.bytes(300_000), "b.txt": b"line\r\n\n" * 5000 + b"no end", "empty": b"", "nl": b"\n", "sub/c": b"\x00" * 70_000}
+    for name, data in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+
+    def plain(data, leaf, fan):
+        level, at = {}, 0
+        pieces = data.split(b"\n") if data else []
+        for piece in pieces[:-1] if data.endswith(b"\n") else pieces:
+            level.setdefault(at // leaf, []).append((at, hashlib.sha256(piece).hexdigest()))
+            at += len(piece) + 1
+        while level:
+            nodes = {k: hashlib.sha256("\n".join(f"{a}:{h}" for a, h in sorted(v)).encode()).hexdigest() for k, v in level.items()}
+            if set(nodes) == {0}:
+                return nodes[0]
+            level = {}
+            for k, h in nodes.items():
+                level.setdefault(k // fan, []).append((k, h))
+        return ""
+
+    want = {n: hashlib.sha256(f"{len(d)}:{plain(d, 4096, 4)}".encode()).hexdigest() for n, d in files.items() if d}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "10000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {r["path"].split(str(tmp_path) + "/")[1]: r["root"] for r in io.content_roots(spark, str(tmp_path), leaf=4096, fan=4).collect()}
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
