@@ -368,6 +368,16 @@ def calibrate_and_score(val: DataFrame, test: DataFrame, names: tuple[str, ...]
     return res
 
 
+def compare_calibrators(val: DataFrame, test: DataFrame, baseline: DataFrame | None = None, names: tuple[str, ...] = CALIBRATORS, n_bins: int = 10,
+                        by: list[str] = ("run",)) -> DataFrame:
+    """Every run under every calibrator and the baseline's test scores under identity only; one column of
+    equal-width ECE for each calibrator, null where a run has none."""
+    table = calibrate_and_score(val, test, names, n_bins, by)
+    if baseline is not None:
+        table = table.unionByName(calibrate_and_score(baseline, baseline, ("identity",), n_bins, by))
+    return table.groupBy(*by).pivot("calibrator", list(names)).agg(F.first("ece_equal_width"))
+
+
 def nll(scores: DataFrame, by: list[str] = (), label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
     """Mean negative log-likelihood (a diagnostic for the fits)."""
     z = logit(score, eps)

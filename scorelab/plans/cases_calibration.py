@@ -156,6 +156,20 @@ def q_h12(spark, sf):
 
 @case("h14_ece_by_calibrator", None)
 def q_h14(spark, sf):
-    """ECE comparison by calibrator (pivot of the calibrate-and-score table)."""
-    r = q_h12(spark, sf)
-    return r.groupBy("run").pivot("calibrator", list(C.CALIBRATORS)).agg(F.first("ece_equal_width"))
+    """ECE comparison by calibrator: all runs, and the tuned forest under identity."""
+    from ..operators import baseline as B
+    from . import cases_baseline as forest
+
+    d = forest.prepared(spark, sf)
+    model = B.fit_forest(d.where(F.col("split") == "train"), forest.COLS, **forest.TUNED)
+    s = S(spark, sf)
+    part = lambda name: s.where(F.col("split") == name)
+    return C.compare_calibrators(part("val"), part("test"), B.score(model, d.where(F.col("split") == "test"), forest.COLS, "forest"))
+
+
+@case("h12_identity_rows", W("select run, 'identity' as calibrator, " + ", ".join(BUNDLE_COLS) + " from (" + Q.calib_bundle("cal", BY, 10) + ") b where split = 'test'",
+                             ("cal", f"select run, split, row_id, y_true, {CLIPPED} as y_prob from scores")), doubles=BUNDLE_COLS)
+def q_h12_identity(spark, sf):
+    """The calibrate-and-score table's rows that need no fit."""
+    s = S(spark, sf)
+    return C.calibrate_and_score(s.where(F.col("split") == "val"), s.where(F.col("split") == "test"), ("identity",), 10, BY1).select("run", "calibrator", *BUNDLE_COLS)
