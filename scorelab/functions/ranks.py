@@ -122,18 +122,20 @@ def compress(df: DataFrame, by: list[str], value: str, label: str | None = None,
     return df.groupBy(*by, value).agg(*aggs)
 
 
-def exact_quantiles(df: DataFrame, by: list[str], value: str, qs: list[float], n_buckets: int | None = None, weight: str | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: list[str], value: str, qs: list[float], n_buckets: int | None = None, weight: str | None = None,
+                    value_range: tuple[float, float] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy/pandas default,
     DuckDB ``quantile_cont``) for every group, without holding a group in
     one task: counts per distinct value -> distributed prefix sums -> pick
     the values covering positions floor(h) and floor(h)+1, h = (n-1) q.
 
     Returns ``(by..., q, value)`` with one row per group and q. Nulls ignored.
-    With ``weight`` (whole numbers) a row stands for that many.
+    With ``weight`` (whole numbers) a row stands for that many; ``value_range``
+    as in :func:`prefix_sums`.
     """
     n = F.sum(F.col(weight).cast("long")) if weight else F.count(F.lit(1))
     comp = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(n.alias("_n"))
-    ps = prefix_sums(comp, list(by), value, ["_n"], n_buckets)
+    ps = prefix_sums(comp, list(by), value, ["_n"], n_buckets, value_range=value_range)
     qarr = F.array(*[F.lit(float(q)) for q in qs])
     x = ps.select(*by, value, "_n", F.col("cum__n").alias("_cum"), F.col("tot__n").alias("_tot"), F.explode(qarr).alias("q"))
     h = (F.col("_tot") - 1).cast("double") * F.col("q")

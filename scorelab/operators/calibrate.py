@@ -51,7 +51,7 @@ def equal_mass_edges(scores: DataFrame, n_bins: int, by: list[str], score: str =
     duplicates collapsed -> ``inner`` edges (first and last dropped)."""
     qs = [i * (1.0 / n_bins) for i in range(n_bins + 1)]
     w = F.col(weight) if weight else F.lit(1)
-    q = exact_quantiles(scores.select(*by, F.col(score).cast("double").alias("_p"), w.alias("_w")), by, "_p", qs, weight="_w")
+    q = exact_quantiles(scores.select(*by, F.col(score).cast("double").alias("_p"), w.alias("_w")), by, "_p", qs, weight="_w", value_range=(0.0, 1.0))
     e = q.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("q", "_p"))).alias("_e"))
     n = len(qs)
     pinned = F.transform("_e", lambda s, i: F.when(i == 0, F.lit(0.0)).when(i == n - 1, F.lit(1.0)).otherwise(s["_p"]))
