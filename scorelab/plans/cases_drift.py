@@ -46,7 +46,8 @@ def m1_sql() -> str:
         parts.append(f"select '{c}' as \"column\", cast(count(*) filter (where row_id is not null and rb is not null and not coalesce({same}, false)) as bigint) as n_mismatch from j")
     parts.append("select '<only_left>', cast(count(*) filter (where rb is null) as bigint) from j")
     parts.append("select '<only_right>', cast(count(*) filter (where row_id is null) as bigint) from j")
-    parts.append("select '<column_order>', cast(0 as bigint)")
+    names = lambda src: f"(select json_keys(to_json(r)) from {src} r limit 1)"
+    parts.append(f"select '<column_order>', cast(case when {names('accounts')} = {names('pert')} then 0 else 1 end as bigint)")
     body = " union all ".join(parts)
     j = j.replace("select a.*,", "select a.row_id, " + ", ".join(f"a.{q(c)} as a_{c}" for c in cols) + ",")
     return Q.with_fixtures(body, "accounts", extra=[("pert", PERT), ("j", j)])
@@ -70,14 +71,14 @@ def _split_sql(seed: int) -> str:
 
 def _fp_sql(src: str) -> str:
     return (f"select split, count(*) as n_rows, avg(cast({T} as double)) as target_rate, " + ", ".join(f"avg({c}) as mean_{c}" for c in FP_COLS)
-            + f" from ({src}) s group by split")
+            + f", (select json_keys(to_json(r)) from ({src}) r limit 1) as cols from ({src}) s group by split")
 
 
 def m2_sql() -> str:
     o, e = _fp_sql(_split_sql(7)), _fp_sql(_split_sql(42))
     checks = ["select split, 'n_rows' as \"check\", o.n_rows = e.n_rows as passed from o join e using (split)",
-              "select split, 'n_cols', true from o join e using (split)",
-              "select split, 'columns', true from o join e using (split)",
+              "select split, 'n_cols', len(o.cols) = len(e.cols) from o join e using (split)",
+              "select split, 'columns', o.cols = e.cols from o join e using (split)",
               "select split, 'target_rate', abs(o.target_rate - e.target_rate) <= 1e-3 from o join e using (split)"]
     checks += [f"select split, 'mean_{c}', abs(o.mean_{c} - e.mean_{c}) <= 1e-4 + 1e-3 * abs(e.mean_{c}) from o join e using (split)" for c in FP_COLS]
     return Q.with_fixtures(" union all ".join(checks), "accounts", extra=[("o", o), ("e", e)])
