@@ -162,6 +162,11 @@ def q_d11(spark, sf):
     return SP.stratified_sample(A(spark, sf), n=100, seed=3).select("row_id", F.col("DEFAULT").alias("y"))
 
 
+@case("d11_stratified_fraction", W(f"select row_id, {T} as y from (select *, row_number() over (partition by {T} order by {H('row_id', '|3|sample')}, row_id) as r_, count(*) over (partition by {T}) as n_ from acc) a where r_ <= round_even(n_ * {Q.lit(0.07)}, 0)"))
+def q_d11_fraction(spark, sf):
+    return SP.stratified_sample(A(spark, sf), fraction=0.07, seed=3).select("row_id", F.col("DEFAULT").alias("y"))
+
+
 @case("d12_sample_n", W(f"select row_id from acc order by {H('row_id', '|5|n')}, row_id limit 300"))
 def q_d12(spark, sf):
     return SP.sample_n(A(spark, sf), 300, seed=5).select("row_id")
