@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import bin_index, clip, linspace_inner, logit, sigmoid, softplus
 from ..functions.ranks import exact_quantiles, prefix_sums
 from ..session import checkpoint_dir
-from .metrics import P, Y, binned_gap, brier, compressed, score_sums
+from .metrics import P, Y, binned_gap, brier, compressed, score_sums, weighted
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this module
 
@@ -61,19 +61,18 @@ def equal_mass_edges(scores: DataFrame, n_bins: int, by: list[str], score: str =
 
 def binned(scores: DataFrame, n_bins: int, by: list[str], strategy: str = "equal_width", label: str = Y, score: str = P,
            weight: str | None = None) -> DataFrame:
-    """Per (group, bin): n, sum of labels, sum of scores. Rows are first
-    compressed to distinct scores (an aggregate), so the bin lookup runs on
-    the compressed rows."""
+    """Per (group, bin): n, sum of labels, sum of scores. Equal-width bins need
+    no more than the row; for the others rows are first compressed to distinct
+    scores (an aggregate), so the bin lookup runs on the compressed rows."""
     scores, by, added = _grp(scores, by)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    comp = scores.groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
-        F.sum(w).alias("_n"), F.sum(w * F.col(label)).alias("_sy"), F.sum(w * F.col(score)).alias("_sp")
-    )
+    sums = lambda: (F.sum(w).alias("_n"), F.sum(w * F.col(label)).alias("_sy"), F.sum(w * F.col(score)).alias("_sp"))
     if strategy == "equal_width":
-        b = comp.withColumn("bin", bin_index("_s", linspace_inner(n_bins)))
+        b = scores.groupBy(*by, bin_index(F.col(score).cast("double"), linspace_inner(n_bins)).alias("bin")).agg(*sums())
     elif strategy == "equal_mass":
+        comp = scores.groupBy(*by, F.col(score).cast("double").alias("_s")).agg(*sums())
         e = equal_mass_edges(scores, n_bins, by, score, weight)
-        j = comp.join(e, by)
+        j = comp.join(F.broadcast(e), by)  # one row for each group
         b = j.withColumn("bin", F.least(F.size(F.filter("inner", lambda x: x <= F.col("_s"))), F.col("max_bin"))).drop("inner", "max_bin")
     else:
         raise ValueError(f"strategy must be equal_width or equal_mass, got {strategy!r}")
@@ -111,13 +110,15 @@ def brier_decomposition(scores: DataFrame, n_bins: int, by: list[str] = (), labe
     return _ungrp(d.join(br, by), added)
 
 
-def calibration_bundle(scores: DataFrame, n_bins: int = 10, by: list[str] = (), label: str = Y, score: str = P) -> DataFrame:
+def calibration_bundle(scores: DataFrame, n_bins: int = 10, by: list[str] = (), label: str = Y, score: str = P, weight: str | None = None) -> DataFrame:
     """AUC, ECE (both strategies), MCE, Brier and its parts, skill score.
 
     One aggregation over the scores in order gives all but the equal-mass ECE,
-    whose edges need the quantiles first; both read one compressed table."""
+    whose edges need the quantiles first; both read one compressed table, which
+    is checkpointed while this is built."""
     scores, by, added = _grp(scores, by)
-    comp = compressed(scores, by, label, score)
+    checkpoint_dir(scores.sparkSession)
+    comp = compressed(scores, by, label, score, weight).checkpoint(eager=True)
     g = score_sums(comp, by, 0.5, n_bins)
     n, base = F.col("pos") + F.col("neg"), F.col("pos") / (F.col("pos") + F.col("neg"))
     total = lambda of: F.aggregate(F.filter("bins", lambda b: b["n"] > 0), F.lit(0.0), lambda acc, b: acc + of(b))
@@ -134,27 +135,34 @@ def calibration_bundle(scores: DataFrame, n_bins: int = 10, by: list[str] = (),
     return _ungrp(g.join(mass, by).withColumn("brier_skill_score", skill), added)
 
 
+def points_of_bins(bins: DataFrame, by: list[str], min_n: int = 0) -> DataFrame:
+    """(by..., bin, confidence, frequency, count) of :func:`binned` sums; groups of less than ``min_n`` rows are skipped."""
+    out = bins.select(*by, "bin", (F.col("sp") / F.col("n")).alias("confidence"), (F.col("sy") / F.col("n")).alias("frequency"),
+                      F.col("n").cast("long").alias("count"))
+    if min_n:
+        tot = bins.groupBy(*by).agg(F.sum("n").alias("_tot"))
+        out = out.join(tot, by).where(F.col("_tot") >= min_n).drop("_tot")
+    return out
+
+
 def reliability_points(scores: DataFrame, n_bins: int = 10, by: list[str] = (), min_n: int = 0, **kw) -> DataFrame:
     """Per non-empty bin (mean confidence, observed frequency, count)."""
     scores, by, added = _grp(scores, by)
-    b = binned(scores, n_bins, by, "equal_width", **kw)
-    out = b.select(*by, "bin", (F.col("sp") / F.col("n")).alias("confidence"), (F.col("sy") / F.col("n")).alias("frequency"),
-                   F.col("n").cast("long").alias("count"))
-    if min_n:
-        tot = b.groupBy(*by).agg(F.sum("n").alias("_tot"))
-        out = out.join(tot, by).where(F.col("_tot") >= min_n).drop("_tot")
-    return _ungrp(out, added)
+    return _ungrp(points_of_bins(binned(scores, n_bins, by, "equal_width", **kw), by, min_n), added)
 
 
 # --------------------------------------------------------------- calibrators
-def _compressed_logits(scores: DataFrame, by: list[str], label: str, score: str, eps: float) -> DataFrame:
-    return scores.groupBy(*by, logit(score, eps).alias("z"), F.col(label).cast("double").alias("y")).agg(
-        F.count(F.lit(1)).cast("double").alias("w")
-    )
+def _rows(weight: str | None):
+    """How many rows a group of rows stands for."""
+    return F.sum(F.col(weight).cast("double")) if weight else F.count(F.lit(1)).cast("double")
+
+
+def _compressed_logits(scores: DataFrame, by: list[str], label: str, score: str, eps: float, weight: str | None = None) -> DataFrame:
+    return scores.groupBy(*by, logit(score, eps).alias("z"), F.col(label).cast("double").alias("y")).agg(_rows(weight).alias("w"))
 
 
 def _fit_logistic(val: DataFrame, by: list[str], label: str, score: str, eps: float, max_iter: int, tol: float,
-                  bounds: tuple[float, float] | None = None) -> DataFrame:
+                  bounds: tuple[float, float] | None = None, weight: str | None = None) -> DataFrame:
     """(by..., a, b) minimising each group's mean NLL of sigma(a * logit(p) + b).
 
     Damped Newton on one compressed table: every round evaluates loss, gradient
@@ -164,7 +172,8 @@ def _fit_logistic(val: DataFrame, by: list[str], label: str, score: str, eps: fl
     not settled after ``max_iter`` rounds. One job for each round runs here."""
     checkpoint_dir(val.sparkSession)
     key = by or ["__k"]
-    comp = (_compressed_logits(val, by, label, score, eps) if by else _compressed_logits(val, by, label, score, eps).withColumn("__k", F.lit(1))).persist()
+    comp = _compressed_logits(val, by, label, score, eps, weight)
+    comp = (comp if by else comp.withColumn("__k", F.lit(1))).persist()
     state = comp.select(*key).distinct().withColumns({c: F.lit(v) for c, v in (("a", 1.0), ("b", 0.0), ("best_a", 1.0), ("best_b", 0.0), ("best", float("inf")), ("da", 0.0), ("db", 0.0))})
     carried = ["a", "b", "best_a", "best_b", "best", "da", "db"]
     lo, hi = (F.lit(x) for x in (bounds or (float("-inf"), float("inf"))))
@@ -174,7 +183,8 @@ def _fit_logistic(val: DataFrame, by: list[str], label: str, score: str, eps: fl
             x = F.col("a") * F.col("z") + F.col("b")
             sig = sigmoid(x)
             w, r = F.col("w"), F.col("w") * sig * (F.lit(1.0) - sig)
-            g = comp.join(state, key).groupBy(*key).agg(
+            # one row for each group: joined by its few keys, a group's rows would all go to one task
+            g = comp.join(F.broadcast(state), key).groupBy(*key).agg(
                 F.sum(w).alias("n"), F.sum(w * (softplus(x) - F.col("y") * x)).alias("loss"),
                 F.sum(w * (sig - F.col("y")) * F.col("z")).alias("ga"), F.sum(w * (sig - F.col("y"))).alias("gb"),
                 F.sum(r * F.col("z") * F.col("z")).alias("haa"), F.sum(r * F.col("z")).alias("hab"), F.sum(r).alias("hbb"),
@@ -209,16 +219,17 @@ def with_parameters(rows: DataFrame, params: DataFrame, by: list[str]) -> DataFr
     if not by:
         return rows.join(params.limit(1).withColumn("__k", F.lit(1)), F.lit(1) == F.col("__k")).drop("__k")  # one row of parameters
     named = F.concat_ws(", ", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in by))
-    joined = rows.join(params.withColumn("_fitted", F.lit(True)), by, "left")
+    # one row for each group: joined by its few keys, a group's rows would all go to one task
+    joined = rows.join(F.broadcast(params.withColumn("_fitted", F.lit(True))), by, "left")
     found = F.when(F.col("_fitted").isNull(), F.raise_error(F.concat(F.lit("no fitted parameters for group "), named)).cast("boolean")).otherwise(F.lit(True))
     return joined.where(found).drop("_fitted")
 
 
 def fit_temperature(val: DataFrame, by: list[str] = ("run",), bounds: tuple[float, float] = (0.05, 10.0), max_iter: int = 200,
-                    tol: float = 1e-9, label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
+                    tol: float = 1e-9, label: str = Y, score: str = P, eps: float = EPS, weight: str | None = None) -> DataFrame:
     """H3: T minimising the NLL of sigma(logit(p) / T) per group, T in bounds (the NLL is convex in 1 / T)."""
     by = list(by)
-    s = _fit_logistic(val, by, label, score, eps, max_iter, tol, (1.0 / bounds[1], 1.0 / bounds[0]))
+    s = _fit_logistic(val, by, label, score, eps, max_iter, tol, (1.0 / bounds[1], 1.0 / bounds[0]), weight)
     return s.select(*by, (F.lit(1.0) / F.col("a")).alias("temperature"))
 
 
@@ -227,17 +238,19 @@ def apply_temperature(scores: DataFrame, params: DataFrame, by: list[str] = ("ru
 
 
 def fit_platt(val: DataFrame, by: list[str] = ("run",), max_iter: int = 200, tol: float = 1e-9, label: str = Y, score: str = P,
-              eps: float = EPS) -> DataFrame:
+              eps: float = EPS, weight: str | None = None) -> DataFrame:
     """H4: (a, b) of sigma(a * logit(p) + b) per group, by damped Newton from (1, 0)."""
-    return _fit_logistic(val, list(by), label, score, eps, max_iter, tol)
+    return _fit_logistic(val, list(by), label, score, eps, max_iter, tol, weight=weight)
 
 
-def fit_gradient(val: DataFrame, params: DataFrame, by: list[str] = ("run",), label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
+def fit_gradient(val: DataFrame, params: DataFrame, by: list[str] = ("run",), label: str = Y, score: str = P, eps: float = EPS,
+                 weight: str | None = None) -> DataFrame:
     """Mean gradient of the NLL in (a, b) at fitted parameters: both 0 at a minimum."""
     by = list(by)
-    x = F.col("a") * logit(score, eps) + F.col("b")
-    off = sigmoid(x) - F.col(label).cast("double")
-    return val.join(params, by).groupBy(*by).agg(F.avg(off * logit(score, eps)).alias("gradient_a"), F.avg(off).alias("gradient_b"))
+    off = sigmoid(F.col("a") * F.col("z") + F.col("b")) - F.col("y")
+    comp = _compressed_logits(val, by, label, score, eps, weight).join(F.broadcast(params), by)  # one row for each group
+    mean = lambda v: F.sum(F.col("w") * v) / F.sum(F.when(v.isNotNull(), F.col("w")))
+    return comp.groupBy(*by).agg(mean(off * F.col("z")).alias("gradient_a"), mean(off).alias("gradient_b"))
 
 
 def apply_platt(scores: DataFrame, params: DataFrame, by: list[str] = ("run",), score: str = P, eps: float = EPS) -> DataFrame:
@@ -256,7 +269,7 @@ def hull_blocks(blocks: Iterator[tuple[float, float, float, float]]) -> list[tup
     return out
 
 
-def fit_isotonic(val: DataFrame, by: list[str] = ("run",), label: str = Y, score: str = P, eps: float = EPS) -> DataFrame:
+def fit_isotonic(val: DataFrame, by: list[str] = ("run",), label: str = Y, score: str = P, eps: float = EPS, weight: str | None = None) -> DataFrame:
     """H5: (by..., k, x, v), the knots of each group's isotonic fit, k = 1, 2, ... in ascending x.
 
     Rows are compressed to distinct scores and dealt out by ranges of (group,
@@ -264,7 +277,7 @@ def fit_isotonic(val: DataFrame, by: list[str] = ("run",), label: str = Y, score
     group's ranges are merged by the same rule, which gives the hull of the
     whole. A block of several scores has a knot at both ends."""
     by = list(by)
-    comp = val.groupBy(*by, clip_probs(score, eps).alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"), F.sum(F.col(label).cast("double")).alias("sy"))
+    comp = val.groupBy(*by, clip_probs(score, eps).alias("x")).agg(_rows(weight).alias("w"), F.sum((F.col(weight) if weight else F.lit(1.0)) * F.col(label).cast("double")).alias("sy"))
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
     ordered = comp.select(group.alias("g"), "x", "w", "sy").repartitionByRange("g", "x").sortWithinPartitions("g", "x")
     kind = ordered.schema["g"].dataType.simpleString()
@@ -318,7 +331,7 @@ def apply_isotonic(scores: DataFrame, knots: DataFrame, by: list[str] = ("run",)
     sizes = knots.groupBy(*by).agg(F.max("k").alias("_last"))
     rows = with_parameters(scores, sizes, by).withColumn("_x", clip_probs(score, eps))
     marked = rows.groupBy(*by, "_x").agg(F.lit(0).alias("_knot")).unionByName(knots.select(*by, F.col("x").alias("_x"), F.lit(1).alias("_knot")))
-    upto = prefix_sums(marked.groupBy(*by, "_x").agg(F.sum("_knot").alias("_knot")), by, "_x", ["_knot"]).select(*by, "_x", F.col("cum__knot").alias("_k"), F.col("tot__knot").alias("_all_knots"))
+    upto = prefix_sums(marked.groupBy(*by, "_x").agg(F.sum("_knot").alias("_knot")), by, "_x", ["_knot"], value_range=(0.0, 1.0)).select(*by, "_x", F.col("cum__knot").alias("_k"), F.col("tot__knot").alias("_all_knots"))
     left = knots.select(*by, F.col("k").alias("_k"), F.col("x").alias("_x0"), F.col("v").alias("_v0"))
     right = knots.select(*by, (F.col("k") - 1).alias("_k"), F.col("x").alias("_x1"), F.col("v").alias("_v1"))
     met = upto.join(left, [*by, "_k"], "left").join(right, [*by, "_k"], "left")
@@ -336,26 +349,32 @@ def calibrate_and_score(val: DataFrame, test: DataFrame, names: tuple[str, ...]
     """Fit each calibrator on val, apply to test, score the calibration
     bundle; one row per (group, calibrator) with fitted parameters."""
     by = list(by)
-    out = []
     for name in names:
         if name not in CALIBRATORS:
             raise ValueError(f"Unknown calibrator: {name}")
+    # rows are read once: every calibrator fits and scores their distinct scores with counts
+    checkpoint_dir(test.sparkSession)
+    test = weighted(test, by).checkpoint(eager=True)
+    if set(names) - {"identity"}:
+        val = weighted(val, by).checkpoint(eager=True)
+    out = []
+    for name in names:
         params = {"param_temperature": F.lit(None).cast("double"), "param_a": F.lit(None).cast("double"), "param_b": F.lit(None).cast("double")}
         if name == "identity":
             cal = test.withColumn(P, clip_probs(P))
             pt = None
         elif name == "temperature":
-            pt = fit_temperature(val, by)
+            pt = fit_temperature(val, by, weight="w")
             cal = apply_temperature(test, pt, by)
             pt = pt.select(*by, F.col("temperature").alias("param_temperature"))
         elif name == "platt":
-            pt = fit_platt(val, by)
+            pt = fit_platt(val, by, weight="w")
             cal = apply_platt(test, pt, by)
             pt = pt.select(*by, F.col("a").alias("param_a"), F.col("b").alias("param_b"))
         else:
-            cal = apply_isotonic(test, fit_isotonic(val, by), by)
+            cal = apply_isotonic(test, fit_isotonic(val, by, weight="w"), by)
             pt = None
-        b = calibration_bundle(cal, n_bins, by).withColumn("calibrator", F.lit(name))
+        b = calibration_bundle(cal, n_bins, by, weight="w").withColumn("calibrator", F.lit(name))
         if pt is not None:
             b = b.join(pt, by)
         for c, v in params.items():

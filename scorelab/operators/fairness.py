@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import bin_index, linspace_inner
+from ..session import checkpoint_dir
 from .metrics import P, Y, binned_gap, compressed, score_sums
 
 # Human-readable labels of the protected attributes.
@@ -31,9 +33,13 @@ def melt_attributes(scores: DataFrame, attrs: list[str]) -> DataFrame:
 def subgroup_metrics(long: DataFrame, tau: float = 0.5, n_bins: int = 10, by: list[str] = ("run", "attribute", "code"),
                      label: str = Y, score: str = P) -> DataFrame:
     """N, base rate, selection rate, TPR, FPR (NULL without positives /
-    negatives), AUC (NULL if single class), ECE and Brier per subgroup."""
+    negatives), AUC (NULL if single class), ECE and Brier per subgroup.
+
+    The compressed table is checkpointed while this is built: the prefix sums
+    read it twice, each time other columns, and the rows are melted once."""
     by = list(by)
-    sums = score_sums(compressed(long, by, label, score), by, tau, n_bins)
+    checkpoint_dir(long.sparkSession)
+    sums = score_sums(compressed(long, by, label, score).checkpoint(eager=True), by, tau, n_bins)
     pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
     n = pos + neg
     return sums.select(
@@ -92,11 +98,18 @@ def disparity(sub: DataFrame, by: list[str] = ("run", "attribute")) -> DataFrame
 
 
 def subgroup_reliability(scores: DataFrame, attrs: list[str], n_bins: int = 10, by: list[str] = ("run",), min_n: int = MIN_SUBGROUP_N) -> DataFrame:
-    """I4: reliability points per subgroup, subgroups with n < min_n skipped."""
-    from .calibrate import reliability_points
+    """I4: reliability points per subgroup, subgroups with n < min_n skipped.
 
-    long = melt_attributes(scores, attrs)
-    return reliability_points(long, n_bins, [*by, "attribute", "code"], min_n=min_n)
+    Rows are counted by (attributes, bin) before they are melted, so what is
+    melted and shuffled does not grow with the rows or their distinct scores."""
+    from .calibrate import points_of_bins
+
+    by = list(by)
+    cells = scores.groupBy(*by, *attrs, bin_index(F.col(P).cast("double"), linspace_inner(n_bins)).alias("bin")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col(Y)).cast("double").alias("sy"), F.sum(F.col(P)).alias("sp"))
+    key = [*by, "attribute", "code"]
+    binned = melt_attributes(cells, attrs).groupBy(*key, "bin").agg(*(F.sum(c).alias(c) for c in ("n", "sy", "sp")))
+    return points_of_bins(binned, key, min_n)
 
 
 def attach_attributes(scores: DataFrame, accounts: DataFrame, attrs: list[str], left_key: str = "o_custkey", right_key: str = "row_id") -> DataFrame:
