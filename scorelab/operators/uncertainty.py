@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bernoulli_entropy
 from ..functions.ranks import prefix_sums
+from ..session import checkpoint_dir
 from .metrics import rank_metrics
 
 SIGNALS = ("predictive_entropy", "aleatoric", "mutual_info", "std")
@@ -57,11 +58,15 @@ def refuse_curve(unc: DataFrame, signals: tuple[str, ...] = SIGNALS, fracs: list
     Each row gets its position in the deferral order; for fraction k it is
     retained iff position > n_defer(k). Rows are reduced to per-(signal,
     bucket, score) counts, buckets being the intervals between consecutive
-    n_defer values, so every fraction is evaluated from compressed counts."""
+    n_defer values, so every fraction is evaluated from compressed counts.
+    Jobs run while this is built."""
     unknown = [s for s in signals if s not in SIGNALS]
     if unknown:
         raise ValueError(f"Unknown signal: {unknown}")
     fr = fracs if fracs is not None else fractions()
+    # samples are summed up once; the ranks and the counts below are read several times
+    checkpoint_dir(unc.sparkSession)
+    unc = unc.select(key, label, "mean", *signals).checkpoint(eager=True)
     arr = F.array(*[F.struct(F.lit(s).alias("signal"), F.col(s).cast("double").alias("u")) for s in signals])
     long = unc.select(key, label, "mean", F.explode(arr).alias("_s")).select(key, label, "mean", "_s.signal", "_s.u")
     long = long.withColumns({"_neg_u": -F.col("u"), "_one": F.lit(1)})
@@ -74,7 +79,7 @@ def refuse_curve(unc: DataFrame, signals: tuple[str, ...] = SIGNALS, fracs: list
     comp = ranked.groupBy("signal", "_b", "N", F.col("mean").alias("s")).agg(
         F.sum(F.col(label).cast("double")).alias("pos"), F.sum(F.lit(1.0) - F.col(label).cast("double")).alias("neg"),
         F.sum(correct).alias("ok"),
-    )
+    ).checkpoint(eager=True)
     # retained set of fraction k = buckets > k ; deferred = buckets <= k
     ks = F.sequence(F.lit(0), F.lit(len(fr) - 1))
     per_k = comp.withColumn("k", F.explode(ks)).withColumn("kept", F.col("_b") > F.col("k"))
@@ -113,6 +118,8 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str] = ()) -> DataFrame:
     g = by or ["_all"]
     if not by:
         pairs = pairs.withColumn("_all", F.lit(0))
+    checkpoint_dir(df.sparkSession)
+    pairs = pairs.checkpoint(eager=True)  # both margins and the sums read it
 
     def ranks(col: str) -> DataFrame:
         c = pairs.groupBy(*g, col).agg(F.sum("_w").alias("_c"))
@@ -134,6 +141,8 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str] = ()) -> DataFrame:
 
 def headline(unc: DataFrame, tau: float = 0.5, label: str = "y_true") -> DataFrame:
     """AUC of the mean, accuracy, mean entropies and Spearman(entropy, misclassified)."""
+    checkpoint_dir(unc.sparkSession)
+    unc = unc.select(label, "mean", "predictive_entropy", "aleatoric", "mutual_info", "std").checkpoint(eager=True)  # samples are summed up once
     x = unc.withColumns({"_g": F.lit(0), "_mis": ((F.col("mean") >= F.lit(tau)).cast("int") != F.col(label)).cast("int")})
     a = x.groupBy("_g").agg(
         F.avg(1 - F.col("_mis")).alias("accuracy_at_0_5"), F.avg("predictive_entropy").alias("mean_predictive_entropy"),
