@@ -118,21 +118,24 @@ def mask_tokens(tokens: DataFrame, p: float = 0.15, min_mask: int = 1, max_mask:
     (0 mask, 1 random, 2 keep; -1 not selected). Array operations only: no
     shuffle, one output row per input row."""
     k = F.col(key).cast("string")
-    pos = list(range(n_tokens))
-    arr = F.array(*[F.struct(F.lit(i).alias("pos"), uniform(k, f"|{i}|{seed}|sel").alias("u"), uniform(k, f"|{i}|{seed}|pick").alias("v"),
-                             uniform(k, f"|{i}|{seed}|mode").alias("w")) for i in pos])
-    x = tokens.select(key, arr.alias("_t"))
-    cmp = lambda a, b: F.when(a["v"] < b["v"], -1).when(a["v"] > b["v"], 1).otherwise(F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0))
-    sel0 = F.filter("_t", lambda t: t["u"] < F.lit(p))
-    unsel = F.filter("_t", lambda t: t["u"] >= F.lit(p))
-    x = x.withColumns({"_s": F.array_sort(sel0, cmp), "_u": F.array_sort(unsel, cmp)})
+    draw = lambda i, tag: uniform(k, F.lit("|"), i.cast("string"), f"|{seed}|{tag}")
+    first = F.array(*[uniform(k, f"|{i}|{seed}|sel") for i in range(n_tokens)])
+    x = tokens.select(key, first.alias("_u"))
+    at = F.sequence(F.lit(0), F.lit(n_tokens - 1))
+    x = x.withColumns({"_s": F.filter(at, lambda i: F.get("_u", i) < F.lit(p)), "_r": F.filter(at, lambda i: F.get("_u", i) >= F.lit(p))})
+    # the second draw is made for the rows that are topped up or trimmed, the third for selected tokens
+    lowest = lambda c, n: F.transform(F.slice(F.array_sort(F.transform(c, lambda i: F.struct(draw(i, "pick").alias("v"), i.alias("pos")))), 1, n), lambda t: t["pos"])
     cnt = F.size("_s")
-    need = F.greatest(F.lit(min_mask) - cnt, F.lit(0))
-    chosen = F.concat(F.slice("_s", 1, F.least(cnt, F.lit(max_mask))), F.slice("_u", 1, F.greatest(need, F.lit(0))))
-    x = x.withColumn("_c", F.transform(chosen, lambda t: t["pos"]))
-    mode = F.transform("_t", lambda t: F.when(~F.array_contains(F.col("_c"), t["pos"]), F.lit(-1)).when(t["w"] < F.lit(mask_frac), F.lit(0))
-                       .when(t["w"] < F.lit(mask_frac + random_frac), F.lit(1)).otherwise(F.lit(2)))
-    return x.select(key, F.transform("_t", lambda t: F.array_contains(F.col("_c"), t["pos"])).alias("mask_positions"), mode.alias("replace_mode"))
+    chosen = F.when(cnt < min_mask, F.concat(F.slice("_s", 1, max_mask), lowest(F.col("_r"), F.lit(min_mask) - cnt))).when(cnt > max_mask, lowest(F.col("_s"), F.lit(max_mask))).otherwise(F.col("_s"))
+    x = x.select(key, chosen.alias("_c"))
+    selected = F.transform(at, lambda i: F.array_contains("_c", i))
+
+    def replaced(i):
+        w = draw(i, "mode")
+        return F.when(w < F.lit(mask_frac), F.lit(0)).when(w < F.lit(mask_frac + random_frac), F.lit(1)).otherwise(F.lit(2))
+
+    mode = F.transform(at, lambda i: F.when(~F.array_contains("_c", i), F.lit(-1)).otherwise(replaced(i)))
+    return x.select(key, selected.alias("mask_positions"), mode.alias("replace_mode"))
 
 
 def token_layout_df(spark) -> DataFrame:
