@@ -132,24 +132,27 @@ class Merger:
 
 
 class SliceEncoder:
-    """Encodes texts slice by slice; ``merge`` turns new slices into packed ids.
+    """Encodes texts slice by slice; ``merge`` turns new slices into packed ids, or into the ids of all and their counts.
 
     Slices of up to 16 bytes are kept in a two-way table of fixed size, looked
     up for whole batches by their exact bytes; longer ones are merged anew,
     once a batch.
     """
 
-    def __init__(self, classes: bytes, merge, slots: int = 1 << CACHE_BITS) -> None:
-        self.pre, self.merge, self.slots = PreTokens(classes), merge, slots
+    def __init__(self, classes: bytes, merge, slots: int = 1 << CACHE_BITS, most: int = POOL_IDS) -> None:
+        self.pre, self.merge, self.slots, self.most = PreTokens(classes), merge, slots, most
         self.low, self.high = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
         self.size, self.count = np.zeros(slots, np.uint8), np.zeros(slots, np.uint8)
         self.place = np.zeros(slots, np.int32)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def _keep(self, packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _keep(self, made: list[bytes] | tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Puts ids into the pool; their places and counts."""
-        got = np.frombuffer(b"".join(packed), dtype="<u4")
-        count = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        if isinstance(made, tuple):
+            got, count = made
+        else:
+            got = np.frombuffer(b"".join(made), dtype="<u4")
+            count = np.fromiter(map(len, made), np.int64, len(made)) // 4
         while self.used + len(got) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.pool[self.used : self.used + len(got)] = got
@@ -163,7 +166,7 @@ class SliceEncoder:
         begin, n = at[:-1], np.diff(at)
         if not len(n):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
-        if self.used > POOL_IDS:
+        if self.used > self.most:
             self.size[:] = 0
             self.used = 0
         padded = np.concatenate([data, np.zeros(16, np.uint8)])

@@ -44,6 +44,8 @@ from .common import kept_by_worker, shared_path
 from .pretokens import classes_of_ranks
 
 MAX_BITS, CHECKPOINT, BLOCK_IDS = 18, 256, 1 << 16
+#: Ids of known slices that a worker keeps (4 bytes each) before it starts anew.
+KEPT_IDS = 12_000_000
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -105,7 +107,7 @@ def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = ids[np.lexsort((ids, lengths[ids]))]
     n = lengths[order]
     span = np.left_shift(1, MAX_BITS - n)
-    size = np.zeros(1 << MAX_BITS, np.int64)
+    size = np.zeros(1 << MAX_BITS, np.uint8)
     symbol = np.zeros(1 << MAX_BITS, np.uint32)
     used = int(span.sum())
     symbol[:used] = np.repeat(order, span)
@@ -121,16 +123,16 @@ def unpack_bits(payloads: list[bytes], checkpoints: list[np.ndarray], counts: li
     base = np.cumsum([0, *map(len, payloads)])
     at = np.concatenate([c + 8 * b for c, b in zip(checkpoints, base)]) if payloads else np.zeros(0, np.int64)
     todo = np.concatenate([np.minimum(CHECKPOINT, n - CHECKPOINT * np.arange(len(c))) for c, n in zip(checkpoints, counts)]) if payloads else at
-    out = np.zeros((len(at), CHECKPOINT), np.uint32)
+    out = np.zeros((CHECKPOINT, len(at)), np.uint32)  # a step of all stretches is one row
     for k in range(CHECKPOINT):
         if k and not k % 32 and not (todo > k).any():
             break
         at = np.minimum(at, (len(peek) - 1) * 8)
         v = (peek[at >> 3] << (at & 7).astype(np.uint32)) >> np.uint32(32 - MAX_BITS)
-        out[:, k] = symbol[v]
+        out[k] = symbol[v]
         at = at + size[v]
     rows = np.cumsum([0, *map(len, checkpoints)])
-    return [out[a:b].ravel()[:n] for a, b, n in zip(rows, rows[1:], counts)]
+    return [out[:, a:b].T.ravel()[:n] for a, b, n in zip(rows, rows[1:], counts)]
 
 
 class AddedEncoder:
@@ -159,6 +161,36 @@ class AddedEncoder:
         return np.concatenate(parts), ends[first]
 
 
+def slice_merger(lib):
+    """Ids of slices by the library, each as one piece of ordinary text, and their counts.
+
+    A byte-level model's ids stand for as many bytes as their tokens have characters, so the slices of a call can go
+    through the library as the words of one text and be told apart by their bytes; otherwise each is a text of its own."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    lib.encode_special_tokens = True  # a slice is ordinary text
+    by_bytes = lib.normalizer is None and isinstance(lib.pre_tokenizer, ByteLevel) and not lib.pre_tokenizer.add_prefix_space
+    if by_bytes:
+        lib.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # slices are cut already
+        vocabulary = lib.get_vocab()
+        size = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        for token, i in vocabulary.items():
+            size[i] = len(token)
+
+    def merge(slices: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        words = [s.decode("utf-8") for s in slices]
+        if by_bytes and words:
+            ids = np.array(lib.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            ends, upto = np.cumsum(np.fromiter(map(len, slices), np.int64, len(slices))), np.cumsum(size[ids])
+            last = np.searchsorted(upto, ends)
+            if len(ids) and last[-1] == len(ids) - 1 and (upto[last] == ends).all():
+                return ids, np.diff(last, prepend=-1)
+        each = [np.array(e.ids, np.uint32) for e in lib.encode_batch_fast(words, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(e) for e in each], np.int64)
+
+    return merge
+
+
 def _encoder(path: str, classes: bytes) -> AddedEncoder | SliceEncoder:
     def make():
         from tokenizers import Tokenizer
@@ -167,12 +199,7 @@ def _encoder(path: str, classes: bytes) -> AddedEncoder | SliceEncoder:
         added = {t.content.encode(): i for i, t in lib.get_added_tokens_decoder().items()}
         if added and (lib.normalizer is not None or any(t.single_word or t.lstrip or t.rstrip for t in lib.get_added_tokens_decoder().values())):
             raise ValueError(f"added tokens that are not found by their literal text alone: {path}")
-        lib.encode_special_tokens = True  # a slice is ordinary text
-
-        def merge(slices: list[bytes]) -> list[bytes]:
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in lib.encode_batch_fast([s.decode("utf-8") for s in slices], add_special_tokens=False)]
-
-        plain = SliceEncoder(classes, merge)
+        plain = SliceEncoder(classes, slice_merger(lib), most=KEPT_IDS)
         return AddedEncoder(plain, added) if added else plain
 
     return kept_by_worker(("json", path), make)
@@ -192,7 +219,7 @@ def encode_ordered(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         enc, part, rel = _encoder(path, classes), TaskContext.get().partitionId(), 0
         for batch in batches:
             data, offs = text_buffers(batch.column(1))
-            for i, j, some, at in pieces(data, offs, 1 << 20):
+            for i, j, some, at in pieces(data, offs, 1 << 19):
                 ids, first = enc.encode(some, at)
                 both = np.insert(ids.astype("<u4"), first[1:], end_id)  # the end id after each document
                 bounds = (first + np.arange(j - i + 1)) * 4

@@ -152,3 +152,32 @@ def test_length_histogram_against_brute_force(spark, texts, library):
     for limit in (0, 1, 7, 1500, 10**6):
         assert tuple(length_histogram.at_limit(sums, limit).first()) == (len(n), (n > limit).sum(), np.minimum(n, limit).sum())
     assert length_histogram.quantile(sums, 0.5).first()[0] == np.sort(n)[-(-len(n) // 2) - 1]
+
+
+def test_new_slices_go_through_the_library_in_one_text():
+    """A call's slices are words of one text, told apart by their bytes; other tokenizers get a text for each."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    lib = Tokenizer.from_file(JSON)
+    lib.encode_special_tokens = True
+    slices = [" über".encode(), b"  ", b"don", b"'t", "日本語".encode(), b"<|endoftext|>", b"\n\n", b" a", b"0" * 40]
+    alone = [lib.encode(s.decode(), add_special_tokens=False).ids for s in slices]
+    texts = []
+
+    class Counted:
+        normalizer, pre_tokenizer = None, pre_tokenizers.ByteLevel(add_prefix_space=False)
+        get_vocab = lib.get_vocab
+
+        def encode_batch_fast(self, inputs, **kw):
+            texts.append(len(inputs))
+            return lib.encode_batch_fast(inputs, **kw)
+
+    ids, count = huffman_ids.slice_merger(Counted())(slices)
+    assert texts == [1]
+    assert ids.tolist() == [i for a in alone for i in a] and count.tolist() == [len(a) for a in alone]
+    assert [len(x) for x in huffman_ids.slice_merger(lib)([])] == [0, 0]
+
+    words = Tokenizer(models.WordLevel({"?": 0, "ab": 1}, unk_token="?"))
+    words.pre_tokenizer = pre_tokenizers.Whitespace()
+    ids, count = huffman_ids.slice_merger(words)([b"ab", b" ", b"xyz"])
+    assert ids.tolist() == [1, 0] and count.tolist() == [1, 0, 1]
