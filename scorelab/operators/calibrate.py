@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import bin_index, clip, linspace_inner, logit, sigmoid, softplus
 from ..functions.ranks import exact_quantiles, prefix_sums
 from ..session import checkpoint_dir
-from .metrics import P, Y, binned_gap, brier, compressed, score_sums, weighted
+from .metrics import P, Y, binned_gap, brier, compressed, kept, score_sums, weighted
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no copy of this module
 
@@ -117,8 +117,7 @@ def calibration_bundle(scores: DataFrame, n_bins: int = 10, by: list[str] = (),
     whose edges need the quantiles first; both read one compressed table, which
     is checkpointed while this is built."""
     scores, by, added = _grp(scores, by)
-    checkpoint_dir(scores.sparkSession)
-    comp = compressed(scores, by, label, score, weight).checkpoint(eager=True)
+    comp = kept(compressed(scores, by, label, score, weight))
     g = score_sums(comp, by, 0.5, n_bins)
     n, base = F.col("pos") + F.col("neg"), F.col("pos") / (F.col("pos") + F.col("neg"))
     total = lambda of: F.aggregate(F.filter("bins", lambda b: b["n"] > 0), F.lit(0.0), lambda acc, b: acc + of(b))
@@ -353,10 +352,9 @@ def calibrate_and_score(val: DataFrame, test: DataFrame, names: tuple[str, ...]
         if name not in CALIBRATORS:
             raise ValueError(f"Unknown calibrator: {name}")
     # rows are read once: every calibrator fits and scores their distinct scores with counts
-    checkpoint_dir(test.sparkSession)
-    test = weighted(test, by).checkpoint(eager=True)
+    test = kept(weighted(test, by))
     if set(names) - {"identity"}:
-        val = weighted(val, by).checkpoint(eager=True)
+        val = kept(weighted(val, by))
     out = []
     for name in names:
         params = {"param_temperature": F.lit(None).cast("double"), "param_a": F.lit(None).cast("double"), "param_b": F.lit(None).cast("double")}

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import logit, sigmoid
 from ..operators import calibrate as C
-from ..operators.metrics import weighted
-from ..session import checkpoint_dir
+from ..operators.metrics import kept, weighted
 from ..sources import fixtures as fx
 from . import sqltext as Q
 from .registry import case
@@ -117,8 +116,7 @@ def q_h4(spark, sf):
       doubles=["temperature_gradient", "platt_gradient_a", "platt_gradient_b"])
 def q_fit_gradient(spark, sf):
     """Fits of temperature and Platt on val: the NLL's gradient at the fitted parameters vanishes."""
-    checkpoint_dir(spark)
-    val = weighted(S(spark, sf).where(F.col("split") == "val"), BY1).checkpoint(eager=True)  # distinct scores with counts: rows are read once
+    val = kept(weighted(S(spark, sf).where(F.col("split") == "val"), BY1))  # distinct scores with counts: rows are read once
     p = C.fit_gradient(val, C.fit_platt(val, BY1, weight="w"), BY1, weight="w").select("run", F.col("gradient_a").alias("platt_gradient_a"), F.col("gradient_b").alias("platt_gradient_b"))
     t = C.fit_temperature(val, BY1, weight="w").select("run", (F.lit(1.0) / F.col("temperature")).alias("a"), F.lit(0.0).alias("b"))
     return C.fit_gradient(val, t, BY1, weight="w").select("run", F.col("gradient_a").alias("temperature_gradient")).join(p, "run")
@@ -143,8 +141,7 @@ ISOTONIC = (
     ("cum", HULL), ("knots", ISOTONIC)), doubles=["mean_calibrated", "least_score"])
 def q_h5(spark, sf):
     """Isotonic fits on val, applied to test; means of the calibrated scores by fiftieths of the raw score."""
-    checkpoint_dir(spark)
-    s = weighted(S(spark, sf), BY).checkpoint(eager=True)  # distinct scores with counts: rows are read once
+    s = kept(weighted(S(spark, sf), BY))  # distinct scores with counts: rows are read once
     test = s.where(F.col("split") == "test").withColumn("x", C.clip_probs("y_prob"))
     cal = C.apply_isotonic(test, C.fit_isotonic(s.where(F.col("split") == "val"), BY1, weight="w"), BY1)
     return cal.groupBy("run", F.floor(F.col("x") * 50).cast("int").alias("cell")).agg(
