@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import bin_index, linspace_inner
-from ..session import checkpoint_dir
-from .metrics import P, Y, binned_gap, compressed, score_sums
+from .metrics import P, Y, binned_gap, compressed, score_sums, sliced
 
 # Human-readable labels of the protected attributes.
 SEX_LABELS = {1: "Male", 2: "Female"}
@@ -33,13 +32,13 @@ def melt_attributes(scores: DataFrame, attrs: list[str]) -> DataFrame:
 def subgroup_metrics(long: DataFrame, tau: float = 0.5, n_bins: int = 10, by: list[str] = ("run", "attribute", "code"),
                      label: str = Y, score: str = P) -> DataFrame:
     """N, base rate, selection rate, TPR, FPR (NULL without positives /
-    negatives), AUC (NULL if single class), ECE and Brier per subgroup.
-
-    The compressed table is checkpointed while this is built: the prefix sums
-    read it twice, each time other columns, and the rows are melted once."""
+    negatives), AUC (NULL if single class), ECE and Brier per subgroup."""
     by = list(by)
-    checkpoint_dir(long.sparkSession)
-    sums = score_sums(compressed(long, by, label, score).checkpoint(eager=True), by, tau, n_bins)
+    return _subgroup_table(compressed(long, by, label, score), by, tau, n_bins)
+
+
+def _subgroup_table(comp: DataFrame, by: list[str], tau: float, n_bins: int) -> DataFrame:
+    sums = score_sums(comp, by, tau, n_bins)
     pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
     n = pos + neg
     return sums.select(
@@ -58,10 +57,15 @@ def label_table(spark, labels: dict[str, dict] | None = None) -> DataFrame:
 def audit_attributes(scores: DataFrame, attrs: list[str], labels: dict[str, dict] | None = None, tau: float = 0.5,
                      n_bins: int = 10, by: list[str] = ("run",), min_n: int = MIN_SUBGROUP_N) -> DataFrame:
     """Subgroup metrics for every attribute with labels (fallback: the
-    code itself) and the ``underpowered`` flag (n < min_n)."""
+    code itself) and the ``underpowered`` flag (n < min_n).
+
+    Rows are compressed with all attributes side by side and dealt out by
+    slices of the score; melted there, they are not shuffled for each attribute."""
     by = list(by)
-    long = melt_attributes(scores, attrs)
-    m = subgroup_metrics(long, tau, n_bins, [*by, "attribute", "code"])
+    key = [*by, "attribute", "code"]
+    dealt = sliced(compressed(scores, [*by, *attrs])).repartition(*by, "_bk")
+    long = melt_attributes(dealt, attrs).groupBy(*by, "_bk", "attribute", "code", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    m = _subgroup_table(long, key, tau, n_bins)
     lt = F.broadcast(label_table(scores.sparkSession, labels))  # a few dozen fixed rows
     return m.join(lt, ["attribute", "code"], "left").withColumns(
         {"label": F.coalesce(F.col("label"), F.col("code")), "underpowered": F.col("n") < F.lit(min_n)}
@@ -76,11 +80,8 @@ def disparity(sub: DataFrame, by: list[str] = ("run", "attribute")) -> DataFrame
     """Deltas and ratios against the largest subgroup of each group."""
     by = list(by)
     w = Window.partitionBy(*by).orderBy(F.desc("n"), *_code_order())  # a handful of subgroups per group
-    ref = sub.withColumn("_r", F.row_number().over(w)).where("_r = 1").select(
-        *by, F.col("label").alias("ref_label"), F.col("selection_rate").alias("r_sel"), F.col("tpr").alias("r_tpr"),
-        F.col("fpr").alias("r_fpr"), F.col("auc_roc").alias("r_auc"), F.col("ece").alias("r_ece"),
-    )
-    j = sub.join(ref, by)
+    refs = {"ref_label": "label", "r_sel": "selection_rate", "r_tpr": "tpr", "r_fpr": "fpr", "r_auc": "auc_roc", "r_ece": "ece"}
+    j = sub.dropna("any", subset=by).withColumns({r: F.first(c).over(w) for r, c in refs.items()})
     finite = lambda c: c.isNotNull() & ~F.isnan(c)
     ratio = F.when(finite(F.col("selection_rate")) & finite(F.col("r_sel")) & (F.col("r_sel") != 0), F.col("selection_rate") / F.col("r_sel"))
     tpr_d = F.col("tpr") - F.col("r_tpr")
