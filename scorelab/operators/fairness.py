@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import bin_index, linspace_inner
-from .metrics import P, Y, binned_gap, compressed, score_sums, sliced
+from .metrics import P, Y, binned_gap, compressed, kept, score_sums, sliced
 
 # Human-readable labels of the protected attributes.
 SEX_LABELS = {1: "Male", 2: "Female"}
@@ -59,11 +59,12 @@ def audit_attributes(scores: DataFrame, attrs: list[str], labels: dict[str, dict
     """Subgroup metrics for every attribute with labels (fallback: the
     code itself) and the ``underpowered`` flag (n < min_n).
 
-    Rows are compressed with all attributes side by side and dealt out by
-    slices of the score; melted there, they are not shuffled for each attribute."""
+    Rows are compressed with all attributes side by side, checkpointed while
+    this is built, and dealt out by slices of the score; melted there, they
+    are not shuffled for each attribute."""
     by = list(by)
     key = [*by, "attribute", "code"]
-    dealt = sliced(compressed(scores, [*by, *attrs])).repartition(*by, "_bk")
+    dealt = sliced(kept(compressed(scores, [*by, *attrs]))).repartition(*by, "_bk")
     long = melt_attributes(dealt, attrs).groupBy(*by, "_bk", "attribute", "code", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     m = _subgroup_table(long, key, tau, n_bins)
     lt = F.broadcast(label_table(scores.sparkSession, labels))  # a few dozen fixed rows
