@@ -143,7 +143,7 @@ def q_m5(spark, sf):
 
 @case("m6_content_hash", None)
 def q_m6(spark, sf):
-    """sha256 of every parquet file of the input directory (binaryFile source)."""
+    """sha256 of every parquet file of the input directory (listed by the binaryFile source, hashed in pieces)."""
     from ..sources.io import content_hash
 
     return content_hash(spark, sf, "*.parquet").select("path", "length", "sha256")

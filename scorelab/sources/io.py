@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -297,14 +299,103 @@ def coerce_params(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def content_hash(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """M6: sha256 of every file under ``path`` via the binaryFile source."""
+#: Bytes of one file that a task hashes before the chain goes on in another.
+PIECE = 256 << 20
+_STATE_BYTES = 112  # OpenSSL's SHA256_CTX
+
+
+def _sha256_parts():
+    """OpenSSL's sha256 in steps, whose state is plain bytes (hashlib's can't leave its process); None without OpenSSL."""
+    import ctypes
+
+    try:
+        import _hashlib
+
+        lib = ctypes.CDLL(_hashlib.__file__)
+        parts = lib.SHA256_Init, lib.SHA256_Update, lib.SHA256_Final
+    except (ImportError, AttributeError, OSError):
+        return None
+    parts[0].argtypes = [ctypes.c_void_p]
+    parts[1].argtypes = [ctypes.c_void_p, ctypes.c_void_p, ctypes.c_size_t]
+    parts[2].argtypes = [ctypes.c_void_p, ctypes.c_void_p]
+    return parts
+
+
+def _hash_on(path: str, length: int, at: int, end: int, state: bytes | None) -> bytes:
+    """The hash's state after the bytes ``at`` to ``end`` of a file, or its digest where they are the last."""
+    import ctypes
+    import hashlib
+
+    whole = at == 0 and end == length
+    if whole:
+        made = hashlib.sha256()
+    else:
+        init, update, final = _sha256_parts()
+        context = ctypes.create_string_buffer(state or b"", _STATE_BYTES)
+        if state is None:
+            init(context)
+    buf = bytearray(1 << 20)
+    view, raw = memoryview(buf), (ctypes.c_char * len(buf)).from_buffer(buf)
+    with open("/" + path.removeprefix("file:").lstrip("/"), "rb", buffering=0) as f:
+        f.seek(at)
+        while at < end:
+            n = f.readinto(view[: min(len(buf), end - at)])
+            if not n:
+                raise OSError(f"{path} ends at byte {at}, listed with {length}")
+            if whole:
+                made.update(view[:n])
+            else:
+                update(context, raw, n)
+            at += n
+    if whole:
+        return made.digest()
+    if end < length:
+        return context.raw
+    digest = ctypes.create_string_buffer(32)
+    final(digest, context)
+    return digest.raw
+
+
+def content_hash(spark: SparkSession, path: str, glob: str | None = None, piece: int = PIECE) -> DataFrame:
+    """M6: (path, length, sha256) of every file under ``path`` that the binaryFile source lists.
+
+    A sha256 is a chain over a file's bytes, but its state can be handed on: a
+    task hashes at most ``piece`` bytes of a file, a MB at a time, and the next
+    round's task goes on from its state, so that files may be larger than a row
+    or a task's share. All rounds but the last run while this is built: states
+    are checkpointed. Bytes are read where the files lie, a folder that all
+    executors share; on other file systems files are rows of the binaryFile
+    source, of 2 GB at most."""
+    from ..session import checkpoint_dir
+
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.option("recursiveFileLookup", True).load(path).select(
-        "path", "length", F.sha2(F.col("content"), 256).alias("sha256")
-    )
+    files = r.option("recursiveFileLookup", True).load(path)
+    seen = files.agg(F.max("length").alias("most"), F.bool_and(F.col("path").startswith("file:")).alias("local")).first()
+    if not seen["local"]:
+        return files.select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    if _sha256_parts() is None:  # each file in one task, still a MB at a time
+        piece = max(seen["most"], 1)
+
+    def from_byte(at: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = batch.to_pylist()
+                for row in rows:
+                    if at < row["length"] or at == 0:
+                        row["state"] = _hash_on(row["path"], row["length"], at, min(at + piece, row["length"]), row["state"])
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("path", pa.string()), ("length", pa.int64()), ("state", pa.binary())]))
+
+        return run
+
+    hashed = files.select("path", "length", F.lit(None).cast("binary").alias("state"))
+    for at in range(0, max(seen["most"], 1), piece):
+        if at:
+            checkpoint_dir(spark)
+            hashed = hashed.checkpoint(eager=True)
+        hashed = hashed.mapInArrow(from_byte(at), "path string, length long, state binary")
+    return hashed.select("path", "length", F.lower(F.hex("state")).alias("sha256"))
 
 
 #: Bytes of offsets under one leaf of a file's hash tree, and children of a node.
