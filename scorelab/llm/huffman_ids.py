@@ -205,9 +205,23 @@ def _encoder(path: str, classes: bytes) -> AddedEncoder | SliceEncoder:
     return kept_by_worker(("json", path), make)
 
 
+def id_type(path: str, end_id: int) -> str:
+    """The unsigned integers, little-endian, that hold every id of a tokenizer file: 2 bytes where they do, else 4."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max([end_id, *Tokenizer.from_file(path).get_vocab().values()]) < 1 << 16 else "<u4"
+
+
+ORDERED = "part int, rel long, doc_id long, n long, ids binary, tally array<struct<id: int, n: long>>"
+_TALLY = pa.list_(pa.struct([("id", pa.int32()), ("n", pa.int64())]))
+
+
 def encode_ordered(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """Ids in ascending doc_id order: part, rel (ids before it in the part), doc_id, n, ids."""
-    classes = classes_of_ranks()
+    """Ids (``id_type``) in ascending doc_id order: part, rel (ids before it in the part), doc_id, n, ids.
+
+    A part's last row is no document: its n is null, rel has all the part's ids, and tally how often each occurs."""
+    classes, kind = classes_of_ranks(), id_type(path, end_id)
+    width = int(kind[-1])
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ranged = keyed.repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie)
@@ -217,34 +231,30 @@ def encode_ordered(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         enc, part, rel = _encoder(path, classes), TaskContext.get().partitionId(), 0
+        counts, names = np.zeros(0, np.int64), ["part", "rel", "doc_id", "n", "ids", "tally"]
         for batch in batches:
             data, offs = text_buffers(batch.column(1))
             for i, j, some, at in pieces(data, offs, 1 << 19):
                 ids, first = enc.encode(some, at)
-                both = np.insert(ids.astype("<u4"), first[1:], end_id)  # the end id after each document
-                bounds = (first + np.arange(j - i + 1)) * 4
-                n = np.diff(bounds) // 4
+                both = np.insert(ids.astype(kind), first[1:], end_id)  # the end id after each document
+                got = np.bincount(both, minlength=len(counts))
+                got[: len(counts)] += counts
+                counts = got
+                bounds = (first + np.arange(j - i + 1)) * width
+                n = np.diff(bounds) // width
                 packed = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(both)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(j - i, part, np.int32)), pa.array(rel + np.cumsum(n) - n), batch.column(0).slice(i, j - i), pa.array(n), packed],
-                    names=["part", "rel", "doc_id", "n", "ids"],
+                    [pa.array(np.full(j - i, part, np.int32)), pa.array(rel + np.cumsum(n) - n), batch.column(0).slice(i, j - i), pa.array(n), packed, pa.nulls(j - i, _TALLY)],
+                    names=names,
                 )
                 rel += int(n.sum())
+        if rel:
+            at = np.flatnonzero(counts)
+            pairs = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], fields=list(_TALLY.value_type))
+            tally = pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([rel]), *(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary())), tally], names=names)
 
-    return ranged.mapInArrow(run, "part int, rel long, doc_id long, n long, ids binary")
-
-
-def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(0, np.int64)
-    for batch in batches:
-        got = np.bincount(text_buffers(batch.column(0))[0].view("<u4"))
-        if len(got) > len(counts):
-            got[: len(counts)] += counts
-            counts = got
-        else:
-            counts[: len(got)] += got
-    at = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["id", "n"])
+    return ranged.mapInArrow(run, ORDERED)
 
 
 def write_files(docs: DataFrame, path: str, end_id: int, folder: str) -> None:
@@ -252,10 +262,11 @@ def write_files(docs: DataFrame, path: str, end_id: int, folder: str) -> None:
     spark = docs.sparkSession
     work = f"{folder}/ids"
     encode_ordered(docs, path, end_id).write.option("compression", "zstd").parquet(work)
-    ids = spark.read.schema("part int, rel long, doc_id long, n long, ids binary").parquet(work)
+    ids, kind = spark.read.schema(ORDERED).parquet(work), id_type(path, end_id)
     # one row for each id of the vocabulary and one for each part: bounded by vocabulary and task numbers
-    totals = ids.select("ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    sizes = sorted((r["part"], r["n"]) for r in ids.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    ends = ids.where("n is null")
+    totals = ends.select(F.inline("tally")).groupBy("id").agg(F.sum("n").alias("n")).collect()
+    sizes = sorted((r["part"], r["rel"]) for r in ends.select("part", "rel").collect())
     counts = np.zeros(max((r["id"] for r in totals), default=-1) + 1, np.int64)
     for r in totals:
         counts[r["id"]] = r["n"]
@@ -279,14 +290,14 @@ def write_files(docs: DataFrame, path: str, end_id: int, folder: str) -> None:
             if len(n):
                 rows.append((begin, len(n)))
             for a, b in rows:
-                block = data[offs[a] : offs[b]].view("<u4")
+                block = data[offs[a] : offs[b]].view(kind)
                 payload, marks = pack_bits(block, codes, lengths)
                 yield pa.RecordBatch.from_pylist(
                     [{"part": int(part[a]), "first": bases[int(part[a])] + int(rel[a]), "n_ids": len(block), "doc_ids": doc.slice(a, b - a).to_pylist(), "sizes": n[a:b].tolist(), "payload": payload, "checkpoints": marks.tolist()}],
                     schema=pa.schema([("part", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary()), ("checkpoints", pa.list_(pa.int64()))]),
                 )
 
-    blocks = ids.mapInArrow(run, BLOCKS)
+    blocks = ids.where("n is not null").drop("tally").mapInArrow(run, BLOCKS)
     blocks.write.partitionBy("part").option("compression", "snappy").parquet(f"{folder}/blocks")
     # the plain ids were a working copy
     _delete(spark, work)

@@ -181,3 +181,25 @@ def test_new_slices_go_through_the_library_in_one_text():
     words.pre_tokenizer = pre_tokenizers.Whitespace()
     ids, count = huffman_ids.slice_merger(words)([b"ab", b" ", b"xyz"])
     assert ids.tolist() == [1, 0] and count.tolist() == [1, 0, 1]
+
+
+def test_parts_count_their_ids_while_they_are_encoded(spark, texts):
+    """op4's CPU budget: ids are not read again for their counts, and take two bytes where all ids fit."""
+    some = [*texts[:50], None, "", "<|endoftext|> x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "doc_id long, text string").repartition(3)
+    assert [huffman_ids.id_type(JSON, end) for end in (2, 65535, 65536)] == ["<u2", "<u2", "<u4"]
+    for end, kind in ((2, "<u2"), (70_000, "<u4")):
+        parts = {}
+        for r in huffman_ids.encode_ordered(df, JSON, end).collect():
+            parts.setdefault(r["part"], []).append(r)
+        assert sum(len(p) - 1 for p in parts.values()) == len(some)
+        for rows_ in parts.values():
+            ids = [np.frombuffer(r["ids"], kind) for r in rows_[:-1]]
+            assert all(r["tally"] is None and r["n"] == len(x) and x[-1] == end for r, x in zip(rows_, ids))
+            last, counts = rows_[-1], np.bincount(np.concatenate(ids))
+            assert (last["n"], last["doc_id"], last["ids"], last["rel"]) == (None, None, None, counts.sum())
+            assert [(t["id"], t["n"]) for t in last["tally"]] == [(i, counts[i]) for i in np.flatnonzero(counts)]
+    got = sorted(huffman_ids.digests(df, JSON, 70_000).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == list(range(len(some)))
+    want = np.append(huffman_ids._encoder(JSON, classes_of_ranks()).encode(*text_buffers(pa.array([some[0]])))[0], 70_000)
+    assert (got[0]["n_tokens"], got[0]["ids_crc32"]) == (len(want), zlib.crc32(want.astype("<u4").tobytes()))
