@@ -116,3 +116,51 @@ def test_uncertainty_is_summed_once(spark):
     samples = spark.createDataFrame([(i, k, ((i * 7 + k * 3) % 10 + 0.5) / 11) for i in range(60) for k in range(3)], "row_id long, t int, p double")
     unc = U.uncertainty(samples, samples.select("row_id", (F.col("row_id") % 2).cast("int").alias("y_true")).distinct())
     assert "stddev" not in _plan(U.headline(unc)) and "stddev" not in _plan(U.refuse_curve(unc))
+
+
+def test_counts_are_those_of_the_draws_one_by_one():
+    def mix(x):
+        for shift, factor in zip((16, 15), B.FACTORS):
+            x = (x ^ x >> shift) * factor % B.TWO32
+        return x ^ x >> 16
+
+    rng = np.random.default_rng(6)
+    k1, k2 = rng.integers(0, B.TWO32, 40), rng.integers(0, B.TWO32, 40)
+    for limits in (B.poisson_limits(), B.poisson_limits(9.0), B.poisson_limits(0.01), []):
+        got = B.row_counts(k1, k2, 50, limits)
+        want = [[sum(mix(mix((int(a) + r * B.STEP) % B.TWO32) ^ int(b)) >= v for v in limits) for r in range(50)] + [1] for a, b in zip(k1, k2)]
+        assert got.dtype == np.uint8 and (got == want).all()
+    many = B.row_counts(k1, k2, 50, [], (np.zeros(700, int), np.full(700, 3)))
+    assert many[0, 3] == 700 and many.sum() == 740 and (B.added(many) == many.sum(0)).all()
+
+
+def test_ties_reach_the_tally_as_distinct_scores():
+    rng = np.random.default_rng(7)
+    s, y = rng.integers(0, 5, 3000) / 5, (rng.random(3000) < 0.4).astype(float)
+    by = np.lexsort((y, s))
+    s, y, counts = s[by], y[by], rng.poisson(1, (3000, 9)).astype(np.uint8)
+    total = np.stack([y, 1 - y]) @ counts
+    seen = []
+
+    class Seen(B.Tally):
+        def add(self, s, y, w):
+            seen.append(len(s))
+            super().add(s, y, w)
+
+    plain, ties = B.Tally(np.zeros((2, 9)), total, 0.5, np.array([0.5])), B.Ties(Seen(np.zeros((2, 9)), total, 0.5, np.array([0.5])), 8)
+    for a in range(0, 3000, 64):
+        plain.add(s[a : a + 64], y[a : a + 64], counts[a : a + 64].astype(float))
+        ties.add(s[a : a + 64], y[a : a + 64], counts[a : a + 64])
+    assert np.allclose(plain.done(), ties.done(), rtol=1e-12)
+    assert sum(seen) == 10  # 5 scores x 2 labels
+
+
+def test_rows_in_order_travel_in_records(spark):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 1000, pa.int32()), pa.array(np.arange(1000.0)), pa.array([None, 1] * 500, pa.int32()), pa.array(np.arange(1000) * -7)], names=["run", "s", "y", "k"])
+    records = [*B._packed(iter([batch]))]
+    assert [r.num_rows for r in records] == [-(-1000 // B.RECORD)]
+    back = pa.Table.from_batches([*B._unpacked(iter(records))])
+    assert back.column("s").to_pylist() == [*range(1000)] and back.column("y").null_count == 500
+    assert [(a << 32 | b) - (1 << 64 if a >> 31 else 0) for a, b in zip(back.column("k1").to_pylist(), back.column("k2").to_pylist())] == [-7 * i for i in range(1000)]
